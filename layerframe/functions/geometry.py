@@ -68,7 +68,10 @@ def normalize_geometry(geometry: Column, fallback_sr: Column | None = None) -> C
 
     The geometry's own reference wins over ``fallback_sr`` (a VARIANT column).
     """
-    reference = V.first_of(geometry, "spatialReference", "spatial_reference")
+    reference = F.coalesce(
+        V.non_null(V.get(geometry, "spatialReference")),
+        V.non_null(V.get(geometry, "spatial_reference")),
+    )
     if fallback_sr is not None:
         reference = F.coalesce(reference, fallback_sr)
     coords = F.to_variant_object(

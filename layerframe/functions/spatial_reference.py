@@ -19,14 +19,9 @@ def epsg(value: Column) -> Column:
     In an object ``latestWkid`` wins unless it is empty or zero, then ``wkid``.
     """
     latest, wkid = V.get(value, "latestWkid"), V.get(value, "wkid")
-    what = V.kind(value)
-    return (
-        F.when(what == "integer", F.try_variant_get(value, "$", "int"))
-        .when(what == "string", V.as_int(value).try_cast("int"))
-        .when(
-            what == "object",
-            F.when(V.truthy(latest), _plain_int(latest)).otherwise(_plain_int(wkid)),
-        )
+    return F.coalesce(
+        F.when(V.kind(value) != "number", F.try_variant_get(value, "$", "int")),
+        F.when(V.truthy(latest), _plain_int(latest)).otherwise(_plain_int(wkid)),
     )
 
 

@@ -1,8 +1,9 @@
 """Column helpers over VARIANT values.
 
 Service payloads are untyped JSON.  These helpers read them with null instead
-of an error on a mismatch, and stay inside whole-stage code generation where the
-engine allows it.
+of an error on a mismatch.  Each names its argument as few times as it can: filters are
+pushed through projections by copying expressions, so a helper that repeats its argument
+would multiply the work below it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,19 @@ OBJECT = "map<string,variant>"
 TRUE_WORDS = ["true", "t", "yes", "y", "on", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "off", "0"]
 
+# Engine type names of JSON values; the JSON texts that are false.
+KINDS = {
+    "VOID": "null",
+    "BOOLEAN": "boolean",
+    "BIGINT": "integer",
+    "DECIMAL": "number",
+    "DOUBLE": "number",
+    "STRING": "string",
+    "OBJECT": "object",
+    "ARRAY": "array",
+}
+FALSE_JSON = ["null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"]
+
 
 def path(*keys: str) -> str:
     """A VARIANT path for literal keys, quoted so dots and blanks are safe."""
@@ -35,8 +49,8 @@ def get(value: Column, *keys: str, to: str = "variant") -> Column:
 
 
 def first_of(value: Column, *keys: str) -> Column:
-    """The first key that is present with a non-null value (camel/snake aliases)."""
-    return F.coalesce(*[non_null(get(value, key)) for key in keys])
+    """The first key that is present (camel and snake case spellings of one key)."""
+    return F.coalesce(*[get(value, key) for key in keys])
 
 
 def has(value: Column, *keys: str) -> Column:
@@ -65,18 +79,13 @@ def is_object(value: Column) -> Column:
 
 
 def kind(value: Column) -> Column:
-    """``null boolean integer number string object array`` for small values."""
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | (shape == "VOID"), "null")
-        .when(shape == "BOOLEAN", "boolean")
-        .when(shape.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "integer")
-        .when(shape.startswith("OBJECT"), "object")
-        .when(shape.startswith("ARRAY"), "array")
-        .when(shape == "STRING", "string")
-        # Whole numbers beyond 64 bits and "4326.0" both come back as DECIMAL(p,0).
-        .otherwise("number")
-    )
+    """``null boolean integer number string object array`` for small values.
+
+    Whole numbers beyond 64 bits and ``4326.0`` are both ``number``.
+    """
+    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    shape = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.coalesce(F.try_element_at(names, shape), F.lit("null"))
 
 
 def text(value: Column) -> Column:
@@ -86,49 +95,27 @@ def text(value: Column) -> Column:
 
 def as_int(value: Column) -> Column:
     """Integer coercion: ``"7"`` is 7, 1.9 is 1, ``"1.9"`` and ``"abc"`` are null."""
-    raw = F.try_variant_get(value, "$", "string")
-    return F.when(
-        F.schema_of_variant(value) == "STRING",
-        F.when(
-            raw.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"),
-            F.regexp_replace(F.trim(raw), "_", "").try_cast("bigint"),
-        ),
-    ).otherwise(F.try_variant_get(value, "$", "bigint"))
+    return F.try_variant_get(value, "$", "bigint")
 
 
 def truthy(value: Column) -> Column:
     """Truth of a JSON value: empty, zero, false and null are false."""
-    what = kind(value)
-    return F.coalesce(
-        F.when(what == "boolean", F.try_variant_get(value, "$", "boolean"))
-        .when(what.isin("integer", "number"), F.try_variant_get(value, "$", "double") != 0)
-        .when(what == "string", F.length(text(value)) > 0)
-        .when(what == "array", F.size(elements(value)) > 0)
-        .when(what == "object", F.size(entries(value)) > 0),
-        F.lit(False),
-    )
+    return F.coalesce(~F.to_json(value).isin(FALSE_JSON), F.lit(False))
 
 
 def lax_bool(value: Column) -> Column:
     """Booleans, 0/1 and the usual words; null when it is none of them."""
-    word = F.lower(text(value))
-    what = kind(value)
-    return (
-        F.when(what == "boolean", F.try_variant_get(value, "$", "boolean"))
-        .when(what.isin("string", "integer") & word.isin(TRUE_WORDS), F.lit(True))
-        .when(what.isin("string", "integer") & word.isin(FALSE_WORDS), F.lit(False))
+    words = F.create_map(
+        *[x for w in TRUE_WORDS for x in (F.lit(w), F.lit(True))],
+        *[x for w in FALSE_WORDS for x in (F.lit(w), F.lit(False))],
     )
+    return F.try_element_at(words, F.lower(text(value)))
 
 
 def lax_int(value: Column) -> Column:
     """Integers, whole floats, booleans and numeric strings; null otherwise."""
-    number = F.try_variant_get(value, "$", "double")
-    what = kind(value)
-    return (
-        F.when(what == "integer", F.try_variant_get(value, "$", "bigint"))
-        .when((what == "number") & (number == F.floor(number)), F.try_variant_get(value, "$", "bigint"))
-        .when(what.isin("string", "boolean"), as_int(value))
-    )
+    whole = F.try_variant_get(value, "$", "bigint")
+    return F.when(whole.cast("double") == F.try_variant_get(value, "$", "double"), whole)
 
 
 def strict_text(value: Column) -> Column:
@@ -144,3 +131,13 @@ def make_object(**members: Column) -> Column:
 
 def json_literal(document: str) -> Column:
     return F.parse_json(F.lit(document))
+
+
+def parsed(df, text_column: str, name: str = "body"):
+    """Adds the parsed text as VARIANT, null where it is not JSON.
+
+    The value comes out of a generator of one row: a filter on anything derived from it
+    then stays above the parse instead of repeating it for every mention.
+    """
+    value = F.array(F.struct(F.try_parse_json(text_column).alias(name)))
+    return df.select("*", F.inline(value))

@@ -66,13 +66,20 @@ def normalize_features(
         )
         .where(V.is_object(F.col("feature")))
     )
-    attributes = attributes_of(F.col("feature"))
+    # Attributes and geometry become columns of their own first, so that the many paths
+    # read out of them below start from there.
+    features = features.select(
+        "*",
+        attributes_of(F.col("feature")).alias("_attributes"),
+        V.get(F.col("feature"), "geometry").alias("_geometry"),
+    )
+    attributes = F.col("_attributes")
     shown = normalize_attributes(attributes, F.col("_dates")) if normalize_dates else attributes
     return features.select(
         "layer_url",
         "page_index",
         "pos",
         shown.alias("attributes"),
-        G.normalize_geometry(V.get(F.col("feature"), "geometry"), sr).alias("geometry"),
+        G.normalize_geometry(F.col("_geometry"), sr).alias("geometry"),
         hoist_object_id(attributes, F.col("_oid")).alias("object_id"),
     )

@@ -23,8 +23,11 @@ def error_envelopes(scanned: DataFrame) -> DataFrame:
 
 def strict_counts(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Count envelopes: (``feature_count`` rows, rejected rows with raw payload)."""
-    body = F.try_parse_json("payload")
-    checked = responses.withColumn("feature_count", V.lax_int(V.get(body, "count")))
+    checked = (
+        V.parsed(responses, "payload", "_body")
+        .withColumn("feature_count", V.lax_int(V.get(F.col("_body"), "count")))
+        .drop("_body")
+    )
     good = F.col("feature_count").isNotNull()
     rejected = checked.where(~good).drop("feature_count").withColumn(
         "reason", F.lit("count is missing or not an integer")
@@ -38,19 +41,21 @@ def strict_ids(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     A null or absent id list is an empty one; any id that is not an integer rejects
     the envelope.
     """
-    body = F.try_parse_json("payload")
+    body = F.col("_body")
     name_value = F.coalesce(
         V.get(body, "objectIdFieldName"), V.get(body, "objectIdField"), V.get(body, "object_id_field_name")
     )
     ids_value = F.coalesce(V.get(body, "objectIds"), V.get(body, "object_ids"))
     ids = F.transform(V.elements(ids_value), V.lax_int)
     empty = F.array().cast("array<bigint>")
-    checked = responses.withColumn("object_id_field", V.strict_text(name_value)).withColumn(
+    checked = V.parsed(responses, "payload", "_body").withColumn(
+        "object_id_field", V.strict_text(name_value)
+    ).withColumn(
         "object_ids",
         F.when(V.is_object(body) & (ids_value.isNull() | F.is_variant_null(ids_value)), empty).when(
             ~F.exists(ids, lambda i: i.isNull()), ids
         ),
-    )
+    ).drop("_body")
     good = F.col("object_id_field").isNotNull() & F.col("object_ids").isNotNull()
     reason = F.when(F.col("object_id_field").isNull(), "object id field name is missing or not text").otherwise(
         "object ids are not a list of integers"
@@ -207,7 +212,7 @@ def drift_records(documents: DataFrame, model: str) -> DataFrame:
     ``unknown_extra``.  Error envelopes are not drift.
     """
     body = F.col("_body")
-    parsed = documents.withColumn("_body", F.try_parse_json("payload")).where(
+    parsed = V.parsed(documents, "payload", "_body").where(
         body.isNotNull() & envelope_error(body).isNull()
     )
     not_mapping = F.array(

@@ -3,8 +3,8 @@
 ``spark.read.format("feature_layer").options(url=..., where=...).load()``
 
 The driver asks for metadata and the row count and plans runs of pages; executors
-fetch and emit Arrow batches.  Only comparisons that a service can evaluate are
-pushed; Spark applies everything it pushed down again only where asked to.
+fetch and emit Arrow batches.  Comparisons that a service can evaluate narrow what it
+sends; Spark applies them again to what arrives.
 
 Options: ``url``, ``where``, ``outFields``, ``returnGeometry``, ``token``, ``timeout``,
 ``pageSize``, ``onTruncation`` (raise, ignore, split), ``numPartitions``, ``geometry``
@@ -191,14 +191,17 @@ class FeatureLayerReader(DataSourceReader):
         self.as_pages = self.service.options.get("output", "rows") == "pages"
 
     def pushFilters(self, filters: list) -> Iterator:
-        """Joins what the service can evaluate to the predicate; the rest stays with Spark."""
+        """Joins what the service can evaluate to the predicate.
+
+        Every filter is handed back as well: services may compare text without regard
+        to case, so Spark has the last word on what they return.
+        """
         types = {f.name: f.dataType for f in self.schema.fields}
         for item in filters:
             text = None if self.as_pages else _predicate(item, types)
-            if text is None:
-                yield item
-            else:
+            if text is not None:
                 self.where = _both(self.where, text)
+            yield item
 
     def partitions(self) -> list[_Run]:
         metadata = self.service.metadata()
@@ -371,6 +374,8 @@ def _predicate(item: Any, types: Mapping[str, T.DataType]) -> str | None:
     if value is None:
         return None
     for kind_of, sign in _COMPARISONS.items():
+        if isinstance(kind, T.StringType) and sign != "=":
+            continue  # text order depends on the service's collation
         if type(item) is kind_of:
             return f"{name} {sign} {value}"
     for kind_of, shape in ((StringStartsWith, "{}%"), (StringEndsWith, "%{}"), (StringContains, "%{}%")):

@@ -27,7 +27,7 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     body = F.col("body")
     error = envelope_error(body)
     status = F.col("status")
-    return documents.withColumn("body", F.try_parse_json("payload")).withColumn(
+    return V.parsed(documents, "payload").withColumn(
         "doc_error",
         F.when(status.isNotNull() & (status >= 400), F.concat(F.lit("HttpError: status "), status.cast("string")))
         .when(F.col("payload").isNull(), F.lit("TransportError: no response"))
@@ -52,8 +52,8 @@ def field_specs(body: Column) -> Column:
 
     def usable(spec: Column) -> Column:
         def optional(key: str, test) -> Column:
-            value = V.non_null(V.get(spec, key))
-            return value.isNull() | F.coalesce(test(value), F.lit(False))
+            value = V.get(spec, key)
+            return (V.kind(value) == "null") | F.coalesce(test(value), F.lit(False))
 
         return (
             V.is_object(spec)
@@ -143,22 +143,16 @@ def supports_pagination_explicitly(body: Column) -> Column:
     """Only a literal true counts."""
     nested = V.get(body, "advancedQueryCapabilities", "supportsPagination")
     top = V.lax_bool(V.first_of(body, "supportsPagination", "supports_pagination"))
-    literal = (V.kind(nested) == "boolean") & F.coalesce(
-        F.try_variant_get(nested, "$", "boolean"), F.lit(False)
-    )
-    return F.when(nested.isNotNull(), literal).otherwise(F.coalesce(top, F.lit(False)))
+    return F.when(nested.isNotNull(), F.to_json(nested) == "true").otherwise(F.coalesce(top, F.lit(False)))
 
 
 def advertised_factor(body: Column) -> Column:
     """``maxRecordCountFactor`` of the capability block: positive and finite, else null."""
-    value = V.first_of(F.coalesce(
-        V.get(body, "advancedQueryCapabilities"), V.get(body, "advanced_query_capabilities")
-    ), "maxRecordCountFactor")
-    what = V.kind(value)
-    number = (
-        F.when(what.isin("integer", "number"), F.try_variant_get(value, "$", "double"))
-        .when(what == "string", F.trim(V.text(value)).try_cast("double"))
+    value = F.coalesce(
+        V.get(body, "advancedQueryCapabilities", "maxRecordCountFactor"),
+        V.get(body, "advanced_query_capabilities", "maxRecordCountFactor"),
     )
+    number = F.when(V.kind(value) != "boolean", F.trim(V.text(value)).try_cast("double"))
     return F.when((number > 0) & (number < float("inf")) & ~F.isnan(number), number)
 
 

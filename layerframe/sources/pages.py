@@ -17,13 +17,13 @@ from layerframe.functions import spatial_reference as SR
 from layerframe.functions import variants as V
 from layerframe.schema import Field, fields_of
 
-# Landed file names carry the page index: .../<anything>page-<n>.json
-_PAGE_NUMBER = r"page-(\d+)[^/]*$"
+# Landed paths carry the page index: .../page-<n>.json or .../page_index=<n>/...
+_PAGE_NUMBER = r"page(?:-|_index=)(\d+)"
 
 
 def read_pages(spark: SparkSession, path: str, layer_url: str | None = None) -> DataFrame:
     """Whole response files, one page each, whatever content type they came with."""
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return pages_from_files(raw, layer_url)
 
 
@@ -42,26 +42,21 @@ def envelope_error(body: Column) -> Column:
     It counts as one only when ``error`` is an object whose own members have
     usable types.
     """
-    error = V.get(body, "error")
-    code, message, details = (V.non_null(V.get(error, k)) for k in ("code", "message", "details"))
+    code, message, details = (V.get(body, "error", k) for k in ("code", "message", "details"))
+    absent = lambda v: V.kind(v) == "null"
     usable = (
-        V.is_object(error)
-        & (code.isNull() | V.lax_int(code).isNotNull())
-        & (message.isNull() | (V.kind(message) == "string"))
+        V.is_object(V.get(body, "error"))
+        & (absent(code) | V.lax_int(code).isNotNull())
+        & V.kind(message).isin("null", "string")
         & (
-            details.isNull()
+            absent(details)
             | F.coalesce(
                 F.forall(V.elements(details), lambda d: V.kind(d) == "string"), F.lit(False)
             )
         )
     )
-    return F.when(
-        usable,
-        F.struct(
-            V.lax_int(code).alias("code"),
-            F.coalesce(F.when(V.text(message) != "", V.text(message)), F.lit("error response")).alias("message"),
-        ),
-    )
+    said = F.coalesce(F.nullif(V.text(message), F.lit("")), F.lit("error response"))
+    return F.when(usable, F.struct(V.lax_int(code).alias("code"), said.alias("message")))
 
 
 def scan_pages(pages: DataFrame) -> DataFrame:
@@ -72,7 +67,7 @@ def scan_pages(pages: DataFrame) -> DataFrame:
     """
     body = F.col("body")
     return (
-        pages.withColumn("body", F.try_parse_json("payload"))
+        V.parsed(pages, "payload")
         .withColumn("error", envelope_error(body))
         .withColumn(
             "status",
@@ -123,7 +118,7 @@ def scan_features(scanned: DataFrame) -> DataFrame:
             "page_index",
             "pos",
             V.text(F.col("_oid_name")).alias("oid_field"),
-            attributes_of(F.col("feature")).alias("attributes"),
+            V.get(F.col("feature"), "attributes").alias("attributes"),
             V.get(F.col("feature"), "geometry").alias("geometry"),
             "feature",
         )
