@@ -2,7 +2,7 @@
 
 One job handles any number of roots.  ``documents`` (url, status, payload) is either
 a landed table or, for a live crawl, what :func:`layerframe.sources.connector.fetch_documents`
-returns for the URLs of a stage.
+returns for the urls of a stage.
 """
 
 from __future__ import annotations
@@ -21,23 +21,23 @@ from layerframe.sources.metadata import parse_documents
 FEATURE_LAYER = "Feature Layer"
 RASTER_LAYER = "Raster Layer"
 
-Lookup = Callable[[DataFrame], DataFrame]
+# Either a landed table or a function from a table of urls to their documents.
+Documents = DataFrame | Callable[[DataFrame], DataFrame]
 
 
-def landed(documents: DataFrame) -> Lookup:
-    """Looks urls up in a landed table.
+def _answers(urls: DataFrame, documents: Documents, stage: str) -> DataFrame:
+    """Documents of ``urls``, written once per stage.
 
-    The few wanted urls first reduce the documents by a semi join (broadcast when they
-    are small enough), so the bulk of layer documents is not shuffled for the upper
-    stages.
+    The upper stages want few of the documents: a semi join (broadcast when the urls are
+    small enough) reduces them, so the bulk of layer documents is not shuffled for them,
+    and later stages start from what was written instead of repeating the search.
     """
-
-    def find(urls: DataFrame) -> DataFrame:
-        wanted = urls.select("url").distinct()
+    wanted = urls.select("url").distinct()
+    if isinstance(documents, DataFrame):
         found = documents.join(wanted, "url", "left_semi")
-        return wanted.join(found, "url", "left")
-
-    return find
+    else:
+        found = documents(wanted)
+    return cut_lineage(found.select("url", "status", "payload"), stage)
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ def scan_services(documents: DataFrame) -> DataFrame:
     )
 
 
-def service_layers(services: DataFrame, find: Lookup) -> DataFrame:
+def service_layers(services: DataFrame, documents: Documents) -> DataFrame:
     """Layers of each service with their own metadata.
 
     ``services``: ``root_url``, ``url``, ``body``.  A layer whose document is unusable
@@ -81,80 +81,67 @@ def service_layers(services: DataFrame, find: Lookup) -> DataFrame:
             F.explode(V.elements(F.col("body"), "layers")).alias("l"),
         )
         .where(V.is_object(F.col("l")))
-        .select(
-            "root_url",
-            "service_url",
-            V.get(F.col("l"), "id", to="string").alias("_id"),
-            F.concat_ws("/", "service_url", V.get(F.col("l"), "id", to="string")).alias("url"),
-        )
+        .select("root_url", "service_url", V.get(F.col("l"), "id", to="string").alias("_id"))
+        .withColumn("url", F.concat_ws("/", "service_url", "_id"))
     )
-    own = parse_documents(find(listed))
-    body = F.when(F.col("doc_error").isNull(), F.col("body"))
-    return listed.join(own, "url").select(
+    if not isinstance(documents, DataFrame):
+        documents = _answers(listed, documents, "layers")
+    own = parse_documents(listed.join(documents.select("url", "status", "payload"), "url", "left"))
+    usable = F.col("doc_error").isNull()
+    body = F.col("body")
+    return own.select(
         "root_url",
         "service_url",
         "url",
-        F.coalesce(V.lax_int(V.get(body, "id")), F.col("_id").try_cast("bigint")).alias("id"),
-        V.strict_text(V.get(body, "name")).alias("name"),
-        V.strict_text(V.get(body, "type")).alias("type"),
+        F.coalesce(F.when(usable, V.lax_int(V.get(body, "id"))), F.col("_id").try_cast("bigint")).alias("id"),
+        F.when(usable, V.strict_text(V.get(body, "name"))).alias("name"),
+        F.when(usable, V.strict_text(V.get(body, "type"))).alias("type"),
         F.col("doc_error").alias("layer_error"),
-        body.alias("body"),
+        F.when(usable, body).alias("body"),
     )
 
 
-def crawl_catalog(
-    roots: DataFrame, find: Lookup, mode: str = "report", write_stages: bool = False
-) -> Catalog:
+def crawl_catalog(roots: DataFrame, documents: Documents, mode: str = "report") -> Catalog:
     """Root → folders (one level) → services → layers.
 
     ``roots``: ``root_url``.  Failures never stop the crawl: they are rows of
     ``errors`` with stage ``base_metadata``, ``folder_metadata`` or ``service_metadata``,
     or ``layer_error`` on a layer.  A failed root yields nothing else.
     ``mode="failfast"`` raises on the first root or folder failure instead.
-    ``write_stages`` writes each stage's documents out once, for live crawls, where
-    asking again would cost requests.
     """
     if mode not in ("report", "failfast"):
         raise ValueError(f"mode must be 'report' or 'failfast', got {mode!r}")
 
     def look_up(urls: DataFrame, stage: str) -> DataFrame:
-        found = find(urls)
-        if write_stages:
-            found = cut_lineage(found, stage)
-        return urls.join(parse_documents(found), "url")
+        return parse_documents(urls.join(_answers(urls, documents, stage), "url", "left"))
 
     def failures(found: DataFrame, stage: str) -> DataFrame:
         return found.where(F.col("doc_error").isNotNull()).select(
             "root_url", F.lit(stage).alias("stage"), "url", F.col("doc_error").alias("message")
         )
 
-    root_docs = look_up(roots.select("root_url", F.col("root_url").alias("url")).distinct(), "base")
-    usable_roots = root_docs.where(F.col("doc_error").isNull())
+    root_docs = look_up(roots.select("root_url", F.col("root_url").alias("url")).distinct(), "roots")
+    usable_roots = root_docs.where(F.col("doc_error").isNull()).select("root_url", "body")
     folders = usable_roots.select(
         "root_url", F.explode(V.elements(F.col("body"), "folders")).alias("f")
     ).select("root_url", F.concat_ws("/", "root_url", V.text(F.col("f"))).alias("url"))
-    folder_docs = look_up(folders, "folder")
+    folder_docs = look_up(folders, "folders")
     errors = failures(root_docs, "base_metadata").unionByName(failures(folder_docs, "folder_metadata"))
     if mode == "failfast":
         first = errors.orderBy("stage", "url").first()
         if first is not None:
             raise ServiceError(f"{first.stage} of {first.url}: {first.message}")
 
-    listed = scan_services(usable_roots.select("root_url", "body")).unionByName(
+    listed = scan_services(usable_roots).unionByName(
         scan_services(folder_docs.where(F.col("doc_error").isNull()).select("root_url", "body"))
     )
-    service_docs = look_up(listed, "service")
-    good = service_docs.where(F.col("doc_error").isNull())
-
-    def find_layers(urls: DataFrame) -> DataFrame:
-        found = find(urls)
-        return cut_lineage(found, "layer") if write_stages else found
-
+    service_docs = look_up(listed, "services")
+    good = service_docs.where(F.col("doc_error").isNull()).select("root_url", "url", "body")
     return Catalog(
         services=service_docs.select(
             "root_url", "service_name", "service_type", "url", F.col("doc_error").alias("service_error")
         ),
-        layers=service_layers(good.select("root_url", "url", "body"), find_layers),
+        layers=service_layers(good, documents),
         errors=errors.unionByName(failures(service_docs, "service_metadata")),
     )
 

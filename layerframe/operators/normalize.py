@@ -48,20 +48,26 @@ def normalize_features(
         if oid_field
         else V.text(V.first_of(body, "objectIdFieldName", "object_id_field_name"))
     )
-    dated = F.transform(
-        F.filter(
-            F.coalesce(field_specs(body), F.array()),
-            lambda f: f["name"].isNotNull() & dates.is_date_type(f["type"]),
+    nothing = F.array().cast("array<string>")
+    dated = F.coalesce(
+        F.transform(
+            F.filter(
+                F.col("_specs"),
+                lambda f: f["name"].isNotNull() & dates.is_date_type(f["type"]),
+            ),
+            lambda f: f["name"],
         ),
-        lambda f: f["name"],
+        nothing,
     )
+    pages = valid_pages(scanned)
+    if normalize_dates:
+        pages = pages.withColumn("_specs", field_specs(body))
     features = (
-        valid_pages(scanned)
-        .select(
+        pages.select(
             "layer_url",
             "page_index",
             name.alias("_oid"),
-            (dated if normalize_dates else F.array().cast("array<string>")).alias("_dates"),
+            (dated if normalize_dates else nothing).alias("_dates"),
             F.posexplode(V.elements(body, "features")).alias("pos", "feature"),
         )
         .where(V.is_object(F.col("feature")))

@@ -145,6 +145,27 @@ def _type_name(value: Column) -> Column:
     )
 
 
+def _indexed(value: Column, name: str) -> Column:
+    """List entries with the path each is reported under."""
+
+    def place(v: Column, i: Column) -> Column:
+        return F.struct(F.concat(F.lit(name + "."), i.cast("string")).alias("p"), v.alias("v"))
+
+    return F.transform(V.elements(value), place)
+
+
+def _nested(model: str):
+    def records(e: Column) -> Column:
+        whole = F.array(_bad(e["p"], e["v"]))
+        return F.when(~V.is_object(e["v"]), whole).otherwise(_bad_types(e["v"], model, e["p"]))
+
+    return records
+
+
+def _unfit(holds: str):
+    return lambda e: ~F.coalesce(_fits(e["v"], holds), F.lit(False))
+
+
 def _bad_types(body: Column, model: str, prefix: Column | None = None) -> Column:
     """``ARRAY<STRUCT<path, kind, observed_type, sample>>`` of ill-typed values."""
     found = []
@@ -161,25 +182,11 @@ def _bad_types(body: Column, model: str, prefix: Column | None = None) -> Column
             if not holds.startswith("list:"):
                 continue
             inner = holds.split(":")[1]
-            indexed = F.transform(
-                V.elements(value),
-                lambda v, i, name=name: F.struct(F.concat(F.lit(name + "."), i.cast("string")).alias("p"), v.alias("v")),
-            )
+            indexed = _indexed(value, name)
             if inner in MODELS:
-                nested = F.transform(
-                    indexed,
-                    lambda e, inner=inner: F.when(
-                        ~V.is_object(e["v"]), F.array(_bad(e["p"], e["v"]))
-                    ).otherwise(_bad_types(e["v"], inner, e["p"])),
-                )
-                found.append(F.flatten(nested))
+                found.append(F.flatten(F.transform(indexed, _nested(inner))))
             else:
-                found.append(
-                    F.transform(
-                        F.filter(indexed, lambda e, inner=inner: ~F.coalesce(_fits(e["v"], inner), F.lit(False))),
-                        lambda e: _bad(e["p"], e["v"]),
-                    )
-                )
+                found.append(F.transform(F.filter(indexed, _unfit(inner)), lambda e: _bad(e["p"], e["v"])))
     records = F.coalesce(found[0], F.array().cast(_RECORDS))
     for part in found[1:]:
         records = F.concat(records, F.coalesce(part, F.array().cast(_RECORDS)))

@@ -6,6 +6,7 @@ only touches settings that may change at run time.
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -35,3 +36,10 @@ def local_session(app: str = "layerframe", cores: int = 8, memory: str = "16g")
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def ship_package() -> None:
+    """Sends this package's code along with Python tasks, so workers need no install."""
+    import layerframe
+
+    cloudpickle.register_pickle_by_value(layerframe)

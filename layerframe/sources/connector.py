@@ -43,7 +43,8 @@ from pyspark.sql.datasource import (
 from layerframe.errors import LayerError, ServiceError, TruncatedPageError
 from layerframe.functions.urls import host_key
 from layerframe.operators.spatial import spatial_filter_payload
-from layerframe.schema import Field, fields_of
+from layerframe.schema import fields_of
+from layerframe.session import ship_package
 from layerframe.sources.transport import HttpStatusError, form_text, resolve
 
 PUSHDOWN_SETTING = "spark.sql.python.filterPushdown.enabled"
@@ -164,10 +165,22 @@ def _both(left: str, right: str) -> str:
 # --- partitions -------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class _Plan:
+    """What every task needs to know about the layer."""
+
+    where: str
+    oid: str | None
+    cap: int
+    size: int
+    total: int
+
+
 @dataclass
 class _Run(InputPartition):
     """A run of pages: offset pages [start, stop) or object ids [start, stop)."""
 
+    plan: _Plan
     kind: str  # single, offset, oid
     start: int = 0
     stop: int = 0
@@ -207,25 +220,25 @@ class FeatureLayerReader(DataSourceReader):
         metadata = self.service.metadata()
         if metadata.get("type") != "Feature Layer":
             raise LayerError("the url must point to a Feature Layer")
-        self.cap, self.oid = _record_cap(metadata), _object_id(metadata)
+        cap, oid = _record_cap(metadata), _object_id(metadata)
         total = self.service.count(self.where)
         parts = int(self.service.options.get("numpartitions", DEFAULT_PARTITIONS))
         asked = int(self.service.options.get("pagesize", 0))
-        self.total = total
-        self.size = min(asked, self.cap) if asked > 0 else self.cap
-        if asked <= 0:
-            factor = (metadata.get("advancedQueryCapabilities") or {}).get("maxRecordCountFactor")
-            if isinstance(factor, (int, float)) and not isinstance(factor, bool) and 0 < factor < 1:
-                self.size = max(1, int(self.cap * factor))
-        if total <= self.cap:
-            return [_Run("single")]
+        size = min(asked, cap) if asked > 0 else cap
+        factor = (metadata.get("advancedQueryCapabilities") or {}).get("maxRecordCountFactor")
+        # Pages are never larger than the cap, so only a factor below 1 matters.
+        if asked <= 0 and isinstance(factor, (int, float)) and 0 < factor < 1:
+            size = max(1, int(cap * factor))
+        plan = _Plan(self.where, oid, cap, size, total)
+        if total <= cap:
+            return [_Run(plan, "single")]
         if _explicit_paging(metadata):
-            return [_Run("offset", a, b) for a, b in _runs(0, total, parts, self.size)]
-        if self.oid is None:
+            return [_Run(plan, "offset", a, b) for a, b in _runs(0, total, parts, size)]
+        if oid is None:
             raise ServiceError("the layer has neither paging support nor an object id field")
         # Tasks list the ids of their own range, so no id list passes through the driver.
-        low, high = self.service.id_range(self.oid, self.where)
-        return [_Run("oid", a, b) for a, b in _runs(low, high + 1, parts)]
+        low, high = self.service.id_range(oid, self.where)
+        return [_Run(plan, "oid", a, b) for a, b in _runs(low, high + 1, parts)]
 
     def read(self, partition: _Run) -> Iterator:
         from pyarrow import RecordBatch
@@ -241,18 +254,23 @@ class FeatureLayerReader(DataSourceReader):
             )
 
     def _pages(self, run: _Run) -> Iterator[tuple[int, dict]]:
+        plan = run.plan
         if run.kind == "single":
-            yield from ((0, p) for p in self._whole(self.service.page(self.where), self.where))
+            page = self.service.page(plan.where)
+            if self._cut_off(page):
+                pages = self._halved(plan, self.service.ids(plan.where), 0)
+            else:
+                pages = iter([page])
+            yield from ((0, p) for p in pages)
         elif run.kind == "offset":
-            for offset in range(run.start, run.stop, self.size):
-                count = min(self.size, self.total - offset)
-                for page in self._window(offset, count, 0):
-                    yield offset // self.size, page
+            for offset in range(run.start, run.stop, plan.size):
+                for page in self._window(plan, offset, min(plan.size, plan.total - offset), 0):
+                    yield offset // plan.size, page
         else:
-            span = f"{self.oid} >= {run.start} AND {self.oid} < {run.stop}"
-            ids = self.service.ids(_both(self.where, span))
-            for at in range(0, len(ids), self.cap):
-                for page in self._listed(ids[at : at + self.cap], 0):
+            span = f"{plan.oid} >= {run.start} AND {plan.oid} < {run.stop}"
+            ids = self.service.ids(_both(plan.where, span))
+            for at in range(0, len(ids), plan.cap):
+                for page in self._listed(plan, ids[at : at + plan.cap], 0):
                     yield run.start + at, page
 
     def _cut_off(self, page: dict) -> bool:
@@ -262,40 +280,33 @@ class FeatureLayerReader(DataSourceReader):
             raise TruncatedPageError(f"{self.service.url}: exceededTransferLimit=true, rows are missing")
         return self.policy == "split"
 
-    def _whole(self, page: dict, where: str) -> Iterator[dict]:
-        if not self._cut_off(page):
-            yield page
-            return
-        ids = self.service.ids(where)
-        yield from self._halved(ids, 0)
-
-    def _window(self, offset: int, count: int, depth: int) -> Iterator[dict]:
+    def _window(self, plan: _Plan, offset: int, count: int, depth: int) -> Iterator[dict]:
         """An offset page; cut off, its own window is halved, not the whole layer."""
         page = self.service.page(
-            self.where, resultOffset=offset, resultRecordCount=count, orderByFields=self.oid
+            plan.where, resultOffset=offset, resultRecordCount=count, orderByFields=plan.oid
         )
         if not self._cut_off(page):
             yield page
             return
         self._deeper(count, depth)
         half = count // 2
-        yield from self._window(offset, half, depth + 1)
-        yield from self._window(offset + half, count - half, depth + 1)
+        yield from self._window(plan, offset, half, depth + 1)
+        yield from self._window(plan, offset + half, count - half, depth + 1)
 
-    def _listed(self, ids: list[int], depth: int) -> Iterator[dict]:
+    def _listed(self, plan: _Plan, ids: list[int], depth: int) -> Iterator[dict]:
         listed = ", ".join(map(str, ids))
-        page = self.service.page(_both(self.where, f"{self.oid} In ({listed})"))
+        page = self.service.page(_both(plan.where, f"{plan.oid} In ({listed})"))
         if self._cut_off(page):
-            yield from self._halved(ids, depth)
+            yield from self._halved(plan, ids, depth)
         else:
             yield page
 
-    def _halved(self, ids: list[int], depth: int) -> Iterator[dict]:
+    def _halved(self, plan: _Plan, ids: list[int], depth: int) -> Iterator[dict]:
         self._deeper(len(ids), depth)
         half = len(ids) // 2
         for part in (ids[:half], ids[half:]):
             for at in range(0, len(part), IN_LIST_CAP):
-                yield from self._listed(part[at : at + IN_LIST_CAP], depth + 1)
+                yield from self._listed(plan, part[at : at + IN_LIST_CAP], depth + 1)
 
     def _deeper(self, size: int, depth: int) -> None:
         if size <= 1 or depth >= MAX_SPLIT_DEPTH:
@@ -328,6 +339,7 @@ class FeatureLayerSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Makes the format known to the session and lets filters reach it."""
+    ship_package()
     spark.conf.set(PUSHDOWN_SETTING, "true")
     spark.dataSource.register(FeatureLayerSource)
 
@@ -480,6 +492,7 @@ def fetch_documents(urls: DataFrame, options: Mapping[str, str] | None = None, t
                     rows.append((url, None, None))
             yield type(batch)(rows, columns=["url", "status", "payload"]).astype({"status": "Int32"})
 
+    ship_package()
     distinct = urls.select("url").distinct()
     spread = distinct.repartition(
         host_key(F.col("url")), F.pmod(F.xxhash64("url"), F.lit(tasks_per_host))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from layerframe.functions import variants as V
+from layerframe.session import ship_package
 from layerframe.sources.pages import features_of
 
 OUTPUT = "context string, kind string, key string, at_page bigint"
@@ -72,6 +73,7 @@ def stream_field_set_drift(scanned: DataFrame, learn_pages: int = 1) -> DataFram
     """
     if learn_pages < 1:
         raise ValueError("learn_pages must be >= 1")
+    ship_package()
     keys = F.array_distinct(
         F.flatten(
             F.transform(

@@ -13,11 +13,11 @@ from layerframe.operators.catalog import (
     broken_layer_count,
     crawl_catalog,
     feature_layers,
-    landed,
     layer_feature_count,
     raster_layers,
     scan_services,
 )
+from layerframe.plans.scratch import cut_lineage
 from layerframe.sources.metadata import parse_documents
 from layerframe.workload.fixtures import table
 from layerframe.workload.registry import query
@@ -131,7 +131,8 @@ def catalog_documents(spark, sf_dir, healthy: bool = False):
 def catalog(spark, sf_dir, mode: str = "report"):
     healthy = mode == "failfast"
     roots = _services(spark, sf_dir, healthy).select("root_url").distinct()
-    return crawl_catalog(roots, landed(catalog_documents(spark, sf_dir, healthy)), mode)
+    documents = cut_lineage(catalog_documents(spark, sf_dir, healthy), "documents")
+    return crawl_catalog(roots, documents, mode)
 
 
 @query(

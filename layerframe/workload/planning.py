@@ -191,9 +191,8 @@ def _flagged_pages(spark, sf_dir):
 @query(
     "truncation_policy",
     """
-SELECT o_orderkey // 500 AS page_index, o_orderkey // 500 % 5 = 2 AS exceeded,
-       CASE WHEN o_orderkey // 500 % 10 = 7 THEN 0 ELSE count(*) END AS n_features
-FROM orders GROUP BY ALL
+SELECT page_index, page_index % 5 = 2 AS exceeded, CASE WHEN page_index % 10 = 7 THEN 0 ELSE n END AS n_features
+FROM (SELECT o_orderkey // 500 AS page_index, count(*) AS n FROM orders GROUP BY 1)
 """,
 )
 def truncation_policy_query(spark, sf_dir):
@@ -205,9 +204,8 @@ def truncation_policy_query(spark, sf_dir):
 @query(
     "truncation_report",
     """
-SELECT o_orderkey // 500 AS page_index, CASE WHEN o_orderkey // 500 % 10 = 7 THEN 0 ELSE count(*) END AS n_features,
-       o_orderkey // 500 % 10 = 7 AS inconsistent
-FROM orders WHERE o_orderkey // 500 % 5 = 2 GROUP BY ALL
+SELECT page_index, CASE WHEN page_index % 10 = 7 THEN 0 ELSE n END AS n_features, page_index % 10 = 7 AS inconsistent
+FROM (SELECT o_orderkey // 500 AS page_index, count(*) AS n FROM orders GROUP BY 1) WHERE page_index % 5 = 2
 """,
 )
 def truncation_report_query(spark, sf_dir):

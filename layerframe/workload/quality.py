@@ -25,9 +25,9 @@ from layerframe.workload.rows import cases, pick
 @query(
     "error_envelope",
     """
-SELECT o_orderkey // 100 AS page_index, CASE WHEN o_orderkey // 100 % 6 = 2 THEN 498 END AS code,
-       CASE WHEN o_orderkey // 100 % 6 = 2 THEN 'Invalid token' ELSE 'error response' END AS message
-FROM orders WHERE o_orderkey // 100 % 6 IN (2, 3) GROUP BY ALL
+SELECT page_index, CASE WHEN page_index % 6 = 2 THEN 498 END AS code,
+       CASE WHEN page_index % 6 = 2 THEN 'Invalid token' ELSE 'error response' END AS message
+FROM (SELECT DISTINCT o_orderkey // 100 AS page_index FROM orders) WHERE page_index % 6 IN (2, 3)
 """,
 )
 def error_envelope_query(spark, sf_dir):

@@ -151,7 +151,8 @@ def hoist_object_id_query(spark, sf_dir):
 @query(
     "epoch_ms_to_iso",
     """
-WITH e AS (SELECT event_id, epoch_ms(ts) - CASE WHEN event_id % 2 = 0 THEN 3000000000000 ELSE 0 END - CASE WHEN event_id % 5 = 0 THEN epoch_ms(ts) % 1000 ELSE 0 END AS ms FROM events)
+WITH t AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events),
+e AS (SELECT event_id, ms - CASE WHEN event_id % 2 = 0 THEN 3000000000000 ELSE 0 END - CASE WHEN event_id % 5 = 0 THEN ms % 1000 ELSE 0 END AS ms FROM t)
 SELECT event_id,
        CASE WHEN event_id % 17 = 3 THEN 'soon' WHEN event_id % 17 = 4 THEN NULL
             WHEN event_id % 17 = 5 THEN '1000000000000000' WHEN event_id % 17 = 6 THEN '12.5'
