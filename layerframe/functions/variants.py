@@ -13,24 +13,21 @@ from pyspark.sql import functions as F
 
 OBJECT = "map<string,variant>"
 
-# What lax boolean parsing accepts, lower-cased.
-TRUE_WORDS = ["true", "t", "yes", "y", "on", "1"]
-FALSE_WORDS = ["false", "f", "no", "n", "off", "0"]
-
-# Engine type names of JSON values; the JSON texts that are false.
-KINDS = {
-    "VOID": "null",
-    "BOOLEAN": "boolean",
-    "BIGINT": "integer",
-    "DECIMAL": "number",
-    "DOUBLE": "number",
-    "STRING": "string",
-    "OBJECT": "object",
-    "ARRAY": "array",
-}
+# What lax boolean parsing accepts, lower-cased; engine type names of JSON
+# values; the JSON texts that are false.
+WORDS = "true:true,t:true,yes:true,y:true,on:true,1:true,false:false,f:false,no:false,n:false,off:false,0:false"
+KINDS = (
+    "VOID:null,BOOLEAN:boolean,BIGINT:integer,DECIMAL:number,DOUBLE:number,"
+    "STRING:string,OBJECT:object,ARRAY:array"
+)
 FALSE_JSON = ["null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"]
 
 
+def _lookup(pairs: str, key: Column) -> Column:
+    """``key`` in a literal map; the map itself is folded away."""
+    return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit(","), F.lit(":")), key)
+
+
 def path(*keys: str) -> str:
     """A VARIANT path for literal keys, quoted so dots and blanks are safe."""
     parts = []
@@ -83,9 +80,8 @@ def kind(value: Column) -> Column:
 
     Whole numbers beyond 64 bits and ``4326.0`` are both ``number``.
     """
-    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
     shape = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-    return F.coalesce(F.try_element_at(names, shape), F.lit("null"))
+    return F.coalesce(_lookup(KINDS, shape), F.lit("null"))
 
 
 def text(value: Column) -> Column:
@@ -105,11 +101,7 @@ def truthy(value: Column) -> Column:
 
 def lax_bool(value: Column) -> Column:
     """Booleans, 0/1 and the usual words; null when it is none of them."""
-    words = F.create_map(
-        *[x for w in TRUE_WORDS for x in (F.lit(w), F.lit(True))],
-        *[x for w in FALSE_WORDS for x in (F.lit(w), F.lit(False))],
-    )
-    return F.try_element_at(words, F.lower(text(value)))
+    return _lookup(WORDS, F.lower(text(value))).cast("boolean")
 
 
 def lax_int(value: Column) -> Column:
