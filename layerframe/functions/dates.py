@@ -43,12 +43,11 @@ def epoch_ms_to_iso(ms: Column) -> Column:
 
 def normalize_date(value: Column) -> Column:
     """ISO text of a VARIANT epoch value; anything unconvertible stays as it is."""
-    return F.coalesce(epoch_ms_to_iso(V.as_int(value)), V.text(value))
+    return F.coalesce(V.let(V.as_int(value), epoch_ms_to_iso), V.text(value))
 
 
-def to_timestamp(value: Column) -> Column:
-    """TIMESTAMP of a VARIANT epoch value, null when it is not one."""
-    ms = V.as_int(value)
+def to_timestamp(ms: Column) -> Column:
+    """TIMESTAMP of a BIGINT, null outside the years 1 to 9999."""
     return F.when(ms.between(FIRST_MS, LAST_MS), F.timestamp_millis(ms))
 
 

@@ -22,15 +22,24 @@ ENVELOPE = "esriGeometryEnvelope"
 
 
 def is_null_geometry(geometry: Column) -> Column:
-    """No object, no coordinate keys, or only null / NaN-text coordinates."""
+    """No object, no coordinate keys, or only null / NaN-text coordinates.
+
+    A numeric x or a first ring, path or point settles the common case without looking
+    at the other keys.
+    """
     coords = F.map_filter(V.entries(geometry), lambda k, _: ~k.isin(DESCRIPTIVE_KEYS))
-    return F.coalesce(
-        F.forall(
-            F.map_values(coords),
-            lambda v: F.is_variant_null(v)
-            | F.coalesce(V.strict_text(v).isin(NAN_TEXTS), F.lit(False)),
-        ),
-        F.lit(True),
+    all_missing = F.forall(
+        F.map_values(coords),
+        lambda v: F.is_variant_null(v)
+        | F.coalesce(V.strict_text(v).isin(NAN_TEXTS), F.lit(False)),
+    )
+    x = V.get(geometry, "x", to="double")
+    settled = x.isNotNull() & ~F.isnan(x)
+    parts = F.coalesce(*[
+        F.try_variant_get(geometry, f"$.{key}[0]", "variant") for key in ("rings", "paths", "points")
+    ])
+    return F.when(settled | parts.isNotNull(), F.lit(False)).otherwise(
+        F.coalesce(all_missing, F.lit(True))
     )
 
 
@@ -74,19 +83,24 @@ def normalize_geometry(geometry: Column, fallback_sr: Column | None = None) -> C
     )
     if fallback_sr is not None:
         reference = F.coalesce(reference, fallback_sr)
-    coords = F.to_variant_object(
+    without = F.to_variant_object(
         F.map_filter(
             V.entries(geometry),
             lambda k, _: ~k.isin("spatialReference", "spatial_reference"),
         )
     )
+    has_reference = V.has(geometry, "spatialReference") | V.has(geometry, "spatial_reference")
+    coords = F.when(has_reference, without).otherwise(geometry)
+    stated = V.let(
+        reference, lambda r: F.struct(SR.epsg(r).alias("srid"), SR.raw(r).alias("raw_sr"))
+    )
     return F.when(
         ~is_null_geometry(geometry),
         F.struct(
             infer_geometry_type(geometry).alias("type"),
             coords.alias("coords"),
-            SR.epsg(reference).alias("srid"),
-            SR.raw(reference).alias("raw_sr"),
+            stated["srid"].alias("srid"),
+            stated["raw_sr"].alias("raw_sr"),
             (V.truthy(V.get(geometry, "hasZ")) | V.truthy(V.get(geometry, "has_z"))).alias("has_z"),
             (V.truthy(V.get(geometry, "hasM")) | V.truthy(V.get(geometry, "has_m"))).alias("has_m"),
         ),
@@ -119,41 +133,41 @@ def geojson_to_esri(value: Column) -> Column:
     Takes GeoJSON geometries and Features; Esri JSON passes through unchanged.
     Multi-polygon rings are flattened into one list of rings.
     """
-    geometry = F.when(
-        ~_looks_esri(value) & (V.get(value, "type", to="string") == "Feature"),
-        V.get(value, "geometry"),
-    ).otherwise(value)
+
+    def unwrapped(v: Column) -> Column:
+        feature = ~_looks_esri(v) & (V.get(v, "type", to="string") == "Feature")
+        return F.when(feature, V.get(v, "geometry")).otherwise(v)
+
+    def outcome(v: Column) -> Column:
+        missing = F.when(~V.is_object(v) | v.isNull(), "geometry must be an object")
+        return V.let(unwrapped(v), lambda g: _converted(g, missing))
+
+    return V.let(value, outcome)
+
+
+def _converted(geometry: Column, missing: Column) -> Column:
+    """Result struct for an unwrapped geometry; ``missing`` is an earlier error, if any."""
     esri = _looks_esri(geometry)
     name = V.get(geometry, "type", to="string")
     coordinates = V.get(geometry, "coordinates")
-    is_list = V.elements(coordinates).isNotNull()
-    depth1 = F.try_variant_get(coordinates, "$", "array<array<variant>>")
-    depth2 = F.try_variant_get(coordinates, "$", "array<array<array<variant>>>")
-    depth3 = F.try_variant_get(coordinates, "$", "array<array<array<array<variant>>>>")
-    ordinates = V.elements(coordinates)
-    size = F.size(ordinates)
-    point = V.make_object(
-        x=F.get(ordinates, F.lit(0)),
-        y=F.get(ordinates, F.lit(1)),
-        z=F.get(ordinates, F.lit(2)),
-        m=F.get(ordinates, F.lit(3)),
-    )
-    flat2 = F.flatten(depth2)
-    flat3 = F.flatten(F.flatten(depth3))
+    ordinates = V.elements(geometry, "coordinates")
+    is_list, size = ordinates.isNotNull(), F.size(ordinates)
+
+    def nested(depth: int) -> Column:
+        """Coordinates as lists of positions, ``depth`` lists deep."""
+        return V.get(geometry, "coordinates", to="array<" * (depth + 1) + "variant" + ">" * (depth + 1))
+
+    point = V.make_object(**{k: F.get(ordinates, F.lit(i)) for i, k in enumerate("xyzm")})
+    one_path = F.to_variant_object(F.array(coordinates))
+    all_rings = F.to_variant_object(F.flatten(nested(3)))
     converted = (
         F.when(esri, geometry)
         .when((name == "Point") & (size >= 2), point)
-        .when((name == "MultiPoint") & is_list, _with_flags("points", coordinates, depth1))
-        .when(
-            (name == "LineString") & is_list,
-            _with_flags("paths", F.to_variant_object(F.array(coordinates)), depth1),
-        )
-        .when((name == "MultiLineString") & is_list, _with_flags("paths", coordinates, flat2))
-        .when((name == "Polygon") & is_list, _with_flags("rings", coordinates, flat2))
-        .when(
-            (name == "MultiPolygon") & is_list,
-            _with_flags("rings", F.to_variant_object(F.flatten(depth3)), flat3),
-        )
+        .when((name == "MultiPoint") & is_list, _with_flags("points", coordinates, nested(1)))
+        .when((name == "LineString") & is_list, _with_flags("paths", one_path, nested(1)))
+        .when((name == "MultiLineString") & is_list, _with_flags("paths", coordinates, F.flatten(nested(2))))
+        .when((name == "Polygon") & is_list, _with_flags("rings", coordinates, F.flatten(nested(2))))
+        .when((name == "MultiPolygon") & is_list, _with_flags("rings", all_rings, F.flatten(F.flatten(nested(3)))))
     )
     kind = (
         F.when(esri, esri_geometry_type(geometry))
@@ -162,16 +176,19 @@ def geojson_to_esri(value: Column) -> Column:
         .when(name.isin("LineString", "MultiLineString") & is_list, POLYLINE)
         .when(name.isin("Polygon", "MultiPolygon") & is_list, POLYGON)
     )
-    error = (
-        F.when(~V.is_object(value) | value.isNull(), "geometry must be an object")
-        .when(~V.is_object(geometry) | geometry.isNull(), "Feature without a geometry")
-        .when(esri & kind.isNull(), "unsupported geometry object")
-        .when(name == "FeatureCollection", "FeatureCollection is not supported")
-        .when((name == "Point") & (size < 2), "Point needs x and y")
-        .when(kind.isNull(), F.concat(F.lit("unsupported geometry type: "), F.coalesce(name, F.lit("none"))))
-    )
-    return F.struct(
-        F.when(kind.isNotNull(), converted).alias("geometry"),
-        kind.alias("geometry_type"),
-        error.alias("error"),
-    )
+
+    def result(found: Column) -> Column:
+        error = F.coalesce(
+            missing,
+            F.when(~V.is_object(geometry) | geometry.isNull(), "Feature without a geometry")
+            .when(name == "FeatureCollection", "FeatureCollection is not supported")
+            .when((name == "Point") & (size < 2), "Point needs x and y")
+            .when(found.isNull(), F.concat(F.lit("unsupported geometry type: "), F.coalesce(name, F.lit("none")))),
+        )
+        return F.struct(
+            F.when(found.isNotNull(), converted).alias("geometry"),
+            found.alias("geometry_type"),
+            error.alias("error"),
+        )
+
+    return V.let(kind, result)

@@ -28,6 +28,11 @@ def _lookup(pairs: str, key: Column) -> Column:
     return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit(","), F.lit(":")), key)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once and named, not copied into each mention."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def path(*keys: str) -> str:
     """A VARIANT path for literal keys, quoted so dots and blanks are safe."""
     parts = []

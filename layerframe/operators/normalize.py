@@ -12,21 +12,24 @@ from layerframe.sources.metadata import field_specs
 from layerframe.sources.pages import attributes_of, valid_pages
 
 
-def hoist_object_id(attributes: Column, oid_field: Column) -> Column:
+def hoist_object_id(attributes: Column, oid_field: str | Column) -> Column:
     """Integer object id by field name; null when absent or not a number."""
-    return V.as_int(
-        F.try_variant_get(attributes, F.concat(F.lit("$['"), oid_field, F.lit("']")), "variant")
-    )
+    if isinstance(oid_field, str):
+        return V.get(attributes, oid_field, to="bigint")
+    return V.as_int(F.try_element_at(V.entries(attributes), oid_field))
 
 
 def normalize_attributes(attributes: Column, date_fields: Column) -> Column:
     """Attributes with date values as ISO text; unconvertible values stay raw."""
-    def convert(name: Column, value: Column) -> Column:
-        iso = dates.epoch_ms_to_iso(V.as_int(value))
+    def shown(iso: Column, value: Column) -> Column:
         # A one-element array is the built-in way from STRING to VARIANT.
         as_variant = F.try_variant_get(F.to_variant_object(F.array(iso)), "$[0]", "variant")
-        wanted = F.array_contains(date_fields, name) & iso.isNotNull()
-        return F.when(wanted, as_variant).otherwise(value)
+        return F.when(iso.isNull(), value).otherwise(as_variant)
+
+    def convert(name: Column, value: Column) -> Column:
+        iso = V.let(V.as_int(value), dates.epoch_ms_to_iso)
+        converted = V.let(iso, lambda text: shown(text, value))
+        return F.when(F.array_contains(date_fields, name), converted).otherwise(value)
 
     return F.to_variant_object(F.transform_values(V.entries(attributes), convert))
 
@@ -62,14 +65,17 @@ def normalize_features(
     pages = valid_pages(scanned)
     if normalize_dates:
         pages = pages.withColumn("_specs", field_specs(body))
+    # Page-level values are taken before the explode, so that no page travels with its
+    # features.
     features = (
         pages.select(
             "layer_url",
             "page_index",
             name.alias("_oid"),
             (dated if normalize_dates else nothing).alias("_dates"),
-            F.posexplode(V.elements(body, "features")).alias("pos", "feature"),
+            V.elements(body, "features").alias("_features"),
         )
+        .select("layer_url", "page_index", "_oid", "_dates", F.posexplode("_features").alias("pos", "feature"))
         .where(V.is_object(F.col("feature")))
     )
     # Attributes and geometry become columns of their own first, so that the many paths
@@ -87,5 +93,5 @@ def normalize_features(
         "pos",
         shown.alias("attributes"),
         G.normalize_geometry(F.col("_geometry"), sr).alias("geometry"),
-        hoist_object_id(attributes, F.col("_oid")).alias("object_id"),
+        hoist_object_id(attributes, oid_field or F.col("_oid")).alias("object_id"),
     )

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerframe.functions import dates
@@ -48,16 +47,11 @@ class Field:
 
     def read(self, attributes: Column) -> Column:
         """The typed value of this field in a VARIANT attributes object."""
-        value = V.get(attributes, self.name)
-        if self.type in ("OID", "BigInteger"):
-            return V.as_int(value)
         if self.type == "Date":
-            return dates.to_timestamp(value)
+            return dates.to_timestamp(V.get(attributes, self.name, to="bigint"))
         if self.type == "DateOnly":
-            return V.text(value).try_cast("date")
-        if isinstance(self.spark_type, T.StringType):
-            return V.text(value)
-        return F.try_variant_get(value, "$", self.spark_type.simpleString())
+            return V.get(attributes, self.name, to="string").try_cast("date")
+        return V.get(attributes, self.name, to=self.spark_type.simpleString())
 
 
 def fields_of(specs: Iterable[Any]) -> list[Field]:

@@ -42,21 +42,21 @@ def envelope_error(body: Column) -> Column:
     It counts as one only when ``error`` is an object whose own members have
     usable types.
     """
-    code, message, details = (V.get(body, "error", k) for k in ("code", "message", "details"))
-    absent = lambda v: V.kind(v) == "null"
-    usable = (
-        V.is_object(V.get(body, "error"))
-        & (absent(code) | V.lax_int(code).isNotNull())
-        & V.kind(message).isin("null", "string")
-        & (
-            absent(details)
-            | F.coalesce(
-                F.forall(V.elements(details), lambda d: V.kind(d) == "string"), F.lit(False)
-            )
+
+    def checked(error: Column) -> Column:
+        code, message, details = (V.get(error, k) for k in ("code", "message", "details"))
+        absent = lambda v: V.kind(v) == "null"
+        texts = F.forall(V.elements(details), lambda d: V.kind(d) == "string")
+        usable = (
+            V.is_object(error)
+            & (absent(code) | V.lax_int(code).isNotNull())
+            & V.kind(message).isin("null", "string")
+            & (absent(details) | F.coalesce(texts, F.lit(False)))
         )
-    )
-    said = F.coalesce(F.nullif(V.text(message), F.lit("")), F.lit("error response"))
-    return F.when(usable, F.struct(V.lax_int(code).alias("code"), said.alias("message")))
+        said = F.coalesce(F.nullif(V.text(message), F.lit("")), F.lit("error response"))
+        return F.when(usable, F.struct(V.lax_int(code).alias("code"), said.alias("message")))
+
+    return V.let(V.get(body, "error"), checked)
 
 
 def scan_pages(pages: DataFrame) -> DataFrame:
@@ -66,23 +66,18 @@ def scan_pages(pages: DataFrame) -> DataFrame:
     is dropped: see :func:`valid_pages` and :func:`quarantined_pages`.
     """
     body = F.col("body")
-    return (
-        V.parsed(pages, "payload")
-        .withColumn("error", envelope_error(body))
-        .withColumn(
-            "status",
-            F.when(body.isNull(), "not_json")
-            .when(~V.is_object(body), "not_object")
-            .when(F.col("error").isNotNull(), "service_error")
-            .otherwise("ok"),
-        )
-        .withColumn(
-            "exceeded",
-            F.coalesce(
-                V.lax_bool(V.first_of(body, "exceededTransferLimit", "exceeded_transfer_limit")),
-                F.lit(False),
-            ),
-        )
+    exceeded = V.lax_bool(V.first_of(body, "exceededTransferLimit", "exceeded_transfer_limit"))
+    parsed = V.parsed(pages, "payload").select(
+        "*",
+        envelope_error(body).alias("error"),
+        F.coalesce(exceeded, F.lit(False)).alias("exceeded"),
+    )
+    return parsed.withColumn(
+        "status",
+        F.when(body.isNull(), "not_json")
+        .when(~V.is_object(body), "not_object")
+        .when(F.col("error").isNotNull(), "service_error")
+        .otherwise("ok"),
     )
 
 
@@ -104,20 +99,25 @@ def features_of(body: Column) -> Column:
 
 def scan_features(scanned: DataFrame) -> DataFrame:
     """One row per feature object, with its position in the page."""
+    # Page-level values are taken before the explode: beside it, they would be computed
+    # per feature and drag the whole page along.
+    body = F.col("body")
+    pages = valid_pages(scanned).select(
+        "layer_url",
+        "page_index",
+        V.text(V.first_of(body, "objectIdFieldName", "object_id_field_name")).alias("oid_field"),
+        V.elements(body, "features").alias("_features"),
+    )
     return (
-        valid_pages(scanned)
-        .select(
-            "layer_url",
-            "page_index",
-            V.first_of(F.col("body"), "objectIdFieldName", "object_id_field_name").alias("_oid_name"),
-            F.posexplode(V.elements(F.col("body"), "features")).alias("pos", "feature"),
+        pages.select(
+            "layer_url", "page_index", "oid_field", F.posexplode("_features").alias("pos", "feature")
         )
         .where(V.is_object(F.col("feature")))
         .select(
             "layer_url",
             "page_index",
             "pos",
-            V.text(F.col("_oid_name")).alias("oid_field"),
+            "oid_field",
             V.get(F.col("feature"), "attributes").alias("attributes"),
             V.get(F.col("feature"), "geometry").alias("geometry"),
             "feature",
@@ -177,25 +177,16 @@ def scan_rows(
     of the same name wins.
     """
     attributes, feature = F.col("attributes"), F.col("feature")
-    has_geometry = V.has(feature, "geometry")
     columns = [F.col(k) for k in keep]
     for field in fields_of(fields):
-        value = field.read(attributes)
         if field.name == "geometry" and geometry:
             continue
-        columns.append(value.alias(field.name))
+        columns.append(field.read(attributes).alias(field.name))
+    # A present member with a null value is a VARIANT null, so it still wins here.
     for name in extras:
-        columns.append(
-            F.when(V.has(attributes, name), V.text(V.get(attributes, name)))
-            .otherwise(V.text(V.get(feature, name)))
-            .alias(name)
-        )
+        columns.append(V.text(F.coalesce(V.get(attributes, name), V.get(feature, name))).alias(name))
     if geometry:
-        columns.append(
-            F.when(has_geometry, F.col("geometry"))
-            .otherwise(V.get(attributes, "geometry"))
-            .alias("geometry")
-        )
+        columns.append(F.coalesce("geometry", V.get(attributes, "geometry")).alias("geometry"))
     return features.select(*columns)
 
 
