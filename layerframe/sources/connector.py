@@ -48,7 +48,11 @@ from layerframe.session import ship_package
 from layerframe.sources.transport import HttpStatusError, form_text, resolve
 
 PUSHDOWN_SETTING = "spark.sql.python.filterPushdown.enabled"
-PAGES_SCHEMA = "layer_url string, page_index bigint, payload string"
+PAGES_SCHEMA = T.StructType([
+    T.StructField("layer_url", T.StringType()),
+    T.StructField("page_index", T.LongType()),
+    T.StructField("payload", T.StringType()),
+])
 DEFAULT_PARTITIONS = 200
 IN_LIST_CAP = 1000
 MAX_SPLIT_DEPTH = 32
@@ -238,6 +242,7 @@ class FeatureLayerReader(DataSourceReader):
             raise ServiceError("the layer has neither paging support nor an object id field")
         # Tasks list the ids of their own range, so no id list passes through the driver.
         low, high = self.service.id_range(oid, self.where)
+        parts = min(parts, -(-total // cap))  # no more ranges than full requests
         return [_Run(plan, "oid", a, b) for a, b in _runs(low, high + 1, parts)]
 
     def read(self, partition: _Run) -> Iterator:
@@ -320,7 +325,7 @@ class FeatureLayerSource(DataSource):
     def name(cls) -> str:
         return "feature_layer"
 
-    def schema(self) -> T.StructType | str:
+    def schema(self) -> T.StructType:
         service = _Service(self.options)
         if service.options.get("output") == "pages":
             return PAGES_SCHEMA
