@@ -91,16 +91,13 @@ def normalize_geometry(geometry: Column, fallback_sr: Column | None = None) -> C
     )
     has_reference = V.has(geometry, "spatialReference") | V.has(geometry, "spatial_reference")
     coords = F.when(has_reference, without).otherwise(geometry)
-    stated = V.let(
-        reference, lambda r: F.struct(SR.epsg(r).alias("srid"), SR.raw(r).alias("raw_sr"))
-    )
     return F.when(
         ~is_null_geometry(geometry),
         F.struct(
             infer_geometry_type(geometry).alias("type"),
             coords.alias("coords"),
-            stated["srid"].alias("srid"),
-            stated["raw_sr"].alias("raw_sr"),
+            V.let(reference, SR.epsg).alias("srid"),
+            SR.raw(reference).alias("raw_sr"),
             (V.truthy(V.get(geometry, "hasZ")) | V.truthy(V.get(geometry, "has_z"))).alias("has_z"),
             (V.truthy(V.get(geometry, "hasM")) | V.truthy(V.get(geometry, "has_m"))).alias("has_m"),
         ),

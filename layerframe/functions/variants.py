@@ -23,7 +23,7 @@ KINDS = (
 FALSE_JSON = ["null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"]
 
 
-def _lookup(pairs: str, key: Column) -> Column:
+def lookup(pairs: str, key: Column) -> Column:
     """``key`` in a literal map; the map itself is folded away."""
     return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit(","), F.lit(":")), key)
 
@@ -86,7 +86,7 @@ def kind(value: Column) -> Column:
     Whole numbers beyond 64 bits and ``4326.0`` are both ``number``.
     """
     shape = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-    return F.coalesce(_lookup(KINDS, shape), F.lit("null"))
+    return F.coalesce(lookup(KINDS, shape), F.lit("null"))
 
 
 def text(value: Column) -> Column:
@@ -106,7 +106,7 @@ def truthy(value: Column) -> Column:
 
 def lax_bool(value: Column) -> Column:
     """Booleans, 0/1 and the usual words; null when it is none of them."""
-    return _lookup(WORDS, F.lower(text(value))).cast("boolean")
+    return lookup(WORDS, F.lower(text(value))).cast("boolean")
 
 
 def lax_int(value: Column) -> Column:

@@ -131,18 +131,12 @@ def _bad(path: Column, value: Column) -> Column:
     )
 
 
+# How drift records name the observed types.
+TYPE_NAMES = "null:NoneType,boolean:bool,integer:int,number:float,string:str,object:dict,array:list"
+
+
 def _type_name(value: Column) -> Column:
-    """Observed type names as drift records spell them."""
-    what = V.kind(value)
-    return (
-        F.when(what == "null", "NoneType")
-        .when(what == "boolean", "bool")
-        .when(what == "integer", "int")
-        .when(what == "string", "str")
-        .when(what == "object", "dict")
-        .when(what == "array", "list")
-        .otherwise("float")
-    )
+    return V.lookup(TYPE_NAMES, V.kind(value))
 
 
 def _indexed(value: Column, name: str) -> Column:

@@ -8,7 +8,8 @@ sends; Spark applies them again to what arrives.
 
 Options: ``url``, ``where``, ``outFields``, ``returnGeometry``, ``token``, ``timeout``,
 ``pageSize``, ``onTruncation`` (raise, ignore, split), ``numPartitions``, ``geometry``
-(JSON), ``spatialRel``, ``inSR``, ``output`` (rows, pages), ``transport``.
+(JSON), ``spatialRel``, ``inSR``, ``output`` (rows, pages), ``transport``.  Raise
+``numPartitions`` for services that allow more than a few requests at a time.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ PAGES_SCHEMA = T.StructType([
     T.StructField("page_index", T.LongType()),
     T.StructField("payload", T.StringType()),
 ])
-DEFAULT_PARTITIONS = 200
+DEFAULT_PARTITIONS = 8  # tasks, and so requests in flight at once
 IN_LIST_CAP = 1000
 MAX_SPLIT_DEPTH = 32
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
