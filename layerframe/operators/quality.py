@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from layerframe.functions import variants as V
 from layerframe.plans.rank import with_rank
+from layerframe.plans.scratch import cut_lineage
 from layerframe.sources.pages import envelope_error, features_of
 
 # --- envelopes ------------------------------------------------------------------------
@@ -300,7 +301,8 @@ def field_set_drift(presence: DataFrame, learn_pages: int = 1) -> DataFrame:
     """
     if learn_pages < 1:
         raise ValueError("learn_pages must be >= 1")
-    presence = presence.select("context", "page_index", "key").distinct()
+    # Written once: every step below starts from these short rows, not from the pages.
+    presence = cut_lineage(presence.select("context", "page_index", "key").distinct(), "presence")
     pages = with_rank(
         presence.select("context", "page_index").distinct(), ["page_index"], ["context"], "_n", size="_pages"
     )

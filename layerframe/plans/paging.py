@@ -115,7 +115,8 @@ def plan_requests(
     single = total <= cap
     paged = ~single & F.col("supports_pagination") & F.col("pagination_explicit")
     strategy = F.when(single, "single").when(paged, "offset").otherwise("oid")
-    sized = sized.withColumn("strategy", strategy)
+    # Written once: the strategies each read this table, and its totals may be costly.
+    sized = cut_lineage(sized.withColumn("strategy", strategy), "layers")
     order = F.lit(order_by) if order_by else F.col("object_id_field")
 
     one = sized.where(F.col("strategy") == "single").select(

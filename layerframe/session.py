@@ -6,6 +6,9 @@ only touches settings that may change at run time.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
@@ -24,6 +27,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A run-time setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def local_session(app: str = "layerframe", cores: int = 8, memory: str = "16g") -> SparkSession:
     """A local session for tests and the bench."""
     spark = (

@@ -131,6 +131,7 @@ def scan_feature_batches(scanned: DataFrame) -> DataFrame:
     return valid_pages(scanned).select(
         "layer_url",
         "page_index",
+        "exceeded",
         features.alias("features"),
         F.size(features).alias("n_features"),
     )

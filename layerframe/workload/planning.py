@@ -197,8 +197,9 @@ FROM (SELECT o_orderkey // 500 AS page_index, count(*) AS n FROM orders GROUP BY
 )
 def truncation_policy_query(spark, sf_dir):
     kept = apply_truncation_policy(_flagged_pages(spark, sf_dir), "ignore")
-    batches = scan_feature_batches(kept).select("page_index", F.col("n_features").cast("bigint").alias("n_features"))
-    return batches.join(kept.select("page_index", "exceeded"), "page_index")
+    return scan_feature_batches(kept).select(
+        "page_index", "exceeded", F.col("n_features").cast("bigint").alias("n_features")
+    )
 
 
 @query(

@@ -14,6 +14,7 @@ from layerframe.operators.quality import (
     strict_ids,
 )
 from layerframe.plans.scratch import scratch_path
+from layerframe.session import setting
 from layerframe.sources.pages import scan_pages
 from layerframe.streaming.drift import stream_field_set_drift, use_rocksdb
 from layerframe.streaming.pages import stream_page_table, write_stream
@@ -175,5 +176,7 @@ def stream_field_set_drift_query(spark, sf_dir):
     event_pages(spark, sf_dir).write.parquet(landing)
     use_rocksdb(spark)
     found = stream_field_set_drift(stream_page_table(spark, landing), learn_pages=2)
-    write_stream(found, sink, log).awaitTermination()
+    # State is kept per layer, and there are ten; more partitions would only hold no keys.
+    with setting(spark, "spark.sql.shuffle.partitions", "8"):
+        write_stream(found, sink, log).awaitTermination()
     return spark.read.parquet(sink)
