@@ -7,6 +7,7 @@ edge list for the exact test on what is left.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from typing import Any
 
@@ -119,6 +120,12 @@ def spatial_filter_payload(
 # --- evaluation ---------------------------------------------------------------------
 
 
+def _numbers(rows: list[tuple], names: tuple[str, ...]) -> Column:
+    """A literal ``ARRAY<STRUCT<name DOUBLE, ...>>``."""
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    return F.from_json(F.lit(text), f"array<struct<{','.join(n + ':double' for n in names)}>>")
+
+
 class _Filter:
     """A filter geometry as plain numbers: points, edges and a bounding box."""
 
@@ -152,18 +159,9 @@ class _Filter:
         )
         self.vertices = every
 
-    @property
-    def edge_array(self) -> Column:
-        return F.array(*[
-            F.struct(*[F.lit(v).alias(n) for v, n in zip(e, ("x1", "y1", "x2", "y2"))])
-            for e in self.edges
-        ])
-
-    @property
-    def vertex_array(self) -> Column:
-        return F.array(*[
-            F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in self.vertices
-        ])
+        # One text each, folded into a literal array, however many vertices there are.
+        self.edge_array = _numbers(self.edges, ("x1", "y1", "x2", "y2"))
+        self.vertex_array = _numbers(self.vertices, ("x", "y"))
 
     def in_box(self, x: Column, y: Column) -> Column:
         x0, y0, x1, y1 = self.box
@@ -216,6 +214,8 @@ class _Feature:
 
     def __init__(self, df: DataFrame, name: str):
         column, kind = F.col(name), df.schema[name].dataType
+        # Whether rows may hold anything but points.
+        self.mixed = not isinstance(kind, T.StructType) or bool({"coords", "points", "xmin"} & set(kind.names))
         if isinstance(kind, T.StructType) and "coords" in kind.names:
             self.srid, column = column["srid"], column["coords"]
             number = lambda k: V.get(column, k, to="double")
@@ -317,8 +317,16 @@ def spatial_filter(
         F.lit(False),
     )
     expected = _epsg(in_sr)
+    differs = F.lit(False)
     if expected is not None:
         differs = F.coalesce(feature.srid != expected, F.lit(False))
         message = F.concat(F.lit(f"filter reference {expected}, feature reference "), feature.srid.cast("string"))
         related = F.when(differs, F.raise_error(message).cast("boolean")).otherwise(related)
+    if wanted != "within":
+        # The box by itself, so that it can reach the scan; whatever the exact test has to
+        # see for another reason passes.
+        near = f.in_box(x, y) | differs
+        if feature.mixed:
+            near = near | x.isNull() | y.isNull()
+        df = df.where(near)
     return df.where(related)

@@ -171,7 +171,7 @@ def oid_chunks(
     cap = F.lit(cap) if isinstance(cap, int) else cap
     ids = df.select(*by, F.col(oid).alias("_oid"), cap.cast("bigint").alias("_cap")).distinct()
     ranked = with_rank(ids, ["_oid"], by, "_rank")
-    chunk = F.floor(F.col("_rank") / F.col("_cap")).cast("bigint")
+    chunk = F.expr("_rank div _cap")
     return ranked.groupBy(*by, chunk.alias("chunk_index")).agg(
         F.min("_oid").alias("lo"),
         F.max("_oid").alias("hi"),
@@ -193,7 +193,7 @@ def bisection_leaf(position: Column, size: Column, cap: int = IN_LIST_CAP) -> Co
 
     def halve(span: Column, _: Column) -> Column:
         lo, hi = span["lo"], span["hi"]
-        mid = lo + F.floor((hi - lo) / 2).cast("bigint")
+        mid = lo + F.shiftright(hi - lo, 1)
         left = position < mid
         return F.when(hi - lo <= cap, span).otherwise(
             F.struct(
@@ -306,7 +306,7 @@ def split_truncated(
 
 def _halves(left: DataFrame, cap: int) -> DataFrame:
     ids = F.col("oids")
-    mid = F.floor(F.size(ids) / 2).cast("int")
+    mid = F.shiftright(F.size(ids), 1)
     first = F.slice(ids, F.lit(1), mid)
     second = F.slice(ids, mid + 1, F.size(ids) - mid)
     parts = F.concat(cap_id_list(first, cap), cap_id_list(second, cap))

@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def page_of(key: str, size: int) -> Column:
-    return F.floor(F.col(key) / size).cast("bigint")
+    return F.expr(f"{key} div {size}")
 
 
 def millis(column: str) -> Column:
