@@ -16,7 +16,7 @@ from layerframe.plans.paging import (
 )
 from layerframe.sources.metadata import scan_metadata
 from layerframe.sources.pages import scan_feature_batches, scan_pages
-from layerframe.workload.fixtures import SERVICES, event_pages, order_features, pack_pages, page_of, table
+from layerframe.workload.fixtures import SERVICES, order_features, pack_pages, page_of, table
 from layerframe.workload.fixtures import ORDER_FIELDS, ORDERS_URL
 from layerframe.workload.registry import query
 
