@@ -3,7 +3,8 @@
 import oracle
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from layerframe.workload import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -20,8 +21,8 @@ def test_entry(spark):
     assert set(rows) == {"F", "O", "P"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf_dir, name):
-    n, found = oracle.differences(spark, duck, name, queries()[name], oracle_sql()[name], sf_dir)
+    n, found = oracle.differences(spark, duck, name, QUERIES[name], ORACLE[name], sf_dir)
     assert found == []
     assert n > 0
