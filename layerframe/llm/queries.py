@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from layerframe.llm.counts import op8_token_counts
+from layerframe.llm.language import op9_language_id
+from layerframe.llm.quality import op10_quality
 
 QUERIES = {
     "op8_token_counts": op8_token_counts,
+    "op9_language_id": op9_language_id,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
