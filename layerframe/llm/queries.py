@@ -5,9 +5,11 @@ from __future__ import annotations
 from layerframe.llm.counts import op8_token_counts
 from layerframe.llm.language import op9_language_id
 from layerframe.llm.quality import op10_quality
+from layerframe.llm.topk import op4_exact_topk
 from layerframe.llm.urls import op7_url_filter
 
 QUERIES = {
+    "op4_exact_topk": op4_exact_topk,
     "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
