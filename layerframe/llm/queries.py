@@ -7,11 +7,13 @@ from layerframe.llm.forest import op5_random_projection_forest
 from layerframe.llm.language import op9_language_id
 from layerframe.llm.quality import op10_quality
 from layerframe.llm.topk import op4_exact_topk
+from layerframe.llm.toxicity import op6_toxicity
 from layerframe.llm.urls import op7_url_filter
 
 QUERIES = {
     "op4_exact_topk": op4_exact_topk,
     "op5_random_projection_forest": op5_random_projection_forest,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
