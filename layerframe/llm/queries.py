@@ -7,12 +7,14 @@ from layerframe.llm.forest import op5_random_projection_forest
 from layerframe.llm.language import op9_language_id
 from layerframe.llm.near_duplicates import op2_near_duplicates
 from layerframe.llm.packing import op3_curve_packing
+from layerframe.llm.pieces import op1_sentencepiece
 from layerframe.llm.quality import op10_quality
 from layerframe.llm.topk import op4_exact_topk
 from layerframe.llm.toxicity import op6_toxicity
 from layerframe.llm.urls import op7_url_filter
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_curve_packing": op3_curve_packing,
     "op4_exact_topk": op4_exact_topk,
