@@ -171,7 +171,9 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, order: int = ORDER,
     means = {r["allow"]: r["mean"] for r in means if r["mean"] is not None}
     score = F.lit(None).cast("double")
     if len(means) == 2:
-        score = mean_ratio(symbols(at), model, order) - (means[True] + means[False]) / 2
+        # as a column of its own, the symbols are made once and not at each of their uses
+        rows = rows.withColumn("codes", symbols(at))
+        score = mean_ratio(F.col("codes"), model, order) - (means[True] + means[False]) / 2
     scored = rows.withColumn("score", score)
     by_rule = F.when(allowed, F.lit("allow")).otherwise(F.lit("block"))
     by_score = F.when(F.col("score") < 0, F.lit("block")).otherwise(F.lit("allow"))
