@@ -70,8 +70,8 @@ def learning_rows(docs: DataFrame, per_lang: int, seen: Column, lang: str, colum
     share = labelled.groupBy(F.col(lang).alias("_lang")).agg((F.lit(float(per_lang)) / F.count(F.lit(1))).alias("_share"))
     place = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 20)) / float(1 << 20)
     rows = labelled.select(F.col(lang).alias("_lang"), F.col(column).alias("_text"), place.alias("_place"))
-    # one row per language
-    return rows.join(share, "_lang").where("_place < _share").select("_lang", "_text")
+    # one row per language, like the model itself
+    return rows.join(F.broadcast(share), "_lang").where("_place < _share").select("_lang", "_text")
 
 
 def count_contexts(rows: DataFrame) -> DataFrame:
@@ -102,21 +102,21 @@ def freeze(counts: pd.DataFrame, order: int = ORDER) -> Codes:
     size = len(seen) + 1
     parts = [symbol[(gram >> (8 * k)) & 255] for k in range(4)]  # 0 is the byte itself
     lang = np.searchsorted(np.array(languages, object), counts["_lang"].to_numpy(object))
-    n = counts["_n"].to_numpy(np.float64)
+    n = counts["_n"].to_numpy(np.float32)
 
     n_lang = len(languages)
-    bits = np.full((1, size, n_lang), 8.0)
+    bits = np.full((1, size, n_lang), 8.0, np.float32)
     row = np.zeros(1, np.int64)  # context number to row, for the order so far
     for length in range(order + 1):
         context = np.zeros(len(gram), np.int64)
         for k in range(length, 0, -1):
             context = context * size + parts[k]
         held, place = np.unique(context, return_inverse=True)
-        table = np.zeros((len(held), size, n_lang))
+        table = np.zeros((len(held), size, n_lang), np.float32)
         np.add.at(table, (place, parts[0], lang), n)
         table[:, 0, :] = 0  # an unseen byte is never counted as seen
         total = table.sum(1, keepdims=True)
-        distinct = (table > 0).sum(1, keepdims=True)
+        distinct = (table > 0).sum(1, keepdims=True, dtype=np.float32)
         if length == 0:
             shorter = bits[np.zeros(len(held), np.int64)]
             row = np.zeros(1, np.int64)
@@ -132,7 +132,7 @@ def freeze(counts: pd.DataFrame, order: int = ORDER) -> Codes:
             numbered = np.tile(row, size)  # contexts of this length, by their shorter context
             numbered[held] = len(bits) + np.arange(len(held))
             bits, row = np.concatenate([bits, own]), numbered
-    return Codes(languages, symbol.astype(np.int32), size, row.astype(np.int32), bits.reshape(-1, n_lang).astype(np.float32))
+    return Codes(languages, symbol.astype(np.int32), size, row.astype(np.int32), bits.reshape(-1, n_lang))
 
 
 def code_lengths(codes: Codes, texts: text.Texts, order: int = ORDER) -> np.ndarray:
@@ -161,40 +161,44 @@ def learn(docs: DataFrame, seen: Column, per_lang: int = DOCS_PER_LANG, order: i
     return freeze(counts, order) if len(counts) else None
 
 
-def identify(docs: DataFrame, codes: Codes | None, order: int = ORDER, column: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(
+    docs: DataFrame, codes: Codes | None, order: int = ORDER, column: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
     """The columns ``keep`` of ``docs`` (by default all) and lang_pred, score: the language of each whole text, ``und`` without a letter.
 
     The score is the best language's share when code lengths, averaged over at most 200
     bytes' worth of evidence, are taken as probabilities; 0 for ``und``.  Null and empty
     texts, and all texts where nothing was learned, are ``und``.  Equal code lengths
-    go to the alphabetically first language.  Columns of these names are replaced.
+    go to the alphabetically first language.  ``names`` are those of the two new columns;
+    columns so named are replaced.
     One map over the rows, no shuffle.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    judged = text.fresh(docs, "_judged")
     spark = docs.sparkSession
     frozen = spark.sparkContext.broadcast(codes and vars(codes))  # bounded by the learning sample
-    held = docs.select(*(docs[f"`{c}`"] for c in kept), docs[f"`{column}`"].alias("_judged"))
+    held = docs.select(*(docs[f"`{c}`"] for c in kept), docs[f"`{column}`"].alias(judged))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = frozen.value and Codes(**frozen.value)
-        for batch in text.batches_by_size(batches, "_judged", 2 << 20):
-            texts = text.texts_of(batch.column("_judged"))
+        for batch in text.batches_by_size(batches, judged, 2 << 20):
+            texts = text.texts_of(batch.column(judged))
             if codes is None:
-                names, score = ["und"] * len(texts), np.zeros(len(texts))
+                found, score = ["und"] * len(texts), np.zeros(len(texts))
             else:
                 bits = code_lengths(codes, texts, order)
                 best = bits.argmin(1)
                 weight = np.minimum(1.0, 200.0 / np.maximum(texts.sizes, 1))[:, None]
                 odds = np.exp2((bits.min(1, keepdims=True) - bits) * weight)
                 score = 1.0 / odds.sum(1)
-                names = [codes.languages[i] for i in best]
-                for i in np.flatnonzero(~_has_letter(texts, batch.column("_judged"))):
-                    names[i], score[i] = "und", 0.0
+                found = [codes.languages[i] for i in best]
+                for i in np.flatnonzero(~_has_letter(texts, batch.column(judged))):
+                    found[i], score[i] = "und", 0.0
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score, pa.float64())], [*kept, "lang_pred", "score"]
+                [*batch.columns[:-1], pa.array(found, pa.string()), pa.array(score, pa.float64())], [*kept, *names]
             )
 
-    schema = StructType(held.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
+    schema = StructType(held.schema.fields[:-1]).add(names[0], "string").add(names[1], "double")
     return held.mapInArrow(run, schema)
 
 
