@@ -59,7 +59,7 @@ def bags(texts: text.Texts, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     total = np.zeros(len(hashes), np.uint64)
     for k in range(shingle):
         part = np.zeros(len(hashes), np.uint64)
-        part[: len(hashes) - k] = hashes[k:]
+        part[: max(0, len(hashes) - k)] = hashes[k:]
         total += np.where(left > k, text.mix(part + _nth(k)), np.uint64(0))
     begins = (left >= shingle) | ((n[words.row] < shingle) & (left == n[words.row]))
     row = words.row[begins]
@@ -293,7 +293,7 @@ def near_duplicates(
             pairs = pairs.join(known, ["pivot", "node"], "left_anti")
         pairs = cut_lineage(pairs, "pairs")
         if pairs.isEmpty():
-            break
+            continue  # the last turn may still find some
         found = cut_lineage(verified(pairs, bag, threshold), "compared")
         compared = found if compared is None else compared.unionByName(found)
         links = compared.where("alike").select(F.col("pivot").alias("a"), F.col("node").alias("b"))

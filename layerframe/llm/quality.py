@@ -100,11 +100,12 @@ def statistics(texts: text.Texts) -> np.ndarray:
 
 def with_statistics(docs: DataFrame, keep: list[str], column: str = "text") -> DataFrame:
     """The columns ``keep`` and ``stats``, the statistics of each whole text (null: empty)."""
-    held = docs.select(*(docs[f"`{c}`"] for c in keep), docs[f"`{column}`"].alias("_judged"))
+    judged = text.fresh(docs, "_judged")
+    held = docs.select(*(docs[f"`{c}`"] for c in keep), docs[f"`{column}`"].alias(judged))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text.batches_by_size(batches, "_judged", 2 << 20):
-            found = statistics(text.texts_of(batch.column("_judged")))
+        for batch in text.batches_by_size(batches, judged, 2 << 20):
+            found = statistics(text.texts_of(batch.column(judged)))
             n, k = found.shape
             offsets = pa.array(np.arange(n + 1, dtype=np.int32) * k)
             stats = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))

@@ -32,6 +32,14 @@ def remainder(key: str | Column, n: int) -> Column:
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")) % n
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows, the same ones on every run: the smallest by hash of ``key``."""
     order = F.xxhash64(F.col(key))
@@ -119,12 +127,26 @@ def _worker_powers(n: int, inverse: bool) -> np.ndarray:
     return held[0][:n]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes, by differences of one running polynomial sum."""
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _worker_powers(n, False), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _worker_powers(n + 1, True)[starts])
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """64-bit hash of each span of bytes, by differences of one running polynomial sum.
+
+    Spans come in ascending order; they are taken in blocks of about ``block`` bytes.
+    """
+    out = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        base = starts[low]
+        high = max(low + 1, int(np.searchsorted(starts, base + block)))
+        part = data[base : ends[low:high].max()]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        values = part.astype(np.uint64)
+        values += np.uint64(1)
+        values *= _worker_powers(len(part), False)
+        np.cumsum(values, out=sums[1:])
+        a, b = starts[low:high] - base, ends[low:high] - base
+        out[low:high] = mix((sums[b] - sums[a]) * _worker_powers(len(part) + 1, True)[a])
+        low = high
+    return out
 
 
 _SPACE = np.zeros(256, bool)
