@@ -19,7 +19,8 @@ ORACLE_SQL = None
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5; the network learns from the labelled ones among them."""
     model = toxicity.learn(docs, text.table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model, keep=docs.columns).where("predicted = 0").select(docs.columns)
+    score, toxic = text.fresh(docs, "score"), text.fresh(docs, "predicted")
+    return toxicity.score_toxicity(docs, model, names=(score, toxic)).where(f"{toxic} = 0").drop(score, toxic)
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,8 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     The languages are learned from the documents that state theirs.
     """
     codes = language.learn(docs, text.remainder("doc_id", 3) != 1)
-    return language.identify(docs, codes, keep=docs.columns).where("lang_pred <> 'und'").select(docs.columns)
+    lang, score = text.fresh(docs, "lang_pred"), text.fresh(docs, "score")
+    return language.identify(docs, codes, names=(lang, score)).where(f"{lang} <> 'und'").drop(lang, score)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

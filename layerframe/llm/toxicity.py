@@ -22,13 +22,14 @@ from layerframe.llm.quality import labelled_sample
 
 ROWS = 4000  # labelled documents learned from, at most
 WINDOWS_CLEAN, WINDOWS_TOXIC = 4, 16  # windows of one document learned from in one pass, at most
-HELD_BACK = 4  # every so many-th document sets the threshold instead
+HELD_BACK = 5  # every so many-th document sets the threshold instead
 WINDOW, STRIDE = 48, 36
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 17
 RUNS = (3, 4, 5)  # lengths of character runs, in bytes
 INPUT, HIDDEN = 16, 12
-EPOCHS = 8
+EPOCHS = 10
 HIDDEN_WORDS = 0.5
+_WORDS_AT_ONCE = 8192
 
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -43,23 +44,36 @@ def distinct_words(texts: text.Texts) -> tuple[np.ndarray, text.Words, dict]:
     words = text.words_of(texts, _INSIDE)
     hashes = text.span_hashes(data, words.starts, words.ends)
     held, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    starts, ends = words.starts[first], words.ends[first]
+    order = np.argsort(first)  # as they come in the texts
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    number, held, first = place[number], held[order], first[order]
     spread = text.mix(held)
-    pair = np.stack([spread % np.uint64(WORD_BUCKETS), (spread >> np.uint64(32)) % np.uint64(WORD_BUCKETS)], 1).astype(np.int64)
+    pair = np.stack([spread % np.uint64(WORD_BUCKETS), (spread >> np.uint64(32)) % np.uint64(WORD_BUCKETS)], 1).astype(np.int32)
+    runs, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for low in range(0, len(held), _WORDS_AT_ONCE):
+        some = first[low : low + _WORDS_AT_ONCE]
+        run, owner = _character_runs(data, words.starts[some], words.ends[some])
+        runs.append(run)
+        ends.append(ends[-1][-1] + np.cumsum(np.bincount(owner, minlength=len(some))))
+    return number, words, {"pair": pair, "runs": np.concatenate(runs), "ends": np.concatenate(ends), "n": len(held)}
+
+
+def _character_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word) of all runs of the words, by word."""
     runs, of = [], []
-    sizes = ends - starts
     for n in RUNS:
         # a run is marked by its length and by whether it begins the word
-        count = np.maximum(sizes - n + 1, 0)
-        owner = np.repeat(np.arange(len(held)), count)
+        count = np.maximum(ends - starts - n + 1, 0)
+        owner = np.repeat(np.arange(len(starts)), count)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         at = starts[owner] + step
         mark = np.uint64(n * 2) + (step == 0).astype(np.uint64)
-        runs.append(text.mix(text.span_hashes(data, at, at + n) + mark) % np.uint64(CHAR_BUCKETS))
+        runs.append((text.mix(text.span_hashes(data, at, at + n) + mark) % np.uint64(CHAR_BUCKETS)).astype(np.int32))
         of.append(owner)
-    runs, of = np.concatenate(runs).astype(np.int64), np.concatenate(of)
+    runs, of = np.concatenate(runs), np.concatenate(of)
     order = np.argsort(of, kind="stable")
-    return number, words, {"pair": pair, "runs": runs[order], "of": of[order], "n": len(held)}
+    return runs[order], of[order]
 
 
 def word_inputs(model: dict, buckets: dict, known: np.ndarray | None = None) -> np.ndarray:
@@ -67,11 +81,14 @@ def word_inputs(model: dict, buckets: dict, known: np.ndarray | None = None) ->
     x = model["word"][buckets["pair"][:, 0]] + model["word"][buckets["pair"][:, 1]]
     if known is not None:
         x *= known[:, None]
-    of = buckets["of"]
-    if len(of):
-        at = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        total = np.add.reduceat(model["char"][buckets["runs"]], at, axis=0)
-        x[of[at]] += total / np.diff(np.append(at, len(of)))[:, None]
+    ends = buckets["ends"]
+    for low in range(0, len(x), _WORDS_AT_ONCE):
+        edge = ends[low : low + _WORDS_AT_ONCE + 1]
+        count = np.diff(edge)
+        has = np.flatnonzero(count)
+        if len(has):
+            vectors = model["char"][buckets["runs"][edge[0] : edge[-1]]]
+            x[low + has] += np.add.reduceat(vectors, edge[has] - edge[0], axis=0) / count[has, None].astype(np.float32)
     return x
 
 
@@ -240,8 +257,8 @@ def train(column: pa.Array, label: np.ndarray, epochs: int = EPOCHS, seed: int =
 
     Each pass learns from a bounded number of windows of a document.  The first takes
     them at random.  Later ones take, of a clean document, half at random and half the
-    highest scored; of a toxic one those that score at least half its highest.  At last
-    the output is shifted to where documents held back are told apart best.
+    highest scored; of a toxic one those that score at least half its highest.  At
+    last the output is shifted to where documents held back are told apart best.
     """
     random = np.random.default_rng(seed)
     model = new_model(seed)
@@ -255,7 +272,6 @@ def train(column: pa.Array, label: np.ndarray, epochs: int = EPOCHS, seed: int =
     first = np.searchsorted(row, np.arange(len(label)))
     place = lambda by: _place(row, first, by)
     adam = _Adam(0.004)
-    run_starts = np.searchsorted(buckets["of"], np.arange(buckets["n"] + 1))
     for epoch in range(epochs):
         drawn = place(random.random(len(row)))
         if epoch == 0:
@@ -277,7 +293,7 @@ def train(column: pa.Array, label: np.ndarray, epochs: int = EPOCHS, seed: int =
             word = number[np.minimum(start[chunk] + t, len(number) - 1)]
             local, word = np.unique(word, return_inverse=True)
             word = word.reshape(steps, -1)
-            part = _part(buckets, run_starts, local)
+            part = _part(buckets, local)
             # words are often hidden as wholes, so that their characters learn to tell as well
             known = (random.random(len(local)) >= HIDDEN_WORDS).astype(np.float32)
             grads, d_x = gradients(model, word_inputs(model, part, known), word, mask, y[chunk], balance[chunk] / len(chunk))
@@ -286,8 +302,9 @@ def train(column: pa.Array, label: np.ndarray, epochs: int = EPOCHS, seed: int =
             grads["word"] = (rows, d_word + np.float32(1e-5) * model["word"][rows])
             if len(part["runs"]):
                 rows = np.unique(part["runs"])
-                share = d_x / np.maximum(np.bincount(part["of"], minlength=len(local)), 1)[:, None]
-                d_char = _sum_by(np.searchsorted(rows, part["runs"]), share[part["of"]], len(rows))
+                count = np.diff(part["ends"])
+                share = d_x / np.maximum(count, 1)[:, None].astype(np.float32)
+                d_char = _sum_by(np.searchsorted(rows, part["runs"]), np.repeat(share, count, axis=0), len(rows))
                 grads["char"] = (rows, d_char + np.float32(1e-5) * model["char"][rows])
             adam.step(model, grads)
     logits = np.full(len(label), -np.inf)
@@ -323,11 +340,13 @@ def _share_logit(label: np.ndarray) -> float:
     return float(np.log(share / (1 - share)))
 
 
-def _part(buckets: dict, run_starts: np.ndarray, local: np.ndarray) -> dict:
-    count = run_starts[local + 1] - run_starts[local]
-    of = np.repeat(np.arange(len(local)), count)
-    at = run_starts[local][of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    return {"pair": buckets["pair"][local], "runs": buckets["runs"][at], "of": of, "n": len(local)}
+def _part(buckets: dict, local: np.ndarray) -> dict:
+    """The buckets of some of the distinct words."""
+    starts = buckets["ends"][local]
+    count = buckets["ends"][local + 1] - starts
+    ends = np.append(0, np.cumsum(count))
+    at = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], count)
+    return {"pair": buckets["pair"][local], "runs": buckets["runs"][at], "ends": ends, "n": len(local)}
 
 
 # --- on tables ------------------------------------------------------------------------
@@ -353,25 +372,29 @@ def score_texts(model: dict, texts: text.Texts) -> np.ndarray:
     return out
 
 
-def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None, threshold: float = 0.5, column: str = "text") -> DataFrame:
+def score_toxicity(
+    docs: DataFrame, model: dict, keep: list[str] | None = None, threshold: float = 0.5, column: str = "text", names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
     """The columns ``keep`` of ``docs`` (by default all), score and predicted (1 from ``threshold`` on).
 
-    Null and empty texts, and texts without a letter or digit, score 0.  Columns named
-    score or predicted are replaced; repeated rows are scored alike.  One map over the
-    rows, no shuffle.
+    Null and empty texts, and texts without a letter or digit, score 0.  ``names`` are
+    those of the two new columns; columns so named are replaced.  Repeated rows are
+    scored alike.  One map over the rows, no shuffle.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+    score_name, predicted_name = names
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    judged = text.fresh(docs, "_judged")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
-    held = docs.select(*(docs[f"`{c}`"] for c in kept), docs[f"`{column}`"].alias("_judged"))
+    held = docs.select(*(docs[f"`{c}`"] for c in kept), docs[f"`{column}`"].alias(judged))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in text.batches_by_size(batches, "_judged", 2 << 20):
-            score = score_texts(model, text.texts_of(batch.column("_judged")))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*kept, "score"])
+        for batch in text.batches_by_size(batches, judged, 2 << 20):
+            score = score_texts(model, text.texts_of(batch.column(judged)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*kept, score_name])
 
-    scored = held.mapInArrow(run, StructType(held.schema.fields[:-1]).add("score", "double"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = held.mapInArrow(run, StructType(held.schema.fields[:-1]).add(score_name, "double"))
+    return scored.withColumn(predicted_name, (F.col(f"`{score_name}`") >= threshold).cast("int"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
