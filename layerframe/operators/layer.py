@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerframe.errors import LayerError, MissingFieldError
 from layerframe.operators.domains import resolve_domains
@@ -15,8 +17,24 @@ from layerframe.plans.rank import with_rank
 from layerframe.schema import Field, fields_of
 
 ALL_ROWS = "1=1"
-_INLINE_VALUES = 1000  # longer value lists become a join
-_TOP_ROWS = 100_000  # deeper slices use the distributed rank
+
+
+def _as_text(value: Any, kind: T.DataType) -> str | None:
+    """A value as text that casts to ``kind``; whole floats count as integers."""
+    if value is None:
+        return None
+    if isinstance(value, float) and value.is_integer() and isinstance(kind, T.IntegralType):
+        value = int(value)
+    return str(value)
+
+
+def quoted(name: str) -> str:
+    """A field name as a reference to the column of that very name, dots and all."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def column(name: str) -> Column:
+    return F.col(quoted(name))
 
 
 class Layer:
@@ -66,7 +84,7 @@ class Layer:
             fields = [f.strip() for f in fields.split(",")]
         if list(fields) == ["*"]:
             return self
-        return self._with(self.df.select(*[F.col(f"`{n}`") for n in self.check_fields(fields)]))
+        return self._with(self.df.select(*map(column, self.check_fields(fields))))
 
     def drop_geometry(self) -> Layer:
         return self._with(self.df.drop(self.geometry))
@@ -80,20 +98,17 @@ class Layer:
     def where_in(self, field: str, values: Iterable[Any] | DataFrame) -> Layer:
         """Rows whose field is among the values; no values, no rows.
 
-        A DataFrame of values (first column), or a list too long to inline, is a left
-        semi join without a hint, so the optimizer decides by size.
+        Values come as a list or as the first column of a DataFrame.  Either way they are
+        cast to the field's type, one that cannot be cast matches nothing, and rows are
+        kept by a left semi join without a hint, so the optimizer decides by size.
         """
         self.check_fields(field)
+        kind = self.df.schema[field].dataType
         if not isinstance(values, DataFrame):
-            values = list(values)
-            if len(values) <= _INLINE_VALUES:
-                return self._with(
-                    self.df.where(F.col(field).isin(values) if values else F.lit(False))
-                )
-            kind = self.df.schema[field].dataType
-            values = self.df.sparkSession.createDataFrame([(v,) for v in values], f"`{field}` {kind.simpleString()}")
-        wanted = values.select(F.col(values.columns[0]).alias(field)).distinct()
-        return self._with(self.df.join(wanted, field, "left_semi"))
+            texts = pa.array([_as_text(v, kind) for v in values], pa.string())
+            values = self.df.sparkSession.createDataFrame(pa.table({"_wanted": texts}))
+        wanted = values.select(column(values.columns[0]).try_cast(kind).alias("_wanted"))
+        return self._with(self.df.join(wanted, column(field) == F.col("_wanted"), "left_semi"))
 
     def spatial_filter(self, geometry: Mapping, in_sr=None, relation: str = "intersects") -> Layer:
         return self._with(spatial_filter(self.df, self.geometry, geometry, in_sr, relation))
@@ -109,26 +124,26 @@ class Layer:
     def object_ids(self) -> DataFrame:
         """All object ids, ascending."""
         oid = self._oid()
-        return self.df.select(oid).orderBy(oid)
+        return self.df.select(column(oid)).orderBy(column(oid))
 
     def unique_values(self, fields: str | Sequence[str], sortby: str | None = None) -> DataFrame:
         """Distinct values or combinations, nulls kept and sorted last."""
         names = self.check_fields(fields)
-        found = self.df.select(*names).distinct()
+        found = self.df.select(*map(column, names)).distinct()
         if sortby is None or (len(names) == 1 and sortby != names[0]):
             return found
         if sortby not in names:
             raise MissingFieldError([sortby], names)
-        return found.orderBy(F.col(sortby).asc_nulls_last())
+        return found.orderBy(column(sortby).asc_nulls_last())
 
     def value_counts(self, field: str) -> DataFrame:
         """``field, field_count``, largest first.  The null group counts 0."""
         self.check_fields(field)
         counted = f"{field}_count"
         return (
-            self.df.groupBy(field)
-            .agg(F.count(field).alias(counted))
-            .orderBy(F.desc(counted), F.col(field).asc_nulls_last())
+            self.df.groupBy(column(field))
+            .agg(F.count(column(field)).alias(counted))
+            .orderBy(column(counted).desc(), column(field).asc_nulls_last())
         )
 
     def nested_count(self, fields: Sequence[str]) -> DataFrame:
@@ -138,9 +153,9 @@ class Layer:
             raise ValueError(f"nested_count needs exactly two fields, got {names!r}")
         first, second = self.check_fields(names)
         return (
-            self.df.groupBy(first, second)
-            .agg(F.count(second).alias("Count"))
-            .orderBy(F.col(first).asc_nulls_last(), F.desc("Count"), F.col(second).asc_nulls_last())
+            self.df.groupBy(column(first), column(second))
+            .agg(F.count(column(second)).alias("Count"))
+            .orderBy(column(first).asc_nulls_last(), F.desc("Count"), column(second).asc_nulls_last())
         )
 
     # --- order, slices, samples -----------------------------------------------------------
@@ -149,32 +164,29 @@ class Layer:
         """The caller's sort if given, else by object id; unsorted without either."""
         if order_by:
             keys = [order_by] if isinstance(order_by, str) else list(order_by)
-            return self._with(self.df.orderBy(*keys))
+            return self._with(self.df.orderBy(*map(column, keys)))
         if not self.object_id_field:
             return self
-        return self._with(self.df.orderBy(self.object_id_field))
+        return self._with(self.df.orderBy(column(self.object_id_field)))
 
     def page_slice(self, offset: int, count: int) -> Layer:
-        """Rows ``offset`` to ``offset + count`` in object id order.
+        """Rows ``offset`` to ``offset + count`` in object id order, and in that order.
 
-        Near slices keep the top rows per task; far ones rank the layer once instead
-        of carrying all skipped rows.
+        The layer is ranked once, whatever the depth, so no task carries skipped rows.
         """
         oid = self._oid()
-        if offset + count <= _TOP_ROWS:
-            return self._with(self.df.orderBy(oid).offset(offset).limit(count))
         ranked = with_rank(self.df, [oid], name="_rank")
         kept = (F.col("_rank") >= offset) & (F.col("_rank") < offset + count)
-        return self._with(ranked.where(kept).drop("_rank"))
+        return self._with(ranked.where(kept).orderBy("_rank").drop("_rank"))
 
     def head(self, n: int = 10) -> Layer:
-        return self._with(self.df.orderBy(self._oid()).limit(n))
+        return self._with(self.df.orderBy(column(self._oid())).limit(n))
 
     def sample(self, n: int = 10, seed: int = 0) -> Layer:
         """``min(n, rows)`` rows without replacement; the same seed gives the same rows."""
         oid = self._oid()
-        draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(oid).cast("string")))
-        return self._with(self.df.orderBy(draw, oid).limit(n))
+        draw = F.md5(F.concat(F.lit(f"{seed}:"), column(oid).cast("string")))
+        return self._with(self.df.orderBy(draw, column(oid)).limit(n))
 
     # --- whole layer ---------------------------------------------------------------------------
 

@@ -9,19 +9,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def union_chunks(chunks: Sequence[DataFrame], srid: str = "srid") -> DataFrame:
+def union_chunks(chunks: Sequence[DataFrame], srid: str = "srid", expected: int | None = None) -> DataFrame:
     """All rows of all chunks; a row of another spatial reference fails the query.
 
-    The first row says which reference is expected, and every row is compared with it on
-    its way through, so the check costs no pass of its own.
+    A row that states no reference, as one without a geometry, fits any.  ``expected`` is
+    the layer's own reference; without it the smallest one found counts, which takes one
+    more pass over that column.  Nothing runs before the result does.
     """
     if not chunks:
         raise ValueError("nothing to union")
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chunks)
-    # Looks at one row of the first chunk that has any.
-    first = next(filter(None, (chunk.select(srid).first() for chunk in chunks)), None)
-    if first is None:
-        return whole
-    same = F.col(srid).eqNullSafe(F.lit(first[0]))
-    message = F.lit("chunks must have the same spatial reference")
-    return whole.where(F.when(same, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    if expected is None:
+        # exactly one row
+        found = whole.agg(F.min(srid).alias("_expected"))
+        checked = whole.join(F.broadcast(found))
+    else:
+        checked = whole.withColumn("_expected", F.lit(expected))
+    differs = F.coalesce(F.col(srid) != F.col("_expected"), F.lit(False))
+    said = F.concat(F.lit("a chunk is in reference "), F.col(srid).cast("string"), F.lit(", the layer in "), F.col("_expected").cast("string"))
+    checked = checked.where(F.when(differs, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+    return checked.drop("_expected")

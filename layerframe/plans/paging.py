@@ -31,9 +31,9 @@ def page_size(cap: Column, factor: Column) -> Column:
 
 def _checked(total: Column, cap: Column, factor: Column) -> Column:
     problem = (
-        F.when(total < 0, "total must be >= 0")
-        .when(cap <= 0, "record cap must be > 0")
-        .when(factor <= 0, "factor must be > 0")
+        F.when(total < 0, "a layer cannot have fewer than no rows")
+        .when(cap <= 0, "a page must hold at least one record")
+        .when(factor <= 0, "the page factor has to be positive")
     )
     return F.when(problem.isNotNull(), F.raise_error(problem).cast("bigint")).otherwise(total)
 
@@ -94,6 +94,10 @@ def in_list(field: Column, ids: Column) -> Column:
     return F.concat(field, F.lit(" In ("), listed, F.lit(")"))
 
 
+BAD_CAP = "the layer states no usable record cap"
+NO_IDS = "the layer needs object ids and none are known"
+
+
 def plan_requests(
     layers: DataFrame,
     ids: DataFrame | None = None,
@@ -108,76 +112,87 @@ def plan_requests(
 
     A layer that fits one response gets one request.  Explicit paging support gives
     offset pages, sorted by object id unless ``order_by`` is given; anything else gets
-    runs of ``max_record_count`` object ids.
+    runs of ``max_record_count`` object ids.  A layer that cannot be planned, for want of
+    a positive cap, of a total or of its ids, is one row with ``error`` and no request.
     """
     cap, total = F.col("max_record_count"), F.col("total")
-    sized = layers.withColumn("total", _checked(total, cap, F.lit(1.0)))
+    usable = F.coalesce((cap > 0) & (total >= 0), F.lit(False))
     single = total <= cap
-    paged = ~single & F.col("supports_pagination") & F.col("pagination_explicit")
-    strategy = F.when(single, "single").when(paged, "offset").otherwise("oid")
+    paged = ~single & F.coalesce(F.col("supports_pagination") & F.col("pagination_explicit"), F.lit(False))
+    strategy = F.when(~usable, "none").when(single, "single").when(paged, "offset").otherwise("oid")
     # Written once: the strategies each read this table, and its totals may be costly.
-    sized = cut_lineage(sized.withColumn("strategy", strategy), "layers")
+    sized = cut_lineage(layers.withColumn("strategy", strategy), "layers")
     order = F.lit(order_by) if order_by else F.col("object_id_field")
 
-    one = sized.where(F.col("strategy") == "single").select(
-        "layer_url",
-        F.lit(0).cast("bigint").alias("page_index"),
-        "strategy",
-        F.lit(None).cast("bigint").alias("offset"),
-        F.lit(None).cast("bigint").alias("count"),
-        "where",
-        F.lit(order_by).cast("string").alias("order_by"),
-    )
+    def requests(df: DataFrame, index: Column, offset=None, count=None, where="where", order=F.lit(order_by), error=None) -> DataFrame:
+        text = lambda c: (F.lit(None) if c is None else c).cast("string")
+        number = lambda c: (F.lit(None) if c is None else c).cast("bigint")
+        return df.select(
+            "layer_url",
+            number(index).alias("page_index"),
+            "strategy",
+            number(offset).alias("offset"),
+            number(count).alias("count"),
+            (F.col(where) if isinstance(where, str) else where).alias("where"),
+            text(order).alias("order_by"),
+            text(error).alias("error"),
+        )
+
+    unusable = requests(sized.where("strategy = 'none'"), F.lit(None), error=F.lit(BAD_CAP))
+    one = requests(sized.where("strategy = 'single'"), F.lit(0))
     if requested_page_size is not None and requested_page_size > 0:
         size = F.least(F.lit(requested_page_size).cast("bigint"), cap.cast("bigint"))
     else:
         # Callers leave the factor at 1, so only an advertised factor below 1 matters.
         size = page_size(cap, clamp_factor(F.lit(1.0), F.col("advertised_factor"))["factor"])
-    offsets = _explode_pages(
-        sized.where(F.col("strategy") == "offset").withColumn("_size", size), "total", "_size"
-    ).select(
-        "layer_url", "page_index", "strategy", "offset", "count", "where", order.alias("order_by")
-    )
-    plan = one.unionByName(offsets)
+    blocks = _explode_pages(sized.where("strategy = 'offset'").withColumn("_size", size), "total", "_size")
+    offsets = requests(blocks, F.col("page_index"), F.col("offset"), F.col("count"), order=order)
+    plan = unusable.unionByName(one).unionByName(offsets)
+    chunked = sized.where("strategy = 'oid'")
     if ids is None:
-        return plan
-    chunked = sized.where(F.col("strategy") == "oid")
-    wanted = ids.join(
+        return plan.unionByName(requests(chunked, F.lit(None), error=F.lit(NO_IDS)))
+    wanted = ids.where(F.col("oid").isNotNull()).join(
         chunked.select("layer_url", F.col("max_record_count").alias("_cap")), "layer_url"
     )
-    chunks = oid_chunks(wanted, "oid", F.col("_cap"), by=("layer_url",))
-    by_oid = chunks.join(
-        chunked.select("layer_url", "strategy", "where", "object_id_field"), "layer_url"
-    ).select(
-        "layer_url",
-        F.col("chunk_index").alias("page_index"),
-        "strategy",
-        F.lit(None).cast("bigint").alias("offset"),
-        F.lit(None).cast("bigint").alias("count"),
-        and_where(F.col("where"), in_list(F.col("object_id_field"), F.col("oids"))).alias("where"),
-        F.lit(order_by).cast("string").alias("order_by"),
+    chunks = oid_chunks(wanted, "oid", F.col("_cap"), by=("layer_url",)).drop("error")
+    # a left join: a layer without ids stays, with its error
+    by_oid = chunked.select("layer_url", "strategy", "where", "object_id_field").join(chunks, "layer_url", "left")
+    where = F.when(F.col("oids").isNull(), F.col("where")).otherwise(
+        and_where(F.col("where"), in_list(F.col("object_id_field"), F.col("oids")))
     )
-    return plan.unionByName(by_oid)
+    error = F.when(F.col("oids").isNull(), NO_IDS)
+    return plan.unionByName(requests(by_oid, F.col("chunk_index"), where=where, error=error))
 
 
 def oid_chunks(
     df: DataFrame, oid: str, cap: Column | int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Consecutive runs of ``cap`` object ids: chunk index, bounds and the ids.
+    """Consecutive runs of ``cap`` object ids: chunk index, bounds, the ids and ``error``.
 
     Ids are made distinct first, with partial aggregation, so repeated ids cost no
-    more than one row per task.
+    more than one row per task.  Ids under a cap that is null or not positive are not
+    listed: they are counted in one row with ``error`` instead of a chunk.
     """
     cap = F.lit(cap) if isinstance(cap, int) else cap
     ids = df.select(*by, F.col(oid).alias("_oid"), cap.cast("bigint").alias("_cap")).distinct()
-    ranked = with_rank(ids, ["_oid"], by, "_rank")
+    usable = F.coalesce(F.col("_cap") > 0, F.lit(False))
+    ranked = with_rank(ids.where(usable), ["_oid"], by, "_rank")
     chunk = F.expr("_rank div _cap")
-    return ranked.groupBy(*by, chunk.alias("chunk_index")).agg(
+    chunks = ranked.groupBy(*by, chunk.alias("chunk_index")).agg(
         F.min("_oid").alias("lo"),
         F.max("_oid").alias("hi"),
         F.count(F.lit(1)).alias("n_ids"),
         F.sort_array(F.collect_list("_oid")).alias("oids"),  # at most ``cap`` ids
+        F.lit(None).cast("string").alias("error"),
+    )
+    refused = (
+        ids.where(~usable)
+        .groupBy(*by)
+        .agg(F.min("_oid").alias("lo"), F.max("_oid").alias("hi"), F.count(F.lit(1)).alias("n_ids"))
+        .where("n_ids > 0")
+        .withColumn("error", F.lit(BAD_CAP))
     )
+    return chunks.unionByName(refused, allowMissingColumns=True)
 
 
 # --- capped bisection -------------------------------------------------------------
@@ -328,7 +343,7 @@ def _halves(left: DataFrame, cap: int) -> DataFrame:
 def emit_order(df: DataFrame, order: str = "request") -> DataFrame:
     """``request`` gives plan order, ``completion`` leaves the order open."""
     if order not in ("request", "completion"):
-        raise ValueError(f"order must be 'request' or 'completion', got {order!r}")
+        raise ValueError(f"no such emit order: {order!r} (request, completion)")
     if order == "completion":
         return df
     keys = [c for c in ("layer_url", "page_index", "pos") if c in df.columns]

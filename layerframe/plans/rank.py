@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerframe.plans.scratch import cut_lineage
@@ -12,6 +12,11 @@ from layerframe.plans.scratch import cut_lineage
 _SHIFT = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
+def _named(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def with_rank(
     df: DataFrame,
     order: Sequence[str],
@@ -31,7 +36,7 @@ def with_rank(
     Rows that tie on all keys get distinct ranks in no particular order.
     """
     spark = df.sparkSession
-    keys = [*by, *order]
+    keys = [_named(c) for c in (*by, *order)]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = cut_lineage(
         df.repartitionByRange(n, *keys)
@@ -42,7 +47,7 @@ def with_rank(
     placed = placed.withColumn("_part", F.shiftright("_slot", _SHIFT)).withColumn(
         "_pos", F.col("_slot").bitwiseAND((1 << _SHIFT) - 1)
     )
-    group = [F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)]
+    group = [_named(c).alias(f"_by_{i}") for i, c in enumerate(by)]
     names = [f"_by_{i}" for i in range(len(by))]
     slices = placed.groupBy(F.col("_part").alias("_slice"), *group).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
@@ -58,8 +63,8 @@ def with_rank(
         slices = F.broadcast(slices)
     on = F.col("_part") == F.col("_slice")
     for column, alias in zip(by, names):
-        on = on & F.col(column).eqNullSafe(F.col(alias))
+        on = on & _named(column).eqNullSafe(F.col(alias))
     added = [(F.col("_pos") - F.col("_first") + F.col("_before")).alias(name)]
     if size:
         added.append(F.col("_size").alias(size))
-    return placed.join(slices, on).select(*df.columns, *added)
+    return placed.join(slices, on).select(*map(_named, df.columns), *added)

@@ -17,8 +17,9 @@ from layerframe.functions import spatial_reference as SR
 from layerframe.functions import variants as V
 from layerframe.schema import Field, fields_of
 
-# Landed paths carry the page index: .../page-<n>.json or .../page_index=<n>/...
-_PAGE_NUMBER = r"page(?:-|_index=)(\d+)"
+# Landed paths carry the page index: .../page-<n>.json or .../page_index=<n>/...; of
+# several such places the last, so that a file's own name goes before its folders'.
+_PAGE_NUMBER = r"^.*page(?:-|_index=)(\d+)"
 
 
 def read_pages(spark: SparkSession, path: str, layer_url: str | None = None) -> DataFrame:

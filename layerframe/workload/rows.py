@@ -289,6 +289,29 @@ def resolve_domains_query(spark, sf_dir):
     return resolve_domains(rows, fields).select("o_orderkey", "o_orderpriority", "part", "o_totalprice")
 
 
+@query(
+    "resolve_domains_long",
+    """
+SELECT o_orderkey, CASE WHEN o_custkey % 2000 < 1500 THEN 'name ' || o_custkey % 2000 ELSE CAST(o_custkey % 2000 AS VARCHAR) END AS code,
+       CASE (o_custkey + 1) % 3 WHEN 0 THEN 'even' WHEN 1 THEN 'odd' ELSE '9007199254740994' END AS wide
+FROM orders
+""",
+)
+def resolve_domains_long_query(spark, sf_dir):
+    """A domain of 1,500 codes, and neighbouring 64-bit codes with one of them repeated."""
+    first = 9007199254740992
+    coded = lambda pairs: {"type": "codedValue", "codedValues": [{"code": c, "name": n} for c, n in pairs]}
+    fields = [
+        {"name": "code", "domain": coded((i, f"name {i}") for i in range(1500))},
+        {"name": "wide", "domain": coded([(first, "replaced"), (first + 1, "odd"), (first, "even")])},
+    ]
+    custkey = F.col("o_custkey")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (custkey % 2000).alias("code"), ((custkey + 1) % 3 + F.lit(first)).alias("wide")
+    )
+    return resolve_domains(rows, fields)
+
+
 GEOJSON = [
     '{"type": "Point", "coordinates": [%k, 2]}',
     '{"type": "Point", "coordinates": [%k, 2, 3, 4]}',

@@ -96,6 +96,15 @@ def where_in_list_query(spark, sf_dir):
     return layer.where_in("o_custkey", wanted).out_fields("o_orderkey,o_custkey").df
 
 
+@query(
+    "where_in_long_list",
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 3 = 0 AND o_custkey <= 7500",
+)
+def where_in_long_list_query(spark, sf_dir):
+    """Two and a half thousand values, as texts against a whole-number field."""
+    return orders(spark, sf_dir).where_in("o_custkey", [str(k) for k in range(0, 7501, 3)]).out_fields("o_orderkey,o_custkey").df
+
+
 # A polygon with a hole; even-odd crossing numbers in both engines.
 POLYGON = {
     "rings": [
@@ -230,6 +239,18 @@ def page_slice_query(spark, sf_dir):
     return orders(spark, sf_dir).page_slice(1200, 500).out_fields("o_orderkey,o_totalprice").df
 
 
+@query(
+    "page_slice_deep",
+    "SELECT l_id, l_partkey FROM (SELECT l_orderkey * 8 + l_linenumber AS l_id, l_partkey FROM lineitem) "
+    "ORDER BY l_id LIMIT 900 OFFSET (SELECT count(*) * 3 // 4 FROM lineitem)",
+)
+def page_slice_deep_query(spark, sf_dir):
+    """Three quarters into the layer, beyond 100,000 rows from a scale of 0.1 on."""
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("l_id"), "l_partkey")
+    layer = Layer(rows, "l_id")
+    return layer.page_slice(layer.count() * 3 // 4, 900).df
+
+
 @query("head", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 10")
 def head_query(spark, sf_dir):
     return orders(spark, sf_dir).where("o_orderstatus = 'F'").head(10).out_fields("o_orderkey,o_totalprice").df

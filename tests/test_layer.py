@@ -54,9 +54,30 @@ def test_slices_and_samples(layer):
     assert layer.sample(1000).count() == 40
 
 
-def test_far_slices_use_the_rank(layer, monkeypatch):
-    monkeypatch.setattr("layerframe.operators.layer._TOP_ROWS", 5)
-    assert sorted(r.oid for r in layer.page_slice(10, 3).df.collect()) == [10, 11, 12]
+def test_slices_keep_the_order_at_any_depth(spark, layer):
+    assert [r.oid for r in layer.page_slice(10, 3).df.collect()] == [10, 11, 12]
+    deep = Layer(spark.range(150_000).selectExpr("149999 - id AS oid"), "oid")
+    assert [r.oid for r in deep.page_slice(120_000, 4).df.collect()] == [120_000, 120_001, 120_002, 120_003]
+
+
+def test_value_lists_are_cast_whatever_their_length(spark):
+    numbers = Layer(spark.range(3000).selectExpr("id AS k", "CAST(id AS STRING) AS t"), "k")
+    assert numbers.where_in("k", [str(i) for i in range(0, 3000, 2)]).count() == 1500
+    assert numbers.where_in("k", ["5", "x", None, 7.0, 8.5]).count() == 2
+    assert numbers.where_in("t", [1, 2]).count() == 2
+    assert numbers.where_in("k", []).count() == 0
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "`OBJECT.ID` int, `Shape.STArea()` string")
+    layer = Layer(df, "OBJECT.ID")
+    name = "Shape.STArea()"
+    assert [tuple(r) for r in layer.value_counts(name).collect()] == [("a", 2), (None, 0)]
+    assert [r[0] for r in layer.unique_values(name, name).collect()] == ["a", None]
+    assert layer.where_in(name, ["a"]).count() == 2
+    assert layer.nested_count([name, "OBJECT.ID"]).count() == 3
+    assert [r[0] for r in layer.object_ids().collect()] == [1, 2, 3]
+    assert layer.head(1).sample(1).page_slice(0, 1).df.columns == df.columns
 
 
 RING = [[0, 0], [10, 0], [10, 10], [5, 4], [0, 10], [0, 0]]

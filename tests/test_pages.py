@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from layerframe.errors import TruncatedPageError
 from layerframe.functions import variants as V
-from layerframe.operators.domains import resolve_domains
+from layerframe.operators.domains import resolve_domains, resolve_domains_from
 from layerframe.operators.normalize import normalize_features
 from layerframe.operators.quality import drift_report, field_set_drift, page_keys, strict_counts, strict_ids
 from layerframe.operators.union import union_chunks
@@ -155,16 +155,16 @@ def test_field_set_drift_against_the_rule(spark, learn):
 
 
 def test_domains(spark):
-    df = spark.createDataFrame([(1, "a", 1.0), (2, "b", 5.0), (99, "1", 200.0)], "status int, code string, size double")
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "b", 5.0), (88, "1", 700.0)], "status int, code string, size double")
     fields = [
-        {"name": "status", "domain": {"type": "codedValue", "codedValues": [{"code": 1, "name": "Active"}, {"code": 2}, "bad", {"code": "99", "name": "text"}]}},
+        {"name": "status", "domain": {"type": "codedValue", "codedValues": [{"code": 1, "name": "Open"}, {"code": 2}, "bad", {"code": "88", "name": "text"}]}},
         {"name": "code", "domain": {"type": "codedValue", "codedValues": [{"code": "a", "name": "Alpha"}, {"code": 1, "name": "number"}]}},
         {"name": "size", "domain": {"type": "range", "range": [0, 10]}},
         {"name": "absent", "domain": "text"},
     ]
-    assert [tuple(r) for r in resolve_domains(df, fields).collect()] == [("Active", "Alpha", 1.0), ("2", "b", 5.0), ("99", "1", 200.0)]
+    assert [tuple(r) for r in resolve_domains(df, fields).collect()] == [("Open", "Alpha", 1.0), ("2", "b", 5.0), ("88", "1", 700.0)]
     many = [{"name": "status", "domain": {"type": "codedValue", "codedValues": [{"code": i, "name": f"n{i}"} for i in range(700)]}}]
-    assert sorted(r.status for r in resolve_domains(df, many).collect()) == ["n1", "n2", "n99"]
+    assert sorted(r.status for r in resolve_domains(df, many).collect()) == ["n1", "n2", "n88"]
     assert df.columns == resolve_domains(df, many).columns
 
 
@@ -172,9 +172,35 @@ def test_union_needs_one_reference(spark):
     a = spark.createDataFrame([(1, 3857)], "k int, srid int")
     b = spark.createDataFrame([(2, 3857, "x")], "k int, srid int, more string")
     assert union_chunks([a, b]).count() == 2
-    for other in (4326, None):
-        with pytest.raises(Exception, match="same spatial reference"):
-            union_chunks([a, spark.createDataFrame([(3, other)], "k int, srid int")]).collect()
+    none = spark.createDataFrame([(3, None)], "k int, srid int")
+    assert union_chunks([none, a, b]).count() == 3
+    other = spark.createDataFrame([(3, 4326)], "k int, srid int")
+    for chunks, expected in (([a, other], None), ([a, none, other], 3857), ([a], 4326)):
+        with pytest.raises(Exception, match="in reference"):
+            union_chunks(chunks, expected=expected).collect()
+
+
+def test_domains_from_a_table_never_multiply_rows(spark):
+    big = 9007199254740992
+    rows = spark.createDataFrame([("u", big), ("u", big + 1), ("u", 7), ("v", 7), ("u", None)], "layer_url string, code bigint")
+    codes = [("u", "code", "number", str(big), "A"), ("u", "code", "number", str(big + 1), "B"), ("u", "code", "number", "7", "old")]
+    codes += [("u", "code", "number", "7.0", "seven"), ("u", "code", "number", "NaN", "never"), ("u", "code", "string", "7", "text")]
+    table = spark.createDataFrame([(*c, i) for i, c in enumerate(codes)], "layer_url string, name string, code_kind string, code string, label string, position int")
+    found = [tuple(r) for r in resolve_domains_from(rows, table, "code").collect()]
+    assert sorted(found, key=str) == sorted([("u", "A"), ("u", "B"), ("u", "seven"), ("v", "7"), ("u", None)], key=str)
+    assert resolve_domains_from(rows, table.drop("position"), "code").count() == 5
+    fields = [{"name": "code", "domain": {"type": "codedValue", "codedValues": [{"code": float("nan"), "name": "x"}, {"code": big + 1, "name": "B"}]}}]
+    assert sorted(r.code or "" for r in resolve_domains(rows, fields).collect()) == ["", "7", "7", "9007199254740992", "B"]
+
+
+def test_page_number_is_the_file_s_own(spark):
+    from pyspark.sql import functions as F
+
+    from layerframe.sources.pages import _PAGE_NUMBER
+
+    paths = ["/in/page-2/run/page-7.json", "/in/page_index=3/part-0.txt", "/in/page-12.json", "/in/other"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(F.regexp_extract("p", _PAGE_NUMBER, 1)).collect()] == ["7", "3", "12", ""]
 
 
 def test_split_needs_more_than_one_id(spark):

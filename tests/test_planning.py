@@ -33,9 +33,9 @@ def test_factor_is_clamped(spark):
 
 @pytest.mark.parametrize("row", [(-1, 10, None), (5, 0, None)])
 def test_bad_plan_inputs(spark, row):
-    with pytest.raises(Exception, match="must be"):
+    with pytest.raises(Exception, match="fewer than no rows|at least one record"):
         pagination_plan(layers(spark, row)).collect()
-    with pytest.raises(Exception, match="must be"):
+    with pytest.raises(Exception, match="has to be positive"):
         pagination_plan(layers(spark, (5, 5, None)), factor=0).collect()
 
 
@@ -97,3 +97,27 @@ def test_three_strategies(spark):
     assert plan["off"][1].where == "ID In (10)"
     sized = plan_requests(table.where("layer_url = 'offset'"), requested_page_size=20, order_by="NAME DESC").orderBy("page_index").collect()
     assert [(r.offset, r["count"], r.order_by) for r in sized] == [(0, 10, "NAME DESC"), (10, 10, "NAME DESC"), (20, 5, "NAME DESC")]
+
+
+def test_layers_that_cannot_be_planned_are_error_rows(spark):
+    rows = [("a", 10, None, True, True), ("b", 10, 0, True, True), ("c", 10, 4, False, False), ("d", 10, 4, None, None), ("e", 3, 4, False, False), ("f", None, 4, True, True)]
+    table = spark.createDataFrame(rows, "layer_url string, total bigint, max_record_count int, supports_pagination boolean, pagination_explicit boolean")
+    table = table.selectExpr("*", "CAST(NULL AS DOUBLE) AS advertised_factor", "'OID' AS object_id_field", "'1=1' AS where")
+    ids = spark.createDataFrame([("c", i) for i in range(10)], "layer_url string, oid bigint")
+    planned = {}
+    for r in plan_requests(table, ids).collect():
+        planned.setdefault(r.layer_url, []).append((r.strategy, r.error is not None))
+    assert {k: sorted(v) for k, v in planned.items()} == {
+        "a": [("none", True)], "b": [("none", True)], "c": [("oid", False)] * 3, "d": [("oid", True)], "e": [("single", False)], "f": [("none", True)]
+    }
+    without = {r.layer_url: r.error for r in plan_requests(table).collect()}
+    assert set(without) == set("abcdef") and without["c"] and without["d"] and not without["e"]
+
+
+def test_ids_under_an_unusable_cap_are_counted_not_listed(spark):
+    df = spark.createDataFrame([(u, i, c) for u, c in (("a", 2), ("b", None), ("c", 0)) for i in range(3)], "u string, oid int, cap int")
+    from pyspark.sql import functions as F
+
+    rows = oid_chunks(df, "oid", F.col("cap"), by=("u",)).collect()
+    assert sorted((r.u, r.n_ids, r.oids, r.error is None) for r in rows if r.u == "a") == [("a", 1, [2], True), ("a", 2, [0, 1], True)]
+    assert sorted((r.u, r.n_ids, r.oids, r.chunk_index, r.error is None) for r in rows if r.u != "a") == [("b", 3, None, None, False), ("c", 3, None, None, False)]
