@@ -25,6 +25,17 @@ RASTER_LAYER = "Raster Layer"
 Documents = DataFrame | Callable[[DataFrame], DataFrame]
 
 
+def one_per_url(documents: DataFrame) -> DataFrame:
+    """One document of each url, however often it was landed.
+
+    A document answered with status 200 goes before any other; of several such ones the
+    greatest payload text stays, so that the choice does not depend on the order of rows.
+    """
+    order = F.struct((F.col("status") == 200).alias("usable"), "payload", "status")
+    kept = F.max_by(F.struct("status", "payload"), order).alias("kept")
+    return documents.groupBy("url").agg(kept).select("url", "kept.status", "kept.payload")
+
+
 def _answers(urls: DataFrame, documents: Documents, stage: str) -> DataFrame:
     """Documents of ``urls``, written once per stage.
 
@@ -37,12 +48,16 @@ def _answers(urls: DataFrame, documents: Documents, stage: str) -> DataFrame:
         found = documents.join(wanted, "url", "left_semi")
     else:
         found = documents(wanted)
-    return cut_lineage(found.select("url", "status", "payload"), stage)
+    return cut_lineage(one_per_url(found.select("url", "status", "payload")), stage)
 
 
 @dataclass(frozen=True)
 class Catalog:
-    """The tables of a crawl; all lazy."""
+    """The tables of a crawl.
+
+    What the documents of roots, folders and services say is written when the crawl is
+    called, in a live crawl also what layers say; the tables themselves are lazy.
+    """
 
     services: DataFrame  # root_url, service_name, service_type, url, service_error
     layers: DataFrame  # root_url, service_url, url, id, name, type, layer_error, body
@@ -84,9 +99,11 @@ def service_layers(services: DataFrame, documents: Documents) -> DataFrame:
         .select("root_url", "service_url", V.get(F.col("l"), "id", to="string").alias("_id"))
         .withColumn("url", F.concat_ws("/", "service_url", "_id"))
     )
-    if not isinstance(documents, DataFrame):
-        documents = _answers(listed, documents, "layers")
-    own = parse_documents(listed.join(documents.select("url", "status", "payload"), "url", "left"))
+    if isinstance(documents, DataFrame):
+        found = one_per_url(documents.join(listed.select("url").distinct(), "url", "left_semi"))
+    else:
+        found = _answers(listed, documents, "layers")
+    own = parse_documents(listed.distinct().join(found, "url", "left"))
     usable = F.col("doc_error").isNull()
     body = F.col("body")
     return own.select(
@@ -146,8 +163,9 @@ def crawl_catalog(roots: DataFrame, documents: Documents, mode: str = "report")
     )
 
 
-def filter_layers(layers: DataFrame, layer_type: str) -> DataFrame:
-    return layers.where(F.col("type") == layer_type)
+def filter_layers(layers: DataFrame, *layer_types: str) -> DataFrame:
+    """Layers of any of the types, in one pass."""
+    return layers.where(F.col("type").isin(*layer_types))
 
 
 def feature_layers(layers: DataFrame) -> DataFrame:

@@ -300,7 +300,7 @@ def field_set_drift(presence: DataFrame, learn_pages: int = 1) -> DataFrame:
     present on nearly all pages spreads like any other.
     """
     if learn_pages < 1:
-        raise ValueError("learn_pages must be >= 1")
+        raise ValueError("drift needs at least one page to learn from")
     # Written once: every step below starts from these short rows, not from the pages.
     presence = cut_lineage(presence.select("context", "page_index", "key").distinct(), "presence")
     pages = with_rank(

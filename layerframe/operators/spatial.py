@@ -11,11 +11,13 @@ import json
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerframe.errors import LayerError
+from layerframe.functions import geometry as G
+from layerframe.functions import spatial_reference as SR
 from layerframe.functions import variants as V
 
 # Accepted names of the relations, short and as services spell them.
@@ -29,92 +31,42 @@ RELATIONS = {
     "esriSpatialRelWithin": "within",
 }
 
-_PLAIN = {"Point", "MultiPoint", "LineString", "MultiLineString", "Polygon", "MultiPolygon"}
+def _on_one_row(geometry: Any, in_sr: Any) -> tuple[Any, str | None, str | None, int | None]:
+    """(Esri JSON, type, error, EPSG number), read off one literal row by the column functions."""
+    plain = lambda v: v.tolist() if hasattr(v, "tolist") else dict(v)
+    literal = lambda v: F.parse_json(F.lit(json.dumps(v, default=plain)))
+    found = G.geojson_to_esri(literal(geometry))
+    row = SparkSession.active().range(1).select(
+        F.to_json(found["geometry"]).alias("shape"), found["geometry_type"].alias("kind"), found["error"].alias("error"),
+        SR.epsg(literal(in_sr)).alias("epsg"),
+    ).first()
+    return row["shape"] and json.loads(row["shape"]), row["kind"], row["error"], row["epsg"]
 
 
-def _flags(shape: dict, positions) -> dict:
-    longest = max((len(p) for p in positions), default=0)
-    if longest >= 3:
-        shape["hasZ"] = True
-    if longest >= 4:
-        shape["hasM"] = True
-    return shape
+def filter_geometry(geometry: Any) -> tuple[dict, str]:
+    """(Esri JSON, type name) of Esri JSON, GeoJSON or an object with a ``__geo_interface__``."""
+    geometry = getattr(geometry, "__geo_interface__", geometry)
+    if not isinstance(geometry, Mapping):
+        raise TypeError(f"no geometry: {type(geometry).__name__}")
+    shape, kind, error, _ = _on_one_row(dict(geometry), None)
+    if error or kind is None:
+        raise ValueError(error or "no geometry of a known kind")
+    return shape, kind
 
 
-def filter_geometry(geometry: Any) -> tuple[dict, str]:
-    """(Esri JSON, type name) of Esri JSON, GeoJSON or a ``__geo_interface__`` object."""
-    given = getattr(geometry, "__geo_interface__", geometry)
-    if not isinstance(given, Mapping):
-        raise TypeError("geometry must be a mapping or expose __geo_interface__")
-    shape = dict(given)
-    box = {"xmin", "ymin", "xmax", "ymax"} <= shape.keys()
-    if not box and not shape.keys() & {"x", "points", "paths", "curvePaths", "rings", "curveRings"}:
-        return _from_geojson(shape)
-    if "x" in shape and "y" in shape:
-        return shape, "esriGeometryPoint"
-    for keys, name in (
-        (("points",), "esriGeometryMultipoint"),
-        (("paths", "curvePaths"), "esriGeometryPolyline"),
-        (("rings", "curveRings"), "esriGeometryPolygon"),
-    ):
-        if any(k in shape for k in keys):
-            return shape, name
-    if box:
-        return shape, "esriGeometryEnvelope"
-    raise ValueError("unsupported geometry mapping")
-
-
-def _from_geojson(shape: dict) -> tuple[dict, str]:
-    kind = shape.get("type")
-    if kind == "Feature":
-        inner = shape.get("geometry")
-        if not isinstance(inner, Mapping):
-            raise ValueError("a GeoJSON Feature must include a geometry")
-        return _from_geojson(dict(inner))
-    if kind == "FeatureCollection":
-        raise ValueError("FeatureCollection inputs are not supported; pass a single geometry")
-    coords = shape.get("coordinates")
-    if kind not in _PLAIN or not isinstance(coords, (list, tuple)):
-        raise ValueError(f"unsupported geometry type: {kind!r}")
-    if kind == "Point":
-        if len(coords) < 2:
-            raise ValueError("Point coordinates must contain at least x and y")
-        return dict(zip("xyzm", coords)), "esriGeometryPoint"
-    if kind == "MultiPoint":
-        points = [list(p) for p in coords]
-        return _flags({"points": points}, points), "esriGeometryMultipoint"
-    lines = {
-        "LineString": lambda: [coords],
-        "MultiPolygon": lambda: [ring for polygon in coords for ring in polygon],
-    }.get(kind, lambda: coords)()
-    lists = [[list(p) for p in line] for line in lines]
-    key, name = ("paths", "esriGeometryPolyline") if "Line" in kind else ("rings", "esriGeometryPolygon")
-    return _flags({key: lists}, [p for line in lists for p in line]), name
-
-
-def _epsg(sr: Any) -> int | None:
-    if isinstance(sr, Mapping):
-        sr = sr.get("latestWkid") or sr.get("wkid")
-        return sr if isinstance(sr, int) else None
-    if isinstance(sr, str):
-        try:
-            return int(sr)
-        except ValueError:
-            return None
-    return sr if isinstance(sr, int) else None
-
-
-def spatial_filter_payload(
-    geometry: Any, in_sr: Any = None, relation: str = "esriSpatialRelIntersects"
-) -> dict:
-    """Request parameters that make a service apply the filter."""
+def _epsg(in_sr: Any) -> int | None:
+    return None if in_sr is None else _on_one_row({}, in_sr)[3]
+
+
+def filter_options(geometry: Any, in_sr: Any = None, relation: str = "intersects") -> dict[str, str]:
+    """Options that make the live connector hand the filter on to its service."""
     shape, kind = filter_geometry(geometry)
-    payload = {"geometry": shape, "geometryType": kind, "spatialRel": relation}
-    if _epsg(in_sr) is not None:
-        payload["inSR"] = _epsg(in_sr)
-    elif isinstance(in_sr, Mapping):
-        payload["inSR"] = dict(in_sr)
-    return payload
+    spelled = next((name for name, short in RELATIONS.items() if short == relation and name != short), relation)
+    options = {"geometry": json.dumps(shape), "geometryType": kind, "spatialRel": spelled}
+    if in_sr is not None:
+        number = _epsg(in_sr)
+        options["inSR"] = str(number) if number is not None else json.dumps(in_sr)
+    return options
 
 
 # --- evaluation ---------------------------------------------------------------------
@@ -170,10 +122,7 @@ class _Filter:
     def covers(self, x: Column, y: Column) -> Column:
         """Point inside or on the boundary."""
         if not self.edges:
-            test = F.lit(False)
-            for px, py in self.points:
-                test = test | ((x == px) & (y == py))
-            return test
+            return F.exists(self.vertex_array, lambda v: (x == v["x"]) & (y == v["y"]))
         if self.is_box:
             return self.in_box(x, y)
         return self.in_box(x, y) & (self._on_edge(x, y) | self._odd(x, y))
@@ -215,7 +164,7 @@ class _Feature:
     def __init__(self, df: DataFrame, name: str):
         column, kind = F.col(name), df.schema[name].dataType
         # Whether rows may hold anything but points.
-        self.mixed = not isinstance(kind, T.StructType) or bool({"coords", "points", "xmin"} & set(kind.names))
+        self.mixed = not isinstance(kind, T.StructType) or bool({"coords", "points", "xmin", "rings", "paths"} & set(kind.names))
         if isinstance(kind, T.StructType) and "coords" in kind.names:
             self.srid, column = column["srid"], column["coords"]
             number = lambda k: V.get(column, k, to="double")
@@ -225,15 +174,98 @@ class _Feature:
             number = lambda k: column[k] if k in kind.names else F.lit(None).cast("double")
             self.points = column["points"] if "points" in kind.names else F.lit(None).cast("array<array<double>>")
         else:
-            from layerframe.functions.spatial_reference import epsg
-
-            self.srid = epsg(V.first_of(column, "spatialReference", "spatial_reference"))
+            self.srid = SR.epsg(V.first_of(column, "spatialReference", "spatial_reference"))
             number = lambda k: V.get(column, k, to="double")
             self.points = F.try_variant_get(column, "$.points", "array<array<double>>")
+        # Lines and areas: their segments, rings closed.  Curves are not evaluated.
+        lists = "array<array<array<double>>>"
+        variant = not isinstance(kind, T.StructType) or "coords" in kind.names
+        part = lambda k: F.try_variant_get(column, f"$.{k}", lists) if variant else (column[k] if k in kind.names else F.lit(None).cast(lists))
+        self.rings, self.paths = part("rings"), part("paths")
+        self.curved = (V.has(column, "curveRings") | V.has(column, "curvePaths")) if variant else F.lit(False)
         self.x, self.y = number("x"), number("y")
         self.box = tuple(number(k) for k in ("xmin", "ymin", "xmax", "ymax"))
 
 
+def _segments(lists: Column, closed: bool) -> Column:
+    """``ARRAY<STRUCT<x1, y1, x2, y2>>`` of all paths or rings."""
+
+    def of(line: Column) -> Column:
+        n = F.size(line)
+        following = lambda i: F.get(line, F.when(i + 1 < n, i + 1).otherwise(0))
+        last = n - 1 if closed else n - 2
+        edge = lambda i: F.struct(
+            F.get(F.get(line, i), 0).alias("x1"), F.get(F.get(line, i), 1).alias("y1"),
+            F.get(following(i), 0).alias("x2"), F.get(following(i), 1).alias("y2"),
+        )
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), edge)).otherwise(F.array().cast(_SEGMENTS))
+
+    return F.flatten(F.transform(lists, of))
+
+
+_SEGMENTS = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+
+
+def _side(e: Column, x: Column, y: Column) -> Column:
+    return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
+
+
+def _cross(a: Column, b: Column) -> Column:
+    """Two segments cut through each other, not just touching."""
+    return (_side(a, b["x1"], b["y1"]) * _side(a, b["x2"], b["y2"]) < 0) & (_side(b, a["x1"], a["y1"]) * _side(b, a["x2"], a["y2"]) < 0)
+
+
+def _touches(e: Column, x: Column, y: Column) -> Column:
+    inside = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    return inside & (_side(e, x, y) == 0)
+
+
+def _within_segments(segments: Column, x: Column, y: Column) -> tuple[Column, Column]:
+    """(on the boundary, an odd number of crossings to the right) of a point and a feature's segments."""
+
+    def crossed(e: Column) -> Column:
+        at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+        return ((e["y1"] > y) != (e["y2"] > y)) & (x < at)
+
+    return F.exists(segments, lambda e: _touches(e, x, y)), F.size(F.filter(segments, crossed)) % 2 == 1
+
+
+def _shape_test(f: _Filter, segments: Column, area: bool, relation: str) -> Column:
+    """Polyline (``area`` False) and polygon features against the filter."""
+
+    def covered(x: Column, y: Column) -> Column:
+        """By the feature."""
+        on, odd = _within_segments(segments, x, y)
+        return (on | odd) if area else on
+
+    def strictly(x: Column, y: Column) -> Column:
+        on, odd = _within_segments(segments, x, y)
+        return ~on & odd if area else F.lit(False)
+
+    crossing = F.exists(segments, lambda s: F.exists(f.edge_array, lambda e: _cross(s, e))) if f.edges else F.lit(False)
+    vertex_covered = lambda v: covered(v["x"], v["y"])
+    if relation == "within":
+        if f.edges and not area:
+            return F.lit(False)  # a line cannot hold an area
+        around = F.forall(f.vertex_array, vertex_covered)
+        if not f.edges:
+            return around
+        middle = F.forall(f.edge_array, lambda e: covered((e["x1"] + e["x2"]) / 2, (e["y1"] + e["y2"]) / 2))
+        return around & middle & ~crossing & ~F.exists(segments, lambda s: f.holds(s["x1"], s["y1"]))
+    if relation == "contains":
+        if not f.edges:
+            return F.lit(False)
+        inside = F.forall(
+            segments,
+            lambda s: f.covers(s["x1"], s["y1"]) & f.covers(s["x2"], s["y2"]) & f.covers((s["x1"] + s["x2"]) / 2, (s["y1"] + s["y2"]) / 2),
+        )
+        return inside & ~crossing & ~F.exists(f.vertex_array, lambda v: strictly(v["x"], v["y"]))
+    met = F.exists(f.vertex_array, vertex_covered) | crossing
+    if f.edges:
+        met = met | F.exists(segments, lambda s: f.covers(s["x1"], s["y1"]) | f.covers(s["x2"], s["y2"]))
+    return met
+
+
 def _box_test(f: _Filter, box: tuple[Column, ...], relation: str) -> Column:
     """Envelope features against the filter."""
     x0, y0, x1, y1 = box
@@ -286,9 +318,10 @@ def spatial_filter(
 ) -> DataFrame:
     """Rows whose geometry is related to ``geometry``.
 
-    Point, multipoint and envelope features against point, multipoint, envelope and
-    polygon filters.  Nothing is reprojected: with ``in_sr`` given, a feature that
-    states another reference is an error.  Rows without a usable geometry are dropped.
+    Point, multipoint, envelope, polyline and polygon features against point, multipoint,
+    envelope and polygon filters.  Nothing is reprojected: with ``in_sr`` given, a feature
+    that states another reference is an error, and so is a feature with curves.  A row
+    without a geometry, or with an empty one, is related to nothing.
     """
     if relation not in RELATIONS:
         raise ValueError(f"relation must be one of {sorted(RELATIONS)}, got {relation!r}")
@@ -313,7 +346,10 @@ def spatial_filter(
     related = F.coalesce(
         F.when(x.isNotNull() & y.isNotNull(), on_point)
         .when(feature.points.isNotNull(), on_points)
-        .when(feature.box[0].isNotNull(), _box_test(f, feature.box, wanted)),
+        .when(feature.box[0].isNotNull(), _box_test(f, feature.box, wanted))
+        .when(F.size(feature.rings) > 0, _shape_test(f, _segments(feature.rings, True), True, wanted))
+        .when(F.size(feature.paths) > 0, _shape_test(f, _segments(feature.paths, False), False, wanted))
+        .when(feature.curved, F.raise_error(F.lit("features with curves cannot be evaluated here")).cast("boolean")),
         F.lit(False),
     )
     expected = _epsg(in_sr)

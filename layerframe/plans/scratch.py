@@ -8,12 +8,15 @@ temporary folder.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_written: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -25,11 +28,22 @@ def scratch_root(spark: SparkSession) -> str:
     global _local_root
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/layerframe/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/layerframe/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes what this process has written so far; no DataFrame built from it may be in use."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _written:
+        path = hadoop(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

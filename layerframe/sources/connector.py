@@ -8,7 +8,8 @@ sends; Spark applies them again to what arrives.
 
 Options: ``url``, ``where``, ``outFields``, ``returnGeometry``, ``token``, ``timeout``,
 ``pageSize``, ``onTruncation`` (raise, ignore, split), ``numPartitions``, ``geometry``
-(JSON), ``spatialRel``, ``inSR``, ``output`` (rows, pages), ``transport``.  Raise
+, ``geometryType``, ``spatialRel`` and ``inSR`` (see
+``layerframe.operators.spatial.filter_options``), ``output`` (rows, pages), ``transport``.  Raise
 ``numPartitions`` for services that allow more than a few requests at a time.
 """
 
@@ -19,6 +20,7 @@ import re
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from http.client import HTTPException
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +45,6 @@ from pyspark.sql.datasource import (
 
 from layerframe.errors import LayerError, ServiceError, TruncatedPageError
 from layerframe.functions.urls import host_key
-from layerframe.operators.spatial import spatial_filter_payload
 from layerframe.schema import fields_of
 from layerframe.session import ship_package
 from layerframe.sources.transport import HttpStatusError, form_text, resolve
@@ -94,14 +95,11 @@ class _Service:
 
     def _filtered(self, where: str) -> dict:
         form: dict[str, Any] = {"where": where}
+        # as ``layerframe.operators.spatial.filter_options`` writes them
         if "geometry" in self.options:
-            form.update(
-                spatial_filter_payload(
-                    json.loads(self.options["geometry"]),
-                    json.loads(self.options["insr"]) if "insr" in self.options else None,
-                    self.options.get("spatialrel", "esriSpatialRelIntersects"),
-                )
-            )
+            form.update({k: self.options[k.lower()] for k in ("geometry", "geometryType", "spatialRel")})
+            if "insr" in self.options:
+                form["inSR"] = self.options["insr"]
         return form
 
     def count(self, where: str) -> int:
@@ -494,7 +492,8 @@ def fetch_documents(urls: DataFrame, options: Mapping[str, str] | None = None, t
                     rows.append((url, 200, fetch(url, form, options)))
                 except HttpStatusError as error:
                     rows.append((url, error.status, None))
-                except OSError:
+                except (OSError, HTTPException, UnicodeError):
+                    # no answer, a broken one, or one that is no text
                     rows.append((url, None, None))
             yield type(batch)(rows, columns=["url", "status", "payload"]).astype({"status": "Int32"})
 

@@ -72,7 +72,7 @@ def stream_field_set_drift(scanned: DataFrame, learn_pages: int = 1) -> DataFram
     per page, never its features.
     """
     if learn_pages < 1:
-        raise ValueError("learn_pages must be >= 1")
+        raise ValueError("drift needs at least one page to learn from")
     ship_package()
     keys = F.array_distinct(
         F.flatten(

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from layerframe.operators.catalog import (
+    FEATURE_LAYER,
+    RASTER_LAYER,
     broken_layer_count,
     crawl_catalog,
-    feature_layers,
+    filter_layers,
     layer_feature_count,
-    raster_layers,
     scan_services,
 )
 from layerframe.plans.scratch import cut_lineage
@@ -225,5 +226,4 @@ def broken_layer_count_query(spark, sf_dir):
     f"WITH {SERVICES_SQL}, {LAYERS_SQL} SELECT url, id, type FROM lay WHERE type IN ('Feature Layer', 'Raster Layer')",
 )
 def filter_layers_query(spark, sf_dir):
-    layers = catalog(spark, sf_dir).layers
-    return feature_layers(layers).unionByName(raster_layers(layers)).select("url", "id", "type")
+    return filter_layers(catalog(spark, sf_dir).layers, FEATURE_LAYER, RASTER_LAYER).select("url", "id", "type")

@@ -69,3 +69,19 @@ def test_fail_fast(documents, roots):
         crawl_catalog(roots.where(F.col("root_url") == A), documents, mode="failfast")
     with pytest.raises(ValueError):
         crawl_catalog(roots, documents, mode="fast")
+
+
+def test_a_url_landed_twice_is_one_document(spark):
+    from layerframe.operators.catalog import one_per_url
+
+    rows = [("a", 500, None), ("a", 200, '{"x": 1}'), ("a", 200, '{"x": 1}'), ("b", 503, "down"), ("c", None, None)]
+    df = spark.createDataFrame(rows, "url string, status int, payload string")
+    assert sorted(tuple(r) for r in one_per_url(df).collect()) == [("a", 200, '{"x": 1}'), ("b", 503, "down"), ("c", None, None)]
+    root = "https://h/rest/services"
+    documents = [
+        (root, 200, '{"services": [{"name": "S", "type": "FeatureServer"}]}'),
+        (f"{root}/S/FeatureServer", 200, '{"layers": [{"id": 0}]}'),
+        (f"{root}/S/FeatureServer/0", 200, '{"id": 0, "type": "Feature Layer"}'),
+    ] * 2
+    found = crawl_catalog(spark.createDataFrame([(root,)], "root_url string"), spark.createDataFrame(documents, df.schema))
+    assert (found.services.count(), found.layers.count()) == (1, 1)

