@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from layerframe.functions import geometry as G
 from layerframe.functions import variants as V
-from layerframe.operators.domains import domain_codes, resolve_domains_from
-from layerframe.operators.normalize import normalize_features
-from layerframe.operators.union import union_chunks
+from layerframe.operators.domains import domain_codes
+from layerframe.operators.frames import get_df, get_geo_df
 from layerframe.plans.scratch import scratch_path
 from layerframe.sources import connector
 from layerframe.sources.metadata import layer_fields, scan_metadata
@@ -239,8 +238,8 @@ def get_df_query(spark, sf_dir):
         ).alias("payload"),
     )
     table_of_codes = domain_codes(layer_fields(scan_metadata(documents)))
-    rows = scan_rows(scan_features(scan_pages(customer_pages(spark, sf_dir))), CUSTOMER_FIELDS, geometry=False)
-    return resolve_domains_from(rows, table_of_codes, "NATION").select("OBJECTID", "NATION", "BALANCE", "SEGMENT")
+    rows = get_df(customer_pages(spark, sf_dir), CUSTOMER_FIELDS, table_of_codes, ["NATION"])
+    return rows.select("OBJECTID", "NATION", "BALANCE", "SEGMENT")
 
 
 @query(
@@ -252,17 +251,14 @@ FROM orders
 """,
 )
 def get_geo_df_query(spark, sf_dir):
-    """Two chunks of the layer, checked for one reference and put together."""
+    """Two chunks of the layer, stamped with its reference and put together."""
     pages = order_pages(spark, sf_dir)
-    chunks = [
-        normalize_features(scan_pages(pages.where(F.col("page_index") % 2 == part))).select(
-            "object_id", F.col("geometry.type").alias("geometry_type"), F.col("geometry.srid").alias("srid"),
-            V.get(F.col("geometry.coords"), "x", to="double").alias("x"),
-            V.get(F.col("geometry.coords"), "y", to="double").alias("y"),
-        )
-        for part in (0, 1)
-    ]
-    return union_chunks(chunks)
+    features = get_geo_df([pages.where(F.col("page_index") % 2 == part) for part in (0, 1)], 3857)
+    return features.select(
+        "object_id", F.col("geometry.type").alias("geometry_type"), "srid",
+        V.get(F.col("geometry.coords"), "x", to="double").alias("x"),
+        V.get(F.col("geometry.coords"), "y", to="double").alias("y"),
+    )
 
 
 @query("stream_pages", ORDER_ROWS_SQL)

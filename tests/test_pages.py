@@ -214,3 +214,26 @@ def test_split_needs_more_than_one_id(spark):
     assert max(len(r.oids) for r in done.collect()) <= 2
     with pytest.raises(TruncatedPageError, match="depth"):
         split_truncated(requests, lambda asked: asked.withColumn("exceeded", F.size("oids") > 1), max_depth=1)
+
+
+def test_a_layer_with_null_geometries_is_one_reference(spark):
+    import json
+
+    from layerframe.operators.frames import get_df, get_geo_df
+
+    shapes = [{"x": 1, "y": 2}, None, {}, {"x": None, "y": None}, {"rings": []}, {"points": []}, {"x": 3, "y": 4, "spatialReference": {"wkid": 3857}}]
+
+    def page(index, geometries, wkid=3857):
+        features = [{"attributes": {"OID": 10 * index + i}, "geometry": g} for i, g in enumerate(geometries)] + [{"attributes": {"OID": 10 * index + 9}}]
+        body = {"objectIdFieldName": "OID", "spatialReference": {"wkid": wkid}, "features": features}
+        return spark.createDataFrame([("u", index, json.dumps(body))], "layer_url string, page_index bigint, payload string")
+
+    whole = get_geo_df([page(0, shapes), page(1, shapes[::-1])], 3857)
+    assert [r.srid for r in whole.collect()] == [3857] * 16
+    assert get_geo_df(page(0, [None]), 4326).count() == 2
+    other = [{"x": 1, "y": 1, "spatialReference": {"wkid": 4326}}]
+    with pytest.raises(Exception, match="in reference"):
+        get_geo_df([page(0, shapes), page(1, other)], 3857).collect()
+    codes = spark.createDataFrame([("u", "OID", "number", "1", "one")], "layer_url string, name string, code_kind string, code string, label string")
+    rows = get_df(page(0, shapes), [{"name": "OID", "type": "esriFieldTypeInteger"}], codes, ["OID"])
+    assert sorted(r.OID for r in rows.collect()) == sorted(["0", "one", *map(str, range(2, 7)), "9"])
