@@ -14,6 +14,8 @@ from layerframe.sources.pages import envelope_error, features_of
 
 # --- envelopes ------------------------------------------------------------------------
 
+SAMPLE_CHARS = 200
+
 
 def error_envelopes(scanned: DataFrame) -> DataFrame:
     """Pages that are error documents, with code and message; never an empty page."""
@@ -202,11 +204,16 @@ def _unknown_keys(body: Column, model: str) -> Column:
             e["key"].alias("path"),
             F.lit("unknown_extra").alias("kind"),
             _type_name(e["value"]).alias("observed_type"),
-            F.to_json(e["value"]).alias("sample"),
+            _short(e["value"]).alias("sample"),
         ),
     )
 
 
+def _short(value: Column) -> Column:
+    """A sample is the beginning of the value's JSON, so that no list of features travels with it."""
+    return F.substring(F.to_json(value), 1, SAMPLE_CHARS)
+
+
 def drift_records(documents: DataFrame, model: str) -> DataFrame:
     """Every drift observation of every document, keeping the input's columns.
 
@@ -222,7 +229,7 @@ def drift_records(documents: DataFrame, model: str) -> DataFrame:
             F.lit("<root>").alias("path"),
             F.lit("not_a_mapping").alias("kind"),
             _type_name(body).alias("observed_type"),
-            F.to_json(body).alias("sample"),
+            _short(body).alias("sample"),
         )
     )
     records = F.when(~V.is_object(body), not_mapping).otherwise(

@@ -19,7 +19,7 @@ from layerframe.sources.pages import (
     scan_rows,
 )
 from layerframe.sources.sinks import write_features
-from layerframe.streaming.pages import stream_pages, write_stream
+from layerframe.streaming.pages import stream_page_table, write_stream
 from layerframe.workload.fixtures import (
     CUSTOMER_FIELDS,
     CUSTOMERS_URL,
@@ -263,12 +263,10 @@ def get_geo_df_query(spark, sf_dir):
 
 @query("stream_pages", ORDER_ROWS_SQL)
 def stream_pages_query(spark, sf_dir):
-    """Pages land as files; a stream turns them into a table of rows."""
+    """Pages land in a table; a stream turns them into rows, a few files at a time."""
     landing, sink, log = (scratch_path(spark, p) for p in ("landing", "rows", "log"))
-    order_pages(spark, sf_dir).select("page_index", F.col("payload").alias("value")).write.partitionBy(
-        "page_index"
-    ).text(landing)
-    rows = scan_rows(scan_features(stream_pages(spark, landing, ORDERS_URL)), ORDER_FIELDS)
+    order_pages(spark, sf_dir).select("layer_url", "page_index", "payload").write.parquet(landing)
+    rows = scan_rows(scan_features(stream_page_table(spark, landing, max_files=3)), ORDER_FIELDS)
     write_stream(_order_rows(rows), sink, log).awaitTermination()
     return spark.read.parquet(sink)
 
