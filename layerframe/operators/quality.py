@@ -130,7 +130,7 @@ def _bad(path: Column, value: Column) -> Column:
         path.cast("string").alias("path"),
         F.lit("bad_type").alias("kind"),
         _type_name(value).alias("observed_type"),
-        F.to_json(value).alias("sample"),
+        _short(value).alias("sample"),
     )
 
 
