@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerframe.llm import text
@@ -31,6 +31,7 @@ SHINGLE = 5
 THRESHOLD = (4, 5)  # similarity 0.8, as whole numbers
 BANDS, BAND_ROWS = 25, 5
 PIVOT_ROUNDS = 2
+LITTLE = 64  # shingles beyond a pivot that are kept with a node
 GROUP_SHINGLES = 2_000_000  # of one pivot's members that one task compares in a row
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,15 +137,10 @@ def elements(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.sort((text.mix(shingle[again] + nth.astype(np.uint64) * _GOLDEN) >> np.uint64(32)).astype(np.uint32))
 
 
-def alike(a: np.ndarray, b: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> bool:
-    """Whether the weighted Jaccard similarity of two bags, as ``elements``, reaches the threshold."""
-    num, den = threshold
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if den * len(small) < num * len(large):
-        return False
-    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-    both = int((large[at] == small).sum())
-    return den * both >= num * (len(a) + len(b) - both)
+def beyond(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What bag b has and bag a has not, both as ``elements``."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return b[a[at] != b]
 
 
 # --- on tables -------------------------------------------------------------------------
@@ -186,8 +182,17 @@ def bags_of(docs: DataFrame, nodes: DataFrame, key: str, column: str, shingle: i
     return made.dropDuplicates(["node"])
 
 
+def reaches(both: Column, a: Column, b: Column, threshold: tuple[int, int]) -> Column:
+    """Whether bags of sizes a and b with so much in common are at least so similar."""
+    num, den = threshold
+    return both * (den + num) >= (a + b) * num
+
+
 def verified(pairs: DataFrame, bag: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """(pivot, node, alike) of pairs (pivot, node, n).
+    """(pivot, node, both, alike, extra) of pairs (pivot, node, n).
+
+    ``both`` is how much their bags share, ``alike`` whether that is enough, and ``extra``
+    what the node has beyond the pivot, where that is little; else null.
 
     A pivot's members are dealt out in parts of bounded size, each with the pivot's bag first.
     """
@@ -199,19 +204,26 @@ def verified(pairs: DataFrame, bag: DataFrame, threshold: tuple[int, int] = THRE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = None
         for batch in batches:
-            found, keep = [], []
+            found, keep, extra = [], [], []
             for pivot, node, role, data in zip(*(batch.column(c) for c in ("pivot", "node", "role", "bag"))):
                 own = np.frombuffer(data.as_buffer(), np.uint32)
                 if role.as_py() == 0:
                     lead = own.copy()
                     continue
                 keep.append((pivot.as_py(), node.as_py()))
-                found.append(alike(lead, own, threshold))
+                more = beyond(lead, own)
+                found.append((len(own) - len(more), len(lead) + len(own)))
+                extra.append(more.view(np.int32) if len(more) <= LITTLE else None)
             columns = list(zip(*keep)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.binary()) for c in columns), pa.array(found, pa.bool_())], ["pivot", "node", "alike"])
+            counts = list(zip(*found)) or [(), ()]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.binary()) for c in columns), *(pa.array(c, pa.int64()) for c in counts), pa.array(extra, pa.list_(pa.int32()))],
+                ["pivot", "node", "both", "sizes", "extra"],
+            )
 
     dealt = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "role")
-    return dealt.select("pivot", "node", "role", "bag").mapInArrow(run, "pivot binary, node binary, alike boolean")
+    counted = dealt.select("pivot", "node", "role", "bag").mapInArrow(run, "pivot binary, node binary, both long, sizes long, extra array<int>")
+    return counted.select("pivot", "node", "both", reaches(F.col("both"), F.col("sizes"), F.lit(0), threshold).alias("alike"), "extra")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -238,6 +250,20 @@ def components(links: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def meeting_beyond(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(pivot, node, n) of pairs of members that share something beyond their hub, and may be alike.
+
+    Copies of one text that were changed each in its own way share nothing beyond it, so
+    few pairs meet, however many the copies.
+    """
+    few = members.where("little").select("hub", "node", "n", "label", "both", "extra").dropDuplicates(["hub", "node"])
+    spread = few.select("hub", "node", "n", "label", "both", F.explode("extra").alias("element"))
+    other = spread.select("hub", "element", F.struct("node", "n", "label", "both").alias("p"))
+    most = F.least("both", "p.both") + F.least(F.col("n") - F.col("both"), F.col("p.n") - F.col("p.both"))
+    met = spread.join(other, ["hub", "element"]).where("label <> p.label AND node < p.node")
+    return met.where(reaches(most, F.col("n"), F.col("p.n"), threshold)).select(F.col("p.node").alias("pivot"), "node", "n")
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -261,41 +287,56 @@ def near_duplicates(
     )
     nodes = cut_lineage(nodes, "bags")
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
-    members = cut_lineage(members.join(shared, "bucket").select("bucket", "node", "n"), "buckets")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut_lineage(members.join(shared, "bucket").select("bucket", "node", "n", "size"), "buckets")
+    # what a group of copies was made from shares more, and larger, buckets than any copy
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = cut_lineage(members.join(weight, "node").select("bucket", "node", "n", "weight"), "buckets")
     # a node without a key has no text to be found again by
     candidates = members.select("node").distinct().join(nodes.select("node", "rep"), "node").where("rep IS NOT NULL")
     bag = cut_lineage(bags_of(docs, candidates, key, column, shingle), "candidates")
-    compared = None
-    label = members.select("node").distinct().select("node", F.col("node").alias("label")).limit(0)
+    compared = docs.sparkSession.createDataFrame([], "pivot binary, node binary, both long, alike boolean, extra array<int>")
+    label = members.select("node", F.col("node").alias("label")).limit(0)
     for turn in range(PIVOT_ROUNDS + 1):
         open_members = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         split = open_members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         open_members = open_members.join(split.select("bucket"), "bucket")
         if turn < PIVOT_ROUNDS:
-            order = F.struct(F.xxhash64("node", F.lit(turn)), "node")
+            order = F.struct(F.lit(0) if turn else -F.col("weight"), F.xxhash64("node", F.lit(turn)), "node")
             pivots = open_members.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "label"), order).alias("p"))
         else:
             size = open_members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
             largest = size.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("largest"))
-            pivots = open_members.join(largest, "bucket").where("label <> largest").select("bucket", F.struct("node", "n", "label").alias("p"))
+            seen = compared.select(F.col("pivot").alias("hub"), "node", "both", "extra")
+            open_members = open_members.join(hubs, "bucket").join(seen, ["hub", "node"], "left")
+            is_hub = F.col("node") == F.col("hub")
+            open_members = open_members.withColumn("both", F.when(is_hub, F.col("n")).otherwise(F.col("both")))
+            open_members = open_members.withColumn("extra", F.when(is_hub, F.array().cast("array<int>")).otherwise(F.col("extra")))
+            open_members = cut_lineage(open_members.withColumn("little", F.col("extra").isNotNull()), "open")
+            minor = open_members.select("bucket", F.struct("node", "n", "label", "both", "little").alias("p"), F.col("label").alias("own"))
+            pivots = minor.join(largest, "bucket").where("own <> largest").select("bucket", "p")
+        if turn == 0:
+            hubs = cut_lineage(pivots.select("bucket", F.col("p.node").alias("hub")), "hubs")
         num, den = threshold
-        pairs = (
-            open_members.join(pivots, "bucket")
-            .where("p.label <> label")
-            # no two bags of sizes further apart can reach the threshold
-            .where((den * F.least("n", "p.n") >= num * F.greatest("n", "p.n")))
-            .groupBy(F.col("p.node").alias("pivot"), "node")
-            .agg(F.first("n").alias("n"))
-        )
-        if compared is not None:
-            known = compared.select("pivot", "node").unionByName(compared.select(F.col("node").alias("pivot"), F.col("pivot").alias("node")))
-            pairs = pairs.join(known, ["pivot", "node"], "left_anti")
+        # no two bags of sizes further apart can reach the threshold
+        may = den * F.least("n", "p.n") >= num * F.greatest("n", "p.n")
+        if turn == PIVOT_ROUNDS:
+            # within their bucket's hub two bags share at most what the lesser of them does;
+            # beyond it something too, if they meet there: see ``meeting_beyond``
+            inside = F.least("both", "p.both")
+            beside = F.when(F.col("little") & F.col("p.little"), 0).otherwise(F.least(F.col("n") - F.col("both"), F.col("p.n") - F.col("p.both")))
+            may = may & F.coalesce(reaches(inside + beside, F.col("n"), F.col("p.n"), threshold), F.lit(True))
+        pairs = open_members.join(pivots, "bucket").where("p.label <> label").where(may)
+        pairs = pairs.select(F.col("p.node").alias("pivot"), "node", "n")
+        if turn == PIVOT_ROUNDS:
+            pairs = pairs.unionByName(meeting_beyond(open_members, threshold))
+        pairs = pairs.groupBy("pivot", "node").agg(F.first("n").alias("n"))
+        known = compared.select("pivot", "node").unionByName(compared.select(F.col("node").alias("pivot"), F.col("pivot").alias("node")))
+        pairs = pairs.join(known, ["pivot", "node"], "left_anti")
         pairs = cut_lineage(pairs, "pairs")
         if pairs.isEmpty():
             continue  # the last turn may still find some
-        found = cut_lineage(verified(pairs, bag, threshold), "compared")
-        compared = found if compared is None else compared.unionByName(found)
+        compared = compared.unionByName(cut_lineage(verified(pairs, bag, threshold), "compared"))
         links = compared.where("alike").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         label = components(links)
     named = nodes.select("node", "rep").join(label, "node", "left")
