@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerframe.llm import text
-from layerframe.llm.vectors import distinct_vectors, finite, matrix
+from layerframe.llm.vectors import distinct_vectors, finite, leading, matrix
 from layerframe.plans.scratch import cut_lineage
 
 SAMPLE = 16_384  # distinct vectors that the trees are fitted on
@@ -116,8 +116,8 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, trees: int = TREES, pr
     """(query_id, rank, vec_id, score) over rows (id, vec); score is the exact cosine in doubles.
 
     ``queries`` marks the rows that are queries; a query's own id is no candidate.  Null
-    ids and zero vectors take no part; a shorter vector is continued with zeros; of rows
-    that repeat an id with the same vector one counts.  An empty table has no results.
+    ids and zero vectors take no part; a shorter vector is continued with zeros; an id with
+    several vectors counts once, by its nearest.  An empty table has no results.
     With at most 2 * ``leaf_rows`` distinct vectors every leaf is looked into.
     """
     spark = rows.sparkSession
@@ -175,18 +175,25 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, trees: int = TREES, pr
             q = matrix(asked.column("query").combine_chunks(), dim, np.float64)
             ids = [sorted(i) for i in points.column("ids").to_pylist()]
             first = np.array([i[0] for i in ids], np.int64)
+            by_id = np.argsort(first, kind="stable")
+            x, ids, first = x[by_id], [ids[i] for i in by_id], first[by_id]
+            leads, starts = np.unique(first, return_index=True)
             names = asked.column("query_id").to_pylist()
             unit_x, unit_q = unit(x), unit(q)
             for low in range(0, len(q), 256):
                 near = unit_q[low : low + 256] @ unit_x.T
                 for i, row in enumerate(near, low):
                     # the score itself decides, so whatever is within rounding of the kth goes on
-                    kth = np.partition(row, -(k + 1))[-(k + 1)] if len(row) > k + 1 else -np.inf
+                    top = row[leads != names[i]] if len(leads) == len(row) else np.maximum.reduceat(row, starts)[leads != names[i]]
+                    kth = np.partition(top, -k)[-k] if len(top) > k else -np.inf
                     close = np.flatnonzero(row >= kth - 1e-12)
                     score = cosine(q[i], x[close])
-                    best = np.lexsort((first[close], -score))[: k + 1]
+                    best = leading(np.lexsort((first[close], -score)), first[close], names[i], k)
                     pairs = sorted((-score[b], id_) for b in best for id_ in ids[close[b]] if id_ != names[i])
-                    found += [(names[i], id_, -away) for away, id_ in pairs[:k]]
+                    nearest_of = {}
+                    for away, id_ in pairs:
+                        nearest_of.setdefault(id_, away)
+                    found += [(names[i], id_, -away) for id_, away in list(nearest_of.items())[:k]]
         columns = list(zip(*found)) or [(), (), ()]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerframe.llm import text
-from layerframe.llm.vectors import distinct_vectors, finite, matrix
+from layerframe.llm.vectors import distinct_vectors, finite, leading, matrix
 from layerframe.plans.scratch import cut_lineage
 
 SAMPLE = 4096  # distinct vectors that place the top tree's splits and the first kth scores
@@ -104,10 +104,10 @@ class ShardTree:
             scores = self.x[rows] @ q
             reach = scores >= kth
             rows, scores = rows[reach], scores[reach]
-            # one more than k: the first may hold nothing but the query itself
-            for i in np.lexsort((self.first[rows], -scores))[: k + 1]:
+            first = self.first[rows]
+            for i in leading(np.lexsort((first, -scores)), first, own, k):
                 best += [(-int(scores[i]), id_) for id_ in self.ids[rows[i]] if id_ != own]
-            best = sorted(best)[:k]
+            best = sorted(set(best))[:k]
             if len(best) == k:
                 kth = max(kth, -best[-1][0])
         return [(-s, i) for s, i in best]
@@ -120,7 +120,7 @@ class ShardTree:
             score = sum(int(a) * b for a, b in zip(x, wide))
             score = max(-(1 << 63), min((1 << 63) - 1, score))
             found += [(-score, id_) for id_ in ids if id_ != own]
-        return [(-s, i) for s, i in heapq.nsmallest(k, found)]
+        return [(-s, i) for s, i in heapq.nsmallest(k, set(found))]
 
 
 # --- the search -----------------------------------------------------------------------
@@ -131,8 +131,8 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
 
     ``queries`` marks the rows that are queries.  Each is searched against every row but
     those of its own id.  Rows with a null id take no part; a shorter vector is continued
-    with zeros; of rows that repeat an id with the same vector one counts.  An empty table
-    has no results.
+    with zeros; of rows that repeat an id with the same vector, or with the same score, one
+    counts.  An empty table has no results.
     """
     spark = rows.sparkSession
     rows = rows.where(F.col("id").isNotNull())
@@ -144,8 +144,10 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     exact = largest * largest * dim < _EXACT
     kind = np.float64 if exact else object
-    sample = points.select("vec", F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(SAMPLE).select("vec").toArrow()
+    sample = points.select("vec", F.element_at("ids", 1).alias("first"), F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(SAMPLE).drop("h").toArrow()
     seeds = matrix(sample.column("vec").combine_chunks(), dim, np.float64)
+    # one vector of an id, so that the k best of them are k results
+    seed_ids, one = np.unique(sample.column("first").to_numpy(), return_index=True)
     shards = int(min(MOST_SHARDS, max(FEWEST_SHARDS, n // shard_rows)))
     top = [node[1:] for node in median_tree(seeds, max(1, len(seeds) // shards), int(np.ceil(np.log2(shards))))]
 
@@ -171,11 +173,10 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
                 continue
             q = matrix(batch.column("vec"), dim, np.float64)
             kth = np.full(len(q), -np.inf)
-            if exact and len(seeds) > k:
-                scores = q @ seeds.T
-                # the query itself, and nothing else, may stand behind a row equal to it
-                for i, v in enumerate(q):
-                    scores[i, (seeds == v).all(1)] = -np.inf
+            if exact and len(one) > k:
+                scores = q @ seeds[one].T
+                # nothing but the query itself may stand behind a row that its id comes first in
+                scores[batch.column("id").to_numpy()[:, None] == seed_ids] = -np.inf
                 kth = np.partition(scores, -k, 1)[:, -k]
             reach = upper_bounds(q, low, high) >= kth[:, None] if exact else np.ones((len(q), len(names)), bool)
             at, shard = np.nonzero(reach)

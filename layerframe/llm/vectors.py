@@ -25,7 +25,7 @@ def finite(vector: Column) -> Column:
 
 
 def distinct_vectors(rows: DataFrame, smallest: int) -> DataFrame:
-    """(vec, ids) of rows (id, vec): the ``smallest`` smallest ids of each distinct vector, ascending.
+    """(vec, ids) of rows (id, vec): the ``smallest`` smallest ids of each distinct vector, ascending, each once.
 
     Tasks first drop ids that are surely too large, so that what meets for one vector is
     at most a few ids from each task.
@@ -42,7 +42,7 @@ def distinct_vectors(rows: DataFrame, smallest: int) -> DataFrame:
                 held.clear()
             for i, id_ in enumerate(batch.column("id").to_pylist()):
                 known = held[values[starts[i] : starts[i + 1]].tobytes()]
-                if len(known) < smallest or id_ < known[-1]:
+                if id_ not in known and (len(known) < smallest or id_ < known[-1]):
                     keep[i] = True
                     known.append(id_)
                     known.sort()
@@ -50,10 +50,26 @@ def distinct_vectors(rows: DataFrame, smallest: int) -> DataFrame:
             yield batch.filter(pa.array(keep))
 
     kept = rows.select("id", "vec").mapInArrow(thin, rows.select("id", "vec").schema)
-    ids = F.slice(F.sort_array(F.collect_list("id")), 1, smallest)
+    ids = F.slice(F.sort_array(F.collect_set("id")), 1, smallest)
     return kept.groupBy("vec").agg(ids.alias("ids"))
 
 
+def leading(order: np.ndarray, first: np.ndarray, own: int, k: int) -> list[int]:
+    """Vectors, best first, until k different ids other than ``own`` come first in them.
+
+    What follows has no id that could still be among the best k: an id may have several
+    vectors, and the query's own any number of them.
+    """
+    taken, others = [], set()
+    for i in order:
+        taken.append(int(i))
+        if first[i] != own:
+            others.add(int(first[i]))
+            if len(others) == k:
+                break
+    return taken
+
+
 def matrix(column: pa.Array, dim: int, kind: type) -> np.ndarray:
     """Vectors as rows; shorter ones are continued with zeros."""
     starts, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)

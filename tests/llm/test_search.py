@@ -53,6 +53,42 @@ def test_topk_with_ties_hot_vectors_and_few_rows(spark):
     assert topk.top_k(df.limit(0), F.col("id") % 50 == 0).collect() == []
 
 
+def repeated_rows():
+    """Every row doubled, a vector shared by many repeated ids, and ids with several vectors."""
+    rows = [(i, [i % 7 + 1, -(i % 5), 3]) for i in range(40, 120)] * 2
+    rows += [(i, [9, 9, 9]) for i in range(200, 212) for _ in range(6)]
+    rows += [(300, [8, 9, 10 + i]) for i in range(9)] + [(301, [10 + i, 9, 10 - i]) for i in range(9)]
+    return rows + [(0, [9, 9, 9])] * 8 + [(150, [20 + i, 20, 20]) for i in range(9)] + [(50, [1, -4, 3])] * 2
+
+
+def test_topk_with_repeated_rows(spark):
+    rows = repeated_rows()
+    df = spark.createDataFrame(rows, "id long, vec array<bigint>").coalesce(1)
+    for shard_rows in (16, 1 << 14):
+        got = by_query(topk.top_k(df, F.col("id") % 50 == 0, shard_rows=shard_rows).collect())
+        asked = {i for i, _ in rows if i % 50 == 0}
+        want = {}
+        for i in asked:
+            scored = {(-sum(a * b for a, b in zip(v, w)), j) for q, v in rows if q == i for j, w in rows if j != i}
+            want[i] = [(j, -s) for s, j in sorted(scored)[:5]]
+        assert got == want
+
+
+def test_forest_with_repeated_rows(spark):
+    rows = [(i, [float(c) for c in v]) for i, v in repeated_rows()]
+    df = spark.createDataFrame(rows, "id long, vec array<double>").coalesce(1)
+    got = by_query(forest.nearest(df, F.col("id") % 50 == 0).collect())
+    x, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    for i in {i for i, _ in rows if i % 50 == 0}:
+        best = {}
+        for v in x[ids == i]:
+            for j, s in zip(ids, forest.cosine(v, x)):
+                best[int(j)] = max(best.get(int(j), -2.0), s)
+        best.pop(i)
+        want = sorted((-s, j) for j, s in best.items())[:5]
+        assert got[i] == [(j, -s) for s, j in want]
+
+
 def test_finite(spark):
     bad = [None, [], [1.0, None], [float("nan")], [float("inf"), 1.0], [1.0, -2.0]]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(bad)], "i int, v array<float>")
