@@ -146,8 +146,13 @@ def beyond(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 # --- on tables -------------------------------------------------------------------------
 
 
+def mark(column: str) -> Column:
+    """128 bits of a text; with the key it finds a row's text again, whether or not keys are null or repeated."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))))
+
+
 def signed(docs: DataFrame, key: str = "doc_id", column: str = "text", shingle: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """(id, node, n, bands) of each row: node is the bag's digest, n its size; null for an empty bag."""
+    """(id, mark, node, n, bands) of each row: node is the bag's digest, n its size; null for an empty bag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.batches_by_size(batches, "_text", 2 << 20):
@@ -157,14 +162,16 @@ def signed(docs: DataFrame, key: str = "doc_id", column: str = "text", shingle:
             node = digests(row, held, weight, len(texts))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
             size = np.bincount(row, weight, len(texts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(node, pa.binary()), pa.array(size), lists], ["id", "node", "n", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("mark"), pa.array(node, pa.binary()), pa.array(size), lists], ["id", "mark", "node", "n", "bands"]
+            )
 
-    held = docs.select(docs[f"`{key}`"].alias("id"), docs[f"`{column}`"].alias("_text"))
-    return held.mapInArrow(run, f"id {held.schema['id'].dataType.simpleString()}, node binary, n long, bands array<long>")
+    held = docs.select(docs[f"`{key}`"].alias("id"), mark(column).alias("mark"), docs[f"`{column}`"].alias("_text"))
+    return held.mapInArrow(run, f"id {held.schema['id'].dataType.simpleString()}, mark binary, node binary, n long, bands array<long>")
 
 
 def bags_of(docs: DataFrame, nodes: DataFrame, key: str, column: str, shingle: int) -> DataFrame:
-    """(node, bag) of ``nodes`` (node, rep), made again from the text of each one's representative."""
+    """(node, bag) of ``nodes`` (node, rep, mark), made again from the text of each one's representative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.batches_by_size(batches, "_text", 2 << 20):
@@ -177,8 +184,11 @@ def bags_of(docs: DataFrame, nodes: DataFrame, key: str, column: str, shingle: i
             out = pa.RecordBatch.from_arrays([batch.column("node"), pa.array(bag, pa.binary())], ["node", "bag"])
             yield out.filter(mine)
 
-    held = docs.select(docs[f"`{key}`"].alias("rep"), docs[f"`{column}`"].alias("_text"))
-    made = held.join(nodes.select("node", "rep"), "rep").select("node", "_text").mapInArrow(run, "node binary, bag binary")
+    held = docs.select(docs[f"`{key}`"].alias("id"), mark(column).alias("m"), docs[f"`{column}`"].alias("_text"))
+    # any number of rows without a key may share a text
+    unkeyed = held.where("id IS NULL").dropDuplicates(["m"]).join(nodes.where("rep IS NULL"), F.col("m") == F.col("mark"))
+    keyed = held.join(nodes, (F.col("id") == F.col("rep")) & (F.col("m") == F.col("mark")))
+    made = keyed.unionByName(unkeyed).select("node", "_text").mapInArrow(run, "node binary, bag binary")
     return made.dropDuplicates(["node"])
 
 
@@ -264,7 +274,7 @@ def meeting_beyond(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     return met.where(reaches(most, F.col("n"), F.col("p.n"), threshold)).select(F.col("p.node").alias("pivot"), "node", "n")
 
 
-def near_duplicates(
+def classes(
     docs: DataFrame,
     key: str = "doc_id",
     column: str = "text",
@@ -273,27 +283,22 @@ def near_duplicates(
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """(key, class_id) of each row: the smallest key of the texts it is connected with.
+    """(id, mark, label, least) of each row: the class of its text, and the class's smallest key.
 
-    Texts with equal bags are one node from the start.  Links are pairs that share a
-    band and whose weighted Jaccard similarity is at least the threshold, without
-    exception; at 0.8 a pair shares a band with probability 0.99995.  Texts without words are
-    alone: class_id is their own key.  A null key is never a class_id unless all keys of
-    the class are null.  Repeated rows are in one class; other columns are not read.
+    label and least are null for a text without words.  See ``near_duplicates``.
     """
     rows = cut_lineage(signed(docs, key, column, shingle, bands, band_rows), "bagminhash")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
-    nodes = cut_lineage(nodes, "bags")
+    nodes = cut_lineage(nodes.select("node", F.col("rep.id").alias("rep"), F.col("rep.mark").alias("mark"), "n", "bands"), "bags")
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cut_lineage(members.join(shared, "bucket").select("bucket", "node", "n", "size"), "buckets")
     # what a group of copies was made from shares more, and larger, buckets than any copy
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     members = cut_lineage(members.join(weight, "node").select("bucket", "node", "n", "weight"), "buckets")
-    # a node without a key has no text to be found again by
-    candidates = members.select("node").distinct().join(nodes.select("node", "rep"), "node").where("rep IS NOT NULL")
+    candidates = members.select("node").distinct().join(nodes.select("node", "rep", "mark"), "node")
     bag = cut_lineage(bags_of(docs, candidates, key, column, shingle), "candidates")
     compared = docs.sparkSession.createDataFrame([], "pivot binary, node binary, both long, alike boolean, extra array<int>")
     label = members.select("node", F.col("node").alias("label")).limit(0)
@@ -339,11 +344,23 @@ def near_duplicates(
         compared = compared.unionByName(cut_lineage(verified(pairs, bag, threshold), "compared"))
         links = compared.where("alike").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         label = components(links)
-    named = nodes.select("node", "rep").join(label, "node", "left")
-    least = named.where("label IS NOT NULL").groupBy("label").agg(F.min("rep").alias("least"))
-    named = named.join(least, "label", "left").select(F.col("node"), F.coalesce("least", "rep").alias("class_id"))
-    classed = rows.select("id", "node").join(named, "node", "left")
-    return classed.select(F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"))
+    named = nodes.select("node", "rep").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = named.groupBy("label").agg(F.min("rep").alias("least"))
+    named = named.join(least, "label").select("node", "label", "least")
+    return rows.select("id", "mark", "node").join(named, "node", "left").select("id", "mark", "label", "least")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text", **settings) -> DataFrame:
+    """(key, class_id) of each row: the smallest key of the texts it is connected with.
+
+    Texts with equal bags are one node from the start.  Links are pairs that share a
+    band and whose weighted Jaccard similarity is at least the threshold, without
+    exception; at 0.8 a pair shares a band with probability 0.99995.  Texts without words are
+    alone: class_id is their own key.  A null key is never a class_id unless all keys of
+    the class are null.  Repeated rows are in one class; other columns are not read.
+    ``settings`` are those of ``classes``.
+    """
+    return classes(docs, key, column, **settings).select(F.col("id").alias(key), F.coalesce("least", "id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:

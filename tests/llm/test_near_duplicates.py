@@ -102,6 +102,23 @@ def test_copies_of_one_text_with_their_own_changes(spark):
     assert found(spark, docs) == sorted(brute_force(docs))
 
 
+def test_texts_without_a_key_link_what_is_near_them(spark):
+    # each keyed text is near the one without a key alone: the chain holds through it
+    docs, want = [], []
+    for g in range(12):
+        words = [f"g{g}w{i}" for i in range(124)]
+        docs += [(10 * g, " ".join(words[:100])), (None, " ".join(words[10:110])), (10 * g + 1, " ".join(words[20:120]))]
+        want += [(10 * g, 10 * g), (10 * g + 1, 10 * g), (None, 10 * g)]
+    # a repeated key with texts of its own, one of them near a text without a key
+    other = [f"other{i}" for i in range(110)]
+    docs += [(500, "quite another text of few words"), (500, " ".join(other[:100])), (None, " ".join(other[5:105])), (501, " ".join(other[10:]))]
+    want += [(500, 500), (500, 500), (None, 500), (501, 500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for _ in range(2):
+        assert Counter((r.doc_id, r.class_id) for r in nd.near_duplicates(df).collect()) == Counter(want)
+        df = df.where("doc_id IS NOT NULL OR text LIKE 'g%'").unionByName(df.where("doc_id IS NULL AND text NOT LIKE 'g%'")).coalesce(1)
+
+
 def test_components(spark):
     links = [(bytes([a]), bytes([b])) for a, b in [(1, 2), (2, 3), (9, 3), (20, 21), (21, 22), (5, 5)]]
     rows = nd.components(spark.createDataFrame(links, "a binary, b binary")).collect()
