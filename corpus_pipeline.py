@@ -34,8 +34,8 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
-    return near_duplicates.keep_one(docs)
+    """One row of each class of near duplicates, rows with null or repeated ids included."""
+    return near_duplicates.keep_one(docs, unkeyed=False)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -363,14 +363,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text",
     return classes(docs, key, column, **settings).select(F.col("id").alias(key), F.coalesce("least", "id").alias("class_id"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """``docs`` with one document of each class of near duplicates: that of the smallest key.
+def keep_one(docs: DataFrame, key: str = "doc_id", column: str = "text", unkeyed: bool = True) -> DataFrame:
+    """``docs`` with one row of each class of near duplicates: one of the smallest key.
 
-    Of rows that repeat that key one stays.  Rows without a key all stay.
+    Rows are told apart by key and text, so rows that repeat a key stay if their classes
+    differ.  Rows without a key all stay; with ``unkeyed`` false they are members like
+    others, chosen where no row of the class has a key.  A text without words is alone: of
+    those that repeat a key one stays, of those without a key all.
     """
-    kept = near_duplicates(docs, key, column).where(F.col(key) == F.col("class_id")).select(key).distinct()
-    one = docs.join(kept, key).dropDuplicates([key]).select(docs.columns)
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    of = cut_lineage(classes(docs, key, column), "classes")
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "mark")
+    worded = of.where("label IS NOT NULL").groupBy("label").agg(F.min(row).alias("row"))
+    wordless = of.where("label IS NULL AND id IS NOT NULL").groupBy("id").agg(F.min(row).alias("row"))
+    kept = worded.select("row.*").unionByName(wordless.select("row.*"))
+    own = text.fresh(docs, "mark")
+    marked = docs.withColumn(own, mark(column)).alias("d")
+    alone = F.col(f"`{key}`").isNull()
+    if not unkeyed:
+        alone = alone & F.coalesce(F.col(f"`{column}`"), F.lit("")).rlike(r"\A[\t-\r ]*\z")
+    taken = kept.where("NOT none").select(F.col("id").alias("k_id"), F.col("mark").alias("k_mark"))
+    one = marked.join(taken, (F.col(f"d.`{key}`") == F.col("k_id")) & (F.col(f"d.`{own}`") == F.col("k_mark")), "left_semi")
+    one = one.dropDuplicates([key, own]).unionByName(marked.where(alone))
+    if not unkeyed:
+        # any number of rows without a key may share a text
+        taken = kept.where("none").select(F.col("mark").alias("k_mark"))
+        bare = marked.where(F.col(f"d.`{key}`").isNull()).dropDuplicates([own])
+        one = one.unionByName(bare.join(taken, F.col(own) == F.col("k_mark"), "left_semi"))
+    return one.select(*(f"`{c}`" for c in docs.columns))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,25 @@ def test_one_of_each_class_stays(spark, docs, sf_dir):
     assert ids(kept) == sorted({c for _, c in classes})
 
 
+def test_one_of_each_class_stays_whatever_the_ids(spark, sf_dir):
+    words = [f"w{i}" for i in range(100)]
+    near = [" ".join([*words[:i], "new", *words[i + 1 :]]) for i in (10, 40, 70)]
+    rows = [(7, " ".join(words)), (7, "a clean text that is near nothing else"), (7, "a clean text that is near nothing else"), (7, "one more of its own kind here")]
+    rows += [(None, near[0]), (8, near[1]), (None, near[2])]
+    bare = [t.replace("w", "bare") for t in near]
+    rows += [(None, t) for t in [*bare, bare[0]]] + [(None, "all alone without an id of its own")]
+    rows += [(9, ""), (9, " "), (9, "nine has words"), (None, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS mark", "1 AS label")
+    kept = corpus_pipeline.without_near_duplicates(spark, df, sf_dir)
+    assert kept.columns == df.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(t for k, t in found if k == 7) == sorted({t for k, t in rows if k == 7})
+    assert sum(k == 8 for k, _ in found) == 0
+    assert sum(t in bare for _, t in found) == 1 and not any(t in near for _, t in found)
+    assert sum(k == 9 for k, _ in found) == 2 and (9, "nine has words") in found
+    assert (None, "all alone without an id of its own") in found and sum(k is None for k, _ in found) == 4
+
+
 def test_empty_tables(spark, docs, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
