@@ -26,9 +26,12 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; null and empty texts and those without a letter go.
 
-    The languages are learned from the documents that state theirs.
+    The languages are learned from the documents that state theirs; where none does, the
+    same documents go and all others stay.
     """
     codes = language.learn(docs, text.remainder("doc_id", 3) != 1)
+    if codes is None:
+        return language.with_letter(docs)
     lang, score = text.fresh(docs, "lang_pred"), text.fresh(docs, "score")
     return language.identify(docs, codes, names=(lang, score)).where(f"{lang} <> 'und'").drop(lang, score)
 

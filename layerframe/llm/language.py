@@ -202,6 +202,16 @@ def identify(
     return held.mapInArrow(run, schema)
 
 
+def with_letter(docs: DataFrame, column: str = "text") -> DataFrame:
+    """The rows whose text has a letter, which is all that can be asked where nothing was learned."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text.batches_by_size(batches, column, 2 << 20):
+            yield batch.filter(pa.array(_has_letter(text.texts_of(batch.column(column)), batch.column(column))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _has_letter(texts: text.Texts, column: pa.Array) -> np.ndarray:
     """Whether a text has a letter; only texts without an ASCII letter are looked at one by one."""
     letter = ((texts.data | 32) - 97) < 26

@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from layerframe.llm import language, text, toxicity
@@ -43,6 +44,13 @@ def test_documents_without_a_language_go(spark, docs, sf_dir):
     assert language.learn(docs.limit(0), text.remainder("doc_id", 3) != 1) is None
 
 
+def test_without_stated_languages_only_texts_without_a_letter_go(spark, docs, sf_dir):
+    unstated = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.in_a_language(spark, unstated, sf_dir)
+    assert kept.columns == docs.columns
+    assert ids(kept) == sorted(r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
+
+
 def test_one_of_each_class_stays(spark, docs, sf_dir):
     kept = corpus_pipeline.without_near_duplicates(spark, docs, sf_dir)
     assert kept.columns == docs.columns
