@@ -40,7 +40,7 @@ def normalize_features(
     sr: Column | None = None,
     normalize_dates: bool = False,
 ) -> DataFrame:
-    """``attributes VARIANT, geometry STRUCT, object_id BIGINT`` per feature object.
+    """``attributes VARIANT, geometry STRUCT, object_id BIGINT, exceeded BOOLEAN`` per feature object.
 
     ``sr`` is a VARIANT fallback for geometries without a reference.  The declared
     field list of each page says which attributes are dates.
@@ -71,11 +71,12 @@ def normalize_features(
         pages.select(
             "layer_url",
             "page_index",
+            "exceeded",
             name.alias("_oid"),
             (dated if normalize_dates else nothing).alias("_dates"),
             V.elements(body, "features").alias("_features"),
         )
-        .select("layer_url", "page_index", "_oid", "_dates", F.posexplode("_features").alias("pos", "feature"))
+        .select("layer_url", "page_index", "exceeded", "_oid", "_dates", F.posexplode("_features").alias("pos", "feature"))
         .where(V.is_object(F.col("feature")))
     )
     # Attributes and geometry become columns of their own first, so that the many paths
@@ -94,4 +95,5 @@ def normalize_features(
         shown.alias("attributes"),
         G.normalize_geometry(F.col("_geometry"), sr).alias("geometry"),
         hoist_object_id(attributes, oid_field or F.col("_oid")).alias("object_id"),
+        "exceeded",
     )

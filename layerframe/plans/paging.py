@@ -114,6 +114,7 @@ def plan_requests(
     offset pages, sorted by object id unless ``order_by`` is given; anything else gets
     runs of ``max_record_count`` object ids.  A layer that cannot be planned, for want of
     a positive cap, of a total or of its ids, is one row with ``error`` and no request.
+    ``total`` and ``object_id_field`` repeat the layer's, ``oids`` are the ids a request lists.
     """
     cap, total = F.col("max_record_count"), F.col("total")
     usable = F.coalesce((cap > 0) & (total >= 0), F.lit(False))
@@ -124,9 +125,9 @@ def plan_requests(
     sized = cut_lineage(layers.withColumn("strategy", strategy), "layers")
     order = F.lit(order_by) if order_by else F.col("object_id_field")
 
-    def requests(df: DataFrame, index: Column, offset=None, count=None, where="where", order=F.lit(order_by), error=None) -> DataFrame:
+    def requests(df: DataFrame, index: Column, offset=None, count=None, where="where", order=F.lit(order_by), error=None, oids=None) -> DataFrame:
         text = lambda c: (F.lit(None) if c is None else c).cast("string")
-        number = lambda c: (F.lit(None) if c is None else c).cast("bigint")
+        number = lambda c: (F.lit(None) if c is None else F.col(c) if isinstance(c, str) else c).cast("bigint")
         return df.select(
             "layer_url",
             number(index).alias("page_index"),
@@ -136,6 +137,9 @@ def plan_requests(
             (F.col(where) if isinstance(where, str) else where).alias("where"),
             text(order).alias("order_by"),
             text(error).alias("error"),
+            number("total").alias("total"),
+            "object_id_field",
+            (F.lit(None) if oids is None else F.col(oids)).cast("array<bigint>").alias("oids"),
         )
 
     unusable = requests(sized.where("strategy = 'none'"), F.lit(None), error=F.lit(BAD_CAP))
@@ -156,12 +160,12 @@ def plan_requests(
     )
     chunks = oid_chunks(wanted, "oid", F.col("_cap"), by=("layer_url",)).drop("error")
     # a left join: a layer without ids stays, with its error
-    by_oid = chunked.select("layer_url", "strategy", "where", "object_id_field").join(chunks, "layer_url", "left")
+    by_oid = chunked.select("layer_url", "strategy", "where", "object_id_field", "total").join(chunks, "layer_url", "left")
     where = F.when(F.col("oids").isNull(), F.col("where")).otherwise(
         and_where(F.col("where"), in_list(F.col("object_id_field"), F.col("oids")))
     )
     error = F.when(F.col("oids").isNull(), NO_IDS)
-    return plan.unionByName(requests(by_oid, F.col("chunk_index"), where=where, error=error))
+    return plan.unionByName(requests(by_oid, F.col("chunk_index"), where=where, error=error, oids="oids"))
 
 
 def oid_chunks(

@@ -7,7 +7,7 @@ fetch and emit Arrow batches.  Comparisons that a service can evaluate narrow wh
 sends; Spark applies them again to what arrives.
 
 Options: ``url``, ``where``, ``outFields``, ``returnGeometry``, ``token``, ``timeout``,
-``pageSize``, ``onTruncation`` (raise, ignore, split), ``numPartitions``, ``geometry``
+``pageSize``, ``orderByFields`` (offset pages: the object id unless given), ``onTruncation`` (raise, ignore, split), ``numPartitions``, ``geometry``
 , ``geometryType``, ``spatialRel`` and ``inSR`` (see
 ``layerframe.operators.spatial.filter_options``), ``output`` (rows, pages), ``transport``.  Raise
 ``numPartitions`` for services that allow more than a few requests at a time.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from http.client import HTTPException
@@ -47,6 +47,7 @@ from layerframe.errors import LayerError, ServiceError, TruncatedPageError
 from layerframe.functions.urls import host_key
 from layerframe.schema import fields_of
 from layerframe.session import ship_package
+from layerframe.sources.metadata import OID_KEYS, RECORD_CAP_KEY
 from layerframe.sources.transport import HttpStatusError, form_text, resolve
 
 PUSHDOWN_SETTING = "spark.sql.python.filterPushdown.enabled"
@@ -84,7 +85,7 @@ class _Service:
         except HttpStatusError as error:
             raise ServiceError(str(error)) from error
         if not isinstance(answer, dict):
-            raise ServiceError(f"{self.url}{path} returned a non-object payload")
+            raise ServiceError(f"{self.url}{path}: the answer is no JSON object")
         if isinstance(answer.get("error"), dict):
             error = answer["error"]
             raise ServiceError(f"{self.url}{path}: {error.get('message')} (code={error.get('code')})")
@@ -129,31 +130,32 @@ class _Service:
                 **self._filtered(where),
                 "outFields": self.options.get("outfields", "*"),
                 "returnGeometry": self.options.get("returngeometry", "true"),
-                **more,
+                "orderByFields": self.options.get("orderbyfields"),
+                **{k: v for k, v in more.items() if v is not None},
             },
         )
 
 
 def _record_cap(metadata: Mapping[str, Any]) -> int:
-    keys = [
-        k for k, v in metadata.items()
-        if v is not None and re.match(r"max(imum)?(\s|_)?record(\s|_)?count$", k, re.IGNORECASE)
-    ]
+    keys = [k for k, v in metadata.items() if v is not None and re.match(RECORD_CAP_KEY, k)]
     if len(keys) != 1:
         raise ServiceError("the layer declares no single record cap")
     return int(metadata[keys[0]])
 
 
 def _object_id(metadata: Mapping[str, Any]) -> str | None:
-    oids = [f.name for f in fields_of(metadata.get("fields") or ()) if f.type == "OID"]
-    if len(oids) == 1:
+    """As ``sources.metadata.object_id_field`` decides it for tables of documents."""
+    declared = fields_of(f for f in metadata.get("fields") or () if isinstance(f, dict))
+    oids = [f.name for f in declared if f.type == "OID"]
+    if len(oids) > 1:
+        raise ServiceError("ambiguous object id fields")
+    if oids:
         return oids[0]
-    if not oids:
-        for key, value in metadata.items():
-            if key.lower() in ("objectidfield", "objectidfieldname") and isinstance(value, str):
-                return value
-        return (metadata.get("uniqueIdInfo") or {}).get("name")
-    return None
+    unique = metadata.get("uniqueIdInfo")
+    named = [v for k, v in metadata.items() if k.lower() in OID_KEYS and isinstance(v, str)]
+    named += [unique["name"]] if isinstance(unique, dict) and isinstance(unique.get("name"), str) else []
+    spelled = {f.name.lower(): f.name for f in declared}
+    return spelled.get(named[0].lower(), named[0]) if named else None
 
 
 def _explicit_paging(metadata: Mapping[str, Any]) -> bool:
@@ -287,7 +289,8 @@ class FeatureLayerReader(DataSourceReader):
     def _window(self, plan: _Plan, offset: int, count: int, depth: int) -> Iterator[dict]:
         """An offset page; cut off, its own window is halved, not the whole layer."""
         page = self.service.page(
-            plan.where, resultOffset=offset, resultRecordCount=count, orderByFields=plan.oid
+            plan.where, resultOffset=offset, resultRecordCount=count,
+            orderByFields=None if "orderbyfields" in self.service.options else plan.oid,
         )
         if not self._cut_off(page):
             yield page
@@ -471,7 +474,42 @@ def _converter(kind: T.DataType):
     return as_date if isinstance(kind, T.DateType) else as_text
 
 
-# --- metadata documents ----------------------------------------------------------------------------
+# --- tables of requests ------------------------------------------------------------------------------
+
+
+def _post(options: Mapping[str, str], url: str, form: Mapping[str, Any]) -> tuple[int | None, str | None]:
+    """(status, payload) of one request; no payload, and perhaps no status, where it failed."""
+    fetch = resolve(options.get("transport"))
+    sent = {"f": "json", **{k: form_text(v) for k, v in form.items() if v is not None}}
+    if "token" in options:
+        sent["token"] = options["token"]
+    try:
+        return 200, fetch(url, sent, options)
+    except HttpStatusError as error:
+        return error.status, None
+    except (OSError, HTTPException, UnicodeError):
+        # no answer, a broken one, or one that is no text
+        return None, None
+
+
+def _dealt(requests: DataFrame, url: str, tasks_per_host: int) -> DataFrame:
+    """Requests of one host in at most ``tasks_per_host`` tasks."""
+    return requests.repartition(host_key(F.col(url)), F.pmod(F.xxhash64(*requests.columns), F.lit(tasks_per_host)))
+
+
+def _asked(requests: DataFrame, options: Mapping[str, str], tasks_per_host: int, url: str, form: Callable[[dict], tuple[str, dict]]) -> DataFrame:
+    """The requests with the ``http`` status and ``payload`` of each; a failed one never fails the job."""
+    import pyarrow as pa
+
+    def load(batches):
+        for batch in batches:
+            answers = [_post(options, *form(row)) for row in batch.to_pylist()]
+            columns = [pa.array([a[0] for a in answers], pa.int32()), pa.array([a[1] for a in answers], pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "http", "payload"])
+
+    ship_package()
+    schema = T.StructType([*requests.schema.fields, T.StructField("http", T.IntegerType()), T.StructField("payload", T.StringType())])
+    return _dealt(requests, url, tasks_per_host).mapInArrow(load, schema)
 
 
 def fetch_documents(urls: DataFrame, options: Mapping[str, str] | None = None, tasks_per_host: int = 4) -> DataFrame:
@@ -481,25 +519,50 @@ def fetch_documents(urls: DataFrame, options: Mapping[str, str] | None = None, t
     with its status or without a payload, never a failed job.
     """
     options = {k.lower(): v for k, v in (options or {}).items()}
+    asked = _asked(urls.select("url").distinct(), options, tasks_per_host, "url", lambda row: (row["url"], {}))
+    return asked.select("url", F.col("http").alias("status"), "payload")
 
-    def load(batches):
-        fetch = resolve(options.get("transport"))
-        for batch in batches:
-            rows = []
-            for url in batch["url"]:
-                form = {"f": "json", **({"token": options["token"]} if "token" in options else {})}
-                try:
-                    rows.append((url, 200, fetch(url, form, options)))
-                except HttpStatusError as error:
-                    rows.append((url, error.status, None))
-                except (OSError, HTTPException, UnicodeError):
-                    # no answer, a broken one, or one that is no text
-                    rows.append((url, None, None))
-            yield type(batch)(rows, columns=["url", "status", "payload"]).astype({"status": "Int32"})
 
-    ship_package()
-    distinct = urls.select("url").distinct()
-    spread = distinct.repartition(
-        host_key(F.col("url")), F.pmod(F.xxhash64("url"), F.lit(tasks_per_host))
-    )
-    return spread.mapInPandas(load, "url string, status int, payload string")
+def fetch_counts(urls: DataFrame, options: Mapping[str, str] | None = None, tasks_per_host: int = 4, where: str = "1=1") -> DataFrame:
+    """Count envelopes of a table of layer urls: (url, status, payload), as :func:`fetch_documents` gives documents."""
+    options = {k.lower(): v for k, v in (options or {}).items()}
+    form = {"where": where, "returnCountOnly": True}
+    asked = _asked(urls.select("url").distinct(), options, tasks_per_host, "url", lambda row: (row["url"] + "/query", form))
+    return asked.select("url", F.col("http").alias("status"), "payload")
+
+
+def fetch_answers(options: Mapping[str, str] | None = None, tasks_per_host: int = 4) -> Callable[[DataFrame], DataFrame]:
+    """An answer function for ``plans.execute.read_layers`` that asks the services themselves.
+
+    Options as for the format, but for what a request states: outFields, returnGeometry,
+    token, timeout and transport.  A request that got no usable answer is a row whose
+    ``status`` is ``http_error`` or ``no_response``.
+    """
+    from layerframe.plans.execute import shaped_answers
+    from layerframe.plans.paging import in_list
+    from layerframe.sources.pages import scan_pages
+
+    options = {k.lower(): v for k, v in (options or {}).items()}
+
+    def form(row: dict) -> tuple[str, dict]:
+        return row["layer_url"] + "/query", {
+            "where": row["where"] or "1=1",
+            "outFields": options.get("outfields", "*"),
+            "returnGeometry": options.get("returngeometry", "true"),
+            "resultOffset": row["offset"],
+            "resultRecordCount": row["count"],
+            "orderByFields": row["order_by"],
+        }
+
+    def answer(requests: DataFrame) -> DataFrame:
+        # a request split off a larger one lists what is left of its ids
+        split = (F.col("depth") > 0) & F.col("oids").isNotNull()
+        sent = requests.withColumn("where", F.when(split, in_list(F.col("object_id_field"), F.col("oids"))).otherwise(F.col("where")))
+        asked = scan_pages(_asked(sent, options, tasks_per_host, "layer_url", form))
+        failed = F.when(F.col("http").isNull(), "no_response").when(F.col("http") >= 400, "http_error")
+        why = F.struct(F.col("http").cast("bigint").alias("code"), F.concat(F.lit("status "), F.coalesce(F.col("http").cast("string"), F.lit("none"))).alias("message"))
+        return shaped_answers(
+            asked.withColumn("error", F.when(failed.isNotNull(), why).otherwise(F.col("error"))).withColumn("status", F.coalesce(failed, "status"))
+        )
+
+    return answer

@@ -18,6 +18,7 @@ from layerframe.sources.pages import envelope_error
 # the start of the key without regard to case.
 RECORD_CAP_KEY = r"(?i)^max(imum)?(\s|_)?record(\s|_)?count$"
 NAME_KEY = r"(?i)^name"
+OID_KEYS = ("objectidfield", "objectidfieldname")
 
 OK, MISSING = "ok", "missing"
 
@@ -98,7 +99,7 @@ def object_id_field(fields: Column, body: Column) -> Column:
 
     named = F.filter(
         F.map_entries(V.entries(body)),
-        lambda e: F.lower(e["key"]).isin("objectidfield", "objectidfieldname")
+        lambda e: F.lower(e["key"]).isin(*OID_KEYS)
         & (V.kind(e["value"]) == "string"),
     )
     by_key = V.text(F.get(named, F.lit(0))["value"])

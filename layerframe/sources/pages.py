@@ -99,19 +99,20 @@ def features_of(body: Column) -> Column:
 
 
 def scan_features(scanned: DataFrame) -> DataFrame:
-    """One row per feature object, with its position in the page."""
+    """One row per feature object, with its position in the page and whether that was cut off."""
     # Page-level values are taken before the explode: beside it, they would be computed
     # per feature and drag the whole page along.
     body = F.col("body")
     pages = valid_pages(scanned).select(
         "layer_url",
         "page_index",
+        "exceeded",
         V.text(V.first_of(body, "objectIdFieldName", "object_id_field_name")).alias("oid_field"),
         V.elements(body, "features").alias("_features"),
     )
     return (
         pages.select(
-            "layer_url", "page_index", "oid_field", F.posexplode("_features").alias("pos", "feature")
+            "layer_url", "page_index", "exceeded", "oid_field", F.posexplode("_features").alias("pos", "feature")
         )
         .where(V.is_object(F.col("feature")))
         .select(
@@ -122,6 +123,7 @@ def scan_features(scanned: DataFrame) -> DataFrame:
             V.get(F.col("feature"), "attributes").alias("attributes"),
             V.get(F.col("feature"), "geometry").alias("geometry"),
             "feature",
+            "exceeded",
         )
     )
 

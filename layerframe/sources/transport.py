@@ -6,7 +6,6 @@ A transport is ``fetch(url, form, options) -> text``.  The connector names it as
 
 from __future__ import annotations
 
-import hashlib
 import importlib
 import json
 import urllib.error
@@ -46,30 +45,8 @@ def http(url: str, form: Mapping[str, str], options: Mapping[str, str]) -> str:
         raise HttpStatusError(error.code, url) from error
 
 
-def request_key(url: str, form: Mapping[str, str]) -> str:
-    """Digest of a request without its token: md5 of ``url?a=1&b=2``, keys sorted."""
-    shown = "&".join(f"{k}={form[k]}" for k in sorted(form) if k != "token")
-    return hashlib.md5(f"{url}?{shown}".encode()).hexdigest()
-
-
-def replay(url: str, form: Mapping[str, str], options: Mapping[str, str]) -> str:
-    """Answers from responses landed by Spark under ``replay_path/key=<request key>/``."""
-    from pyarrow import fs
-
-    system, root = fs.FileSystem.from_uri(options["replay_path"])
-    folder = f"{root}/key={request_key(url, form)}"
-    try:
-        listed = system.get_file_info(fs.FileSelector(folder))
-    except FileNotFoundError as error:
-        raise HttpStatusError(404, url) from error
-    parts = sorted(f.path for f in listed if f.base_name.startswith("part-"))
-    return "".join(system.open_input_stream(p).read().decode("utf-8") for p in parts).rstrip("\n")
-
-
 def resolve(name: str | None) -> Transport:
     if not name or name == "http":
         return http
-    if name == "replay":
-        return replay
     module, _, function = name.partition(":")
     return getattr(importlib.import_module(module), function)

@@ -16,15 +16,11 @@ from layerframe.plans.paging import (
 )
 from layerframe.sources.metadata import scan_metadata
 from layerframe.sources.pages import scan_feature_batches, scan_pages
-from layerframe.workload.fixtures import SERVICES, order_features, pack_pages, page_of, table
+from layerframe.workload.fixtures import order_features, pack_pages, page_of, supplier_url, table
 from layerframe.workload.fixtures import ORDER_FIELDS, ORDERS_URL
 from layerframe.workload.registry import query
 
 
-def supplier_url(column: str):
-    return F.concat(F.lit(f"{SERVICES}/S"), F.col(column).cast("string"), F.lit("/FeatureServer/0"))
-
-
 def supplier_layers(spark, sf_dir):
     """Each supplier's line items as one layer: totals, caps and capability flags."""
     kind = F.col("l_suppkey") % 4

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from layerframe.functions import geometry as G
 from layerframe.functions import variants as V
 from layerframe.operators.domains import domain_codes
-from layerframe.operators.frames import get_df, get_geo_df
+from layerframe.operators.frames import get_df, get_geo_df, read_whole
+from layerframe.operators.integrity import id_report
+from layerframe.plans.execute import landed_answers, read_layers
+from layerframe.plans.paging import plan_requests
+from layerframe.plans.rank import with_rank
 from layerframe.plans.scratch import scratch_path
-from layerframe.sources import connector
 from layerframe.sources.metadata import layer_fields, scan_metadata
 from layerframe.sources.pages import (
     scan_feature_batches,
@@ -18,6 +21,7 @@ from layerframe.sources.pages import (
     scan_pages,
     scan_rows,
 )
+from layerframe.sources.policy import ReadPolicy
 from layerframe.sources.sinks import write_features
 from layerframe.streaming.pages import stream_page_table, write_stream
 from layerframe.workload.fixtures import (
@@ -30,6 +34,7 @@ from layerframe.workload.fixtures import (
     order_pages,
     pack_pages,
     page_of,
+    supplier_url,
     table,
 )
 from layerframe.workload.registry import query
@@ -163,56 +168,184 @@ def scan_geo_chunks_query(spark, sf_dir):
     )
 
 
-def _land_responses(spark, sf_dir, size: int) -> str:
-    """Responses of the orders layer, as files keyed by the request they answer."""
-    pages = order_pages(spark, sf_dir, size).withColumn("total", F.lit(None).cast("bigint"))
-    orders = table(spark, sf_dir, "orders")
-    offset, total = F.col("page_index") * size, F.col("n")
-    count = F.least(F.lit(size).cast("bigint"), total - offset)
-    # One row: the total is needed to spell the last page's request.
-    n = orders.agg(F.count(F.lit(1)).alias("n")).withColumn("layer_url", F.lit(ORDERS_URL))
-    form = F.concat(
-        F.lit("f=json&orderByFields=OBJECTID&outFields=*&resultOffset="), offset.cast("string"),
-        F.lit("&resultRecordCount="), count.cast("string"), F.lit("&returnGeometry=true&where=1=1"),
+# Suppliers' line items as layers, read by one plan from pages that were landed in other windows.
+LINES_SQL = """
+ids AS (SELECT DISTINCT l_suppkey, l_orderkey * 8 + l_linenumber AS oid FROM lineitem),
+placed AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY oid) - 1 AS place, count(*) OVER (PARTITION BY l_suppkey) AS total FROM ids),
+asked AS (SELECT *, CASE l_suppkey % 4 WHEN 0 THEN 100000 WHEN 3 THEN 250 ELSE 100 END AS cap, l_suppkey % 4 AS k FROM placed),
+requests AS (SELECT *, CASE WHEN total <= cap THEN 'single' WHEN k = 1 THEN 'offset' ELSE 'oid' END AS strategy,
+                    CASE WHEN total <= cap THEN 0 WHEN k = 1 THEN place // 50 ELSE place // cap END AS page_index,
+                    CASE WHEN total <= cap THEN place WHEN k = 1 THEN place % 50 ELSE place % cap END AS pos FROM asked)
+"""
+_LANDED = 40  # rows of a landed page
+
+
+def _line_layers(spark, sf_dir):
+    """(ids with their place in the layer, layers as ``plan_requests`` takes them)."""
+    ids = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_suppkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("oid"))
+        .distinct()
+        .withColumn("layer_url", supplier_url("l_suppkey"))
     )
-    answers = pages.join(F.broadcast(n), "layer_url").select(
-        F.concat(F.lit(f"{ORDERS_URL}/query?"), form).alias("request"), "payload"
+    ids = with_rank(ids, ["oid"], ["layer_url", "l_suppkey"], "place")
+    kind = F.col("l_suppkey") % 4
+    layers = (
+        ids.groupBy("layer_url", "l_suppkey")
+        .agg(F.count(F.lit(1)).alias("total"))
+        .select(
+            "layer_url",
+            "total",
+            F.when(kind == 0, 100000).when(kind == 3, 250).otherwise(100).alias("max_record_count"),
+            (kind != 2).alias("supports_pagination"),
+            (kind == 1).alias("pagination_explicit"),
+            F.when(kind == 1, 0.5).cast("double").alias("advertised_factor"),
+            F.lit("OID").alias("object_id_field"),
+            F.lit("1=1").alias("where"),
+        )
     )
-    fields = ",".join(f'{{"name":"{f["name"]}","type":"{f["type"]}"}}' for f in ORDER_FIELDS)
-    metadata = (
-        f'{{"id":0,"name":"Orders","type":"Feature Layer","maxRecordCount":{size},"fields":[{fields}],'
-        '"advancedQueryCapabilities":{"supportsPagination":true}}'
+    return ids, layers
+
+
+def _landed_lines(ids, spoiled=None, exceeded=None):
+    """The layers' pages in windows of their own; ``spoiled`` replaces payloads, ``exceeded`` flags them."""
+    page = F.expr(f"place div {_LANDED}")
+    features = ids.select(
+        "layer_url", page.alias("page_index"), "oid", F.to_json(F.struct(F.struct(F.col("oid").alias("OID")).alias("attributes"))).alias("feature")
     )
-    about = n.select(
-        F.lit(f"{ORDERS_URL}?f=json").alias("request"), F.lit(metadata).alias("payload")
-    ).unionByName(
-        n.select(
-            F.lit(f"{ORDERS_URL}/query?f=json&returnCountOnly=true&where=1=1").alias("request"),
-            F.concat(F.lit('{"count":'), F.col("n").cast("string"), F.lit("}")).alias("payload"),
-        )
+    pages = pack_pages(features, [{"name": "OID", "type": "esriFieldTypeOID"}], exceeded, oid_name="OID")
+    return pages.select(
+        "layer_url",
+        (F.col("page_index") * _LANDED).alias("offset"),
+        F.lit(_LANDED).cast("bigint").alias("count"),
+        (F.col("payload") if spoiled is None else F.coalesce(spoiled, "payload")).alias("payload"),
     )
-    path = scratch_path(spark, "responses")
-    answers.unionByName(about).select(F.md5("request").alias("key"), F.col("payload").alias("value")).write.partitionBy(
-        "key"
-    ).text(path)
-    return path
 
 
-@query("read_layer", ORDER_ROWS_SQL)
+def _supplier(column="layer_url"):
+    return F.regexp_extract(column, r"/S(\d+)/", 1).cast("bigint").alias("l_suppkey")
+
+
+@query(
+    "read_layer",
+    f"WITH {LINES_SQL} SELECT l_suppkey, page_index, pos, oid FROM requests",
+)
 def read_layer_query(spark, sf_dir):
-    """The connector reads metadata, count and pages; responses are replayed from files."""
-    path = _land_responses(spark, sf_dir, 1000)
-    connector.register(spark)
-    rows = (
-        spark.read.format("feature_layer")
-        .options(url=ORDERS_URL, transport="replay", replay_path=_uri(path))
-        .load()
+    """One plan over all layers: single requests, windows and id lists meet pages landed in other windows."""
+    ids, layers = _line_layers(spark, sf_dir)
+    reading = read_layers(plan_requests(layers, ids.select("layer_url", "oid")), landed_answers(_landed_lines(ids), "OID"))
+    return reading.features.select(
+        _supplier(), "page_index", F.col("pos").cast("bigint").alias("pos"), V.get(F.col("attributes"), "OID", to="bigint").alias("oid")
     )
-    return _order_rows(rows.withColumn("geometry", F.parse_json("geometry")))
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path else ("file://" + path.removeprefix("file:") if path.startswith(("/", "file:")) else path)
+@query(
+    "read_layer_states",
+    f"""WITH {LINES_SQL},
+spoiled AS (SELECT *, (place // 40) % 6 = 5 AS bad, (place // 40) % 6 = 2 AS cut FROM requests),
+per AS (SELECT l_suppkey, page_index, strategy, count(*) AS asked, count(*) FILTER (WHERE NOT bad) AS served,
+               bool_or(bad) AS any_bad FROM spoiled GROUP BY ALL)
+SELECT l_suppkey, page_index, strategy, asked, served AS found,
+       CASE WHEN strategy = 'oid' AND served = 0 THEN 'unanswered' WHEN strategy <> 'oid' AND any_bad THEN 'failed'
+            WHEN served < asked THEN 'short' ELSE 'complete' END AS state FROM per""",
+)
+def read_layer_states_query(spark, sf_dir):
+    """Every sixth landed page is an error document: the requests it concerns are named, the rest is read."""
+    ids, layers = _line_layers(spark, sf_dir)
+    failed = F.when(F.col("page_index") % 6 == 5, '{"error": {"code": 500, "message": "Failed"}}')
+    pages = _landed_lines(ids, spoiled=failed)
+    reading = read_layers(
+        plan_requests(layers, ids.select("layer_url", "oid")), landed_answers(pages, "OID"), ReadPolicy("quarantine", "ignore")
+    )
+    return reading.states.select(_supplier(), "page_index", "strategy", "asked", "found", "state")
+
+
+@query(
+    "id_report",
+    """
+WITH i AS (SELECT DISTINCT l_suppkey, l_orderkey * 8 + l_linenumber AS oid FROM lineitem)
+SELECT l_suppkey, oid, CASE WHEN oid % 7 = 0 THEN 'repeated' WHEN oid % 11 = 0 THEN 'missing' ELSE 'unexpected' END AS problem,
+       CASE WHEN oid % 7 = 0 THEN 2 WHEN oid % 11 = 0 THEN 0 ELSE 1 END AS n
+FROM i WHERE (oid % 7 = 0 AND oid % 11 <> 0) OR (oid % 11 = 0 AND oid % 7 <> 0) OR (oid % 13 = 0 AND oid % 7 <> 0 AND oid % 11 <> 0)
+UNION ALL
+SELECT l_suppkey, NULL, 'null', count(*) FROM i WHERE oid % 17 = 0 GROUP BY 1
+""",
+)
+def id_report_query(spark, sf_dir):
+    """A read that holds some ids twice, lacks some, holds some unasked, and has rows without an id."""
+    ids, _ = _line_layers(spark, sf_dir)
+    oid = F.col("oid")
+    held = ids.select("layer_url", "oid").where(~((oid % 11 == 0) & (oid % 7 != 0)))
+    rows = held.unionByName(held.where((oid % 7 == 0) & (oid % 11 != 0))).unionByName(
+        ids.where(oid % 17 == 0).select("layer_url", F.lit(None).cast("bigint").alias("oid"))
+    )
+    expected = ids.select("layer_url", "oid").where((oid % 13 != 0) | (oid % 7 == 0) | (oid % 11 == 0))
+    return id_report(rows, "oid", expected).select(_supplier(), "oid", "problem", "n")
+
+
+# Pages of 100 orders, some cut off, some broken.
+DAMAGED_SQL = """
+damaged AS (SELECT *, o_orderkey // 100 AS page, (o_orderkey // 100) % 7 = 3 AS cut, (o_orderkey // 100) % 7 = 5 AS failed,
+                   (o_orderkey // 100) % 7 = 6 AS html FROM orders)
+"""
+
+
+def _damaged_pages(spark, sf_dir):
+    page = F.col("page_index")
+    pages = pack_pages(order_features(spark, sf_dir, 100), ORDER_FIELDS, exceeded=page % 7 == 3)
+    payload = F.when(page % 7 == 5, '{"error": {"code": 504, "message": "Timed out"}}').when(page % 7 == 6, "<html></html>").otherwise(F.col("payload"))
+    return pages.withColumn("payload", payload)
+
+
+@query("get_df_ignore", f"""WITH {DAMAGED_SQL} SELECT o_orderkey AS "OBJECTID", o_totalprice AS "PRICE", cut AS truncated FROM damaged WHERE NOT failed AND NOT html""")
+def get_df_ignore_query(spark, sf_dir):
+    """Failed pages go to quarantine, rows of cut-off ones are flagged."""
+    rows = get_df(_damaged_pages(spark, sf_dir), ORDER_FIELDS, policy=ReadPolicy("quarantine", "ignore"))
+    return rows.select("OBJECTID", "PRICE", "truncated")
+
+
+@query(
+    "get_geo_df_ignore",
+    f"""WITH {DAMAGED_SQL} SELECT o_orderkey AS object_id, 3857 AS srid, o_totalprice / 10000 AS y, cut AS truncated FROM damaged WHERE NOT failed AND NOT html""",
+)
+def get_geo_df_ignore_query(spark, sf_dir):
+    features = get_geo_df(_damaged_pages(spark, sf_dir), 3857, ReadPolicy("quarantine", "ignore"))
+    return features.select("object_id", "srid", V.get(F.col("geometry.coords"), "y", to="double").alias("y"), "truncated")
+
+
+@query(
+    "read_quarantine",
+    f"""WITH {DAMAGED_SQL} SELECT DISTINCT page AS page_index, CASE WHEN failed THEN 'service_error' ELSE 'not_json' END AS status,
+CASE WHEN failed THEN 504 END AS code FROM damaged WHERE failed OR html""",
+)
+def read_quarantine_query(spark, sf_dir):
+    found = read_whole(_damaged_pages(spark, sf_dir), ORDER_FIELDS).quarantine
+    return found.select("page_index", "status", "code")
+
+
+@query(
+    "read_states",
+    f"""WITH {DAMAGED_SQL},
+per AS (SELECT page, count(*) AS n, any_value(cut) AS cut, any_value(failed OR html) AS bad FROM damaged GROUP BY 1)
+SELECT page AS page_index, CASE WHEN page % 10 <> 0 THEN n + CASE WHEN page % 4 = 1 THEN 1 ELSE 0 END END AS asked,
+       CASE WHEN NOT bad THEN n END AS found, 1 AS landed,
+       CASE WHEN bad THEN 'failed' WHEN cut THEN 'truncated' WHEN page % 10 = 0 THEN 'unplanned' WHEN page % 4 = 1 THEN 'short' ELSE 'complete' END AS state
+FROM per
+UNION ALL SELECT -1 - page, 1000, NULL, 0, 'missing' FROM per WHERE page % 3 = 0
+""",
+)
+def read_states_query(spark, sf_dir):
+    """Against a plan that asks some pages for a row more, leaves some out and names some that never landed."""
+    page = page_of("o_orderkey", 100)
+    counted = table(spark, sf_dir, "orders").groupBy(page.alias("page_index")).agg(F.count(F.lit(1)).alias("n"))
+    index = F.col("page_index")
+    plan = (
+        counted.where(index % 10 != 0)
+        .select(index, (F.col("n") + F.when(index % 4 == 1, 1).otherwise(0)).alias("count"))
+        .unionByName(counted.where(index % 3 == 0).select((-1 - index).alias("page_index"), F.lit(1000).cast("bigint").alias("count")))
+        .withColumn("layer_url", F.lit(ORDERS_URL))
+    )
+    return read_whole(_damaged_pages(spark, sf_dir), ORDER_FIELDS, plan).states.drop("layer_url")
 
 
 @query(

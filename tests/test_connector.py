@@ -5,9 +5,8 @@ import pytest
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, StringContains
 
 from layerframe.operators.spatial import filter_options
-from layerframe.errors import LayerError, TruncatedPageError
+from layerframe.errors import LayerError, ServiceError, TruncatedPageError
 from layerframe.sources.connector import FeatureLayerReader, FeatureLayerSource, fetch_documents
-from layerframe.sources.transport import request_key
 
 URL = "https://maps.example.com/rest/services/A/FeatureServer/0"
 
@@ -72,7 +71,6 @@ def test_spatial_and_token_parameters(service):
     form = service["log"][-1][1]
     assert form["geometryType"] == "esriGeometryPoint" and form["inSR"] == "4326" and form["geometry"] == '{"x": 1, "y": 2}'
     assert form["token"] == "secret" and form["outFields"] == "OID"
-    assert request_key(URL, form) == request_key(URL, {k: v for k, v in form.items() if k != "token"})
 
 
 def test_bad_options():
@@ -82,7 +80,49 @@ def test_bad_options():
         read(onTruncation="drop")
 
 
-def test_failed_documents_are_rows(spark, tmp_path):
-    urls = spark.createDataFrame([("https://a.example.com/x",), ("https://a.example.com/x",), ("https://b.example.com/y",)], "url string")
-    found = fetch_documents(urls, {"transport": "replay", "replay_path": f"file://{tmp_path}"}).collect()
-    assert sorted((r.url, r.status, r.payload) for r in found) == [("https://a.example.com/x", 404, None), ("https://b.example.com/y", 404, None)]
+def test_callers_sort_reaches_the_service(service):
+    read(orderByFields="NAME DESC")
+    sent = [form for _, form in service["log"] if "resultOffset" in form]
+    assert sent and {form["orderByFields"] for form in sent} == {"NAME DESC"}
+    service["log"].clear()
+    read()
+    assert {form["orderByFields"] for _, form in service["log"] if "resultOffset" in form} == {"OID"}
+
+
+@pytest.mark.parametrize(
+    ("metadata", "name"),
+    [
+        ({"fields": [{"name": "OID", "type": "esriFieldTypeOID"}]}, "OID"),
+        ({"fields": [{"name": "ObjectId", "type": "x"}], "objectIdField": "OBJECTID"}, "ObjectId"),
+        ({"fields": [], "objectidfieldname": "FID"}, "FID"),
+        ({"fields": ["junk", {"name": "gid"}], "uniqueIdInfo": {"name": "GID"}}, "gid"),
+        ({"uniqueIdInfo": "junk"}, None),
+    ],
+)
+def test_one_rule_for_the_object_id(spark, metadata, name):
+    import json
+
+    from layerframe.sources.connector import _object_id
+    from layerframe.sources.metadata import scan_metadata
+
+    assert _object_id(metadata) == name
+    document = spark.createDataFrame([("u/0", 200, json.dumps(metadata))], "url string, status int, payload string")
+    assert scan_metadata(document).first().object_id_field == name
+
+
+def test_several_object_ids_are_an_error():
+    from layerframe.sources.connector import _object_id
+
+    with pytest.raises(ServiceError, match="ambiguous"):
+        _object_id({"fields": [{"name": n, "type": "esriFieldTypeOID"} for n in "ab"]})
+
+
+def test_failed_documents_are_rows(spark):
+    import fake_service as module
+
+    spark.sparkContext.addPyFile(module.__file__)
+    urls = spark.createDataFrame([("https://a.example.com/broken/x",), ("https://a.example.com/broken/x",), ("https://b.example.com/y/0",)], "url string")
+    found = {r.url: r for r in fetch_documents(urls, {"transport": "fake_service:fetch"}).collect()}
+    assert len(found) == 2
+    assert (found["https://a.example.com/broken/x"].status, found["https://a.example.com/broken/x"].payload) == (None, None)
+    assert found["https://b.example.com/y/0"].status == 200 and "maxRecordCount" in found["https://b.example.com/y/0"].payload
