@@ -31,40 +31,55 @@ RELATIONS = {
     "esriSpatialRelWithin": "within",
 }
 
-def _on_one_row(geometry: Any, in_sr: Any) -> tuple[Any, str | None, str | None, int | None]:
-    """(Esri JSON, type, error, EPSG number), read off one literal row by the column functions."""
-    plain = lambda v: v.tolist() if hasattr(v, "tolist") else dict(v)
-    literal = lambda v: F.parse_json(F.lit(json.dumps(v, default=plain)))
+# Which coordinate keys make which geometry, looked for in this order.
+_KEYS = (
+    (("x", "y"), G.POINT), (("points",), G.MULTIPOINT), (("paths",), G.POLYLINE), (("curvePaths",), G.POLYLINE),
+    (("rings",), G.POLYGON), (("curveRings",), G.POLYGON), (("xmin", "ymin", "xmax", "ymax"), G.ENVELOPE),
+)
+
+
+def _plain(value: Any) -> Any:
+    return value.tolist() if hasattr(value, "tolist") else dict(value)
+
+
+def _converted(geometry: Mapping, in_sr: Any) -> tuple[dict, str, int | None]:
+    """(Esri JSON, type, EPSG number) of the filter.
+
+    Esri JSON with a plain number for a reference is taken as it is.  Anything else goes
+    through the column functions, once, on a single literal row.
+    """
+    geometry = json.loads(json.dumps(dict(geometry), default=_plain))
+    esri = next((kind for keys, kind in _KEYS if all(k in geometry for k in keys)), None)
+    if esri and (in_sr is None or type(in_sr) is int):
+        return geometry, esri, in_sr
+    literal = lambda v: F.parse_json(F.lit(json.dumps(v, default=_plain)))
     found = G.geojson_to_esri(literal(geometry))
-    row = SparkSession.active().range(1).select(
+    row = SparkSession.builder.getOrCreate().range(1).select(
         F.to_json(found["geometry"]).alias("shape"), found["geometry_type"].alias("kind"), found["error"].alias("error"),
         SR.epsg(literal(in_sr)).alias("epsg"),
     ).first()
-    return row["shape"] and json.loads(row["shape"]), row["kind"], row["error"], row["epsg"]
+    if row["error"] or row["kind"] is None:
+        raise ValueError(row["error"] or "no geometry of a known kind")
+    return json.loads(row["shape"]), row["kind"], row["epsg"]
+
 
+def filter_geometry(geometry: Any, in_sr: Any = None) -> tuple[dict, str, int | None]:
+    """Esri JSON, service type name and reference number of a filter geometry.
 
-def filter_geometry(geometry: Any) -> tuple[dict, str]:
-    """(Esri JSON, type name) of Esri JSON, GeoJSON or an object with a ``__geo_interface__``."""
+    Takes GeoJSON, Esri JSON, and objects with ``__geo_interface__``.
+    """
     geometry = getattr(geometry, "__geo_interface__", geometry)
     if not isinstance(geometry, Mapping):
         raise TypeError(f"no geometry: {type(geometry).__name__}")
-    shape, kind, error, _ = _on_one_row(dict(geometry), None)
-    if error or kind is None:
-        raise ValueError(error or "no geometry of a known kind")
-    return shape, kind
-
-
-def _epsg(in_sr: Any) -> int | None:
-    return None if in_sr is None else _on_one_row({}, in_sr)[3]
+    return _converted(geometry, in_sr)
 
 
 def filter_options(geometry: Any, in_sr: Any = None, relation: str = "intersects") -> dict[str, str]:
     """Options that make the live connector hand the filter on to its service."""
-    shape, kind = filter_geometry(geometry)
+    shape, kind, number = filter_geometry(geometry, in_sr)
     spelled = next((name for name, short in RELATIONS.items() if short == relation and name != short), relation)
     options = {"geometry": json.dumps(shape), "geometryType": kind, "spatialRel": spelled}
     if in_sr is not None:
-        number = _epsg(in_sr)
         options["inSR"] = str(number) if number is not None else json.dumps(in_sr)
     return options
 
@@ -72,48 +87,52 @@ def filter_options(geometry: Any, in_sr: Any = None, relation: str = "intersects
 # --- evaluation ---------------------------------------------------------------------
 
 
-def _numbers(rows: list[tuple], names: tuple[str, ...]) -> Column:
-    """A literal ``ARRAY<STRUCT<name DOUBLE, ...>>``."""
-    text = json.dumps([dict(zip(names, row)) for row in rows])
-    return F.from_json(F.lit(text), f"array<struct<{','.join(n + ':double' for n in names)}>>")
+_EDGE = ("x1", "y1", "x2", "y2")
+
+
+def _text(rows: list[tuple], names: tuple[str, ...]) -> str:
+    """SQL of a literal ``ARRAY<STRUCT<name DOUBLE, ...>>``, one text that is folded away."""
+    listed = json.dumps([dict(zip(names, row)) for row in rows])
+    return f"from_json('{listed}', 'array<struct<{','.join(n + ':double' for n in names)}>>')"
 
 
 class _Filter:
-    """A filter geometry as plain numbers: points, edges and a bounding box."""
-
-    def __init__(self, geometry: Any):
-        shape, kind = filter_geometry(geometry)
-        if kind == "esriGeometryPoint":
-            points, rings = [[shape["x"], shape["y"]]], []
-        elif kind == "esriGeometryMultipoint":
-            points, rings = shape["points"], []
-        elif kind == "esriGeometryEnvelope":
+    """A filter geometry as plain numbers: points, or the segments of lines or areas, and a bounding box."""
+
+    def __init__(self, shape: Mapping, kind: str):
+        lists: list = []
+        points: list = []
+        if kind == G.POINT:
+            points = [[shape["x"], shape["y"]]]
+        elif kind == G.MULTIPOINT:
+            points = shape["points"]
+        elif kind == G.ENVELOPE:
             x0, y0, x1, y1 = (shape[k] for k in ("xmin", "ymin", "xmax", "ymax"))
-            points, rings = [], [[[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]]
-        elif kind == "esriGeometryPolygon" and "rings" in shape:
-            points, rings = [], shape["rings"]
+            lists = [[[x0, y0], [x1, y0], [x1, y1], [x0, y1]]]
+        elif "rings" in shape or "paths" in shape:
+            lists = shape["rings"] if kind == G.POLYGON else shape["paths"]
         else:
-            raise LayerError(f"{kind} filters are left to the service")
-        self.is_box = kind == "esriGeometryEnvelope"
+            raise LayerError(f"{kind} filters with curves are left to the service")
+        self.is_box = kind == G.ENVELOPE
+        self.is_area = kind in (G.ENVELOPE, G.POLYGON)
         self.points = [(float(p[0]), float(p[1])) for p in points]
         self.edges = []
-        for ring in rings:
-            corners = [(float(p[0]), float(p[1])) for p in ring]
-            if corners and corners[0] != corners[-1]:
+        for line in lists:
+            corners = [(float(p[0]), float(p[1])) for p in line]
+            if self.is_area and corners:
                 corners.append(corners[0])
             self.edges += [(*a, *b) for a, b in zip(corners, corners[1:]) if a != b]
-        every = self.points + [(e[0], e[1]) for e in self.edges]
+        every = self.points + [p for e in self.edges for p in (e[:2], e[2:])]
         if not every:
-            raise LayerError("the filter geometry has no coordinates")
+            raise LayerError("the filter geometry has no coordinates or no extent")
         self.box = (
             min(p[0] for p in every), min(p[1] for p in every),
             max(p[0] for p in every), max(p[1] for p in every),
         )
-        self.vertices = every
+        self.vertices = list(dict.fromkeys(every))
 
-        # One text each, folded into a literal array, however many vertices there are.
-        self.edge_array = _numbers(self.edges, ("x1", "y1", "x2", "y2"))
-        self.vertex_array = _numbers(self.vertices, ("x", "y"))
+        self.edge_array = F.expr(_text(self.edges, _EDGE))
+        self.vertex_array = F.expr(_text(self.vertices, ("x", "y")))
 
     def in_box(self, x: Column, y: Column) -> Column:
         x0, y0, x1, y1 = self.box
@@ -125,11 +144,12 @@ class _Filter:
             return F.exists(self.vertex_array, lambda v: (x == v["x"]) & (y == v["y"]))
         if self.is_box:
             return self.in_box(x, y)
-        return self.in_box(x, y) & (self._on_edge(x, y) | self._odd(x, y))
+        inside = self._on_edge(x, y) | self._odd(x, y) if self.is_area else self._on_edge(x, y)
+        return self.in_box(x, y) & inside
 
     def holds(self, x: Column, y: Column) -> Column:
-        """Point strictly inside (for point filters: equal to one)."""
-        if not self.edges:
+        """Point strictly inside (for point and line filters: one of theirs)."""
+        if not self.is_area:
             return self.covers(x, y)
         if self.is_box:
             x0, y0, x1, y1 = self.box
@@ -206,107 +226,165 @@ def _segments(lists: Column, closed: bool) -> Column:
 _SEGMENTS = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
-def _side(e: Column, x: Column, y: Column) -> Column:
-    return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
+# Places closer than this share of a segment's length count as one.
+_NEAR = 1e-9
 
+# The relations of lines and areas are SQL texts over one struct ``g``: ``own`` (the
+# feature's segments), ``edges`` and ``vertices`` (the filter's).  As texts they cost next
+# to nothing to put together, however deep they nest.
 
-def _cross(a: Column, b: Column) -> Column:
-    """Two segments cut through each other, not just touching."""
-    return (_side(a, b["x1"], b["y1"]) * _side(a, b["x2"], b["y2"]) < 0) & (_side(b, a["x1"], a["y1"]) * _side(b, a["x2"], a["y2"]) < 0)
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``value`` computed once and named."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-def _touches(e: Column, x: Column, y: Column) -> Column:
-    inside = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    return inside & (_side(e, x, y) == 0)
 
+def _meet(a: str, b: str) -> str:
+    """Two segments share a point, be it an end."""
 
-def _within_segments(segments: Column, x: Column, y: Column) -> tuple[Column, Column]:
-    """(on the boundary, an odd number of crossings to the right) of a point and a feature's segments."""
+    def apart(c: str, d: str) -> str:
+        high, low = (lambda v: f"greatest({v}.{c}, {v}.{d})"), (lambda v: f"least({v}.{c}, {v}.{d})")
+        return f"{high(a)} < {low(b)} or {high(b)} < {low(a)}"
 
-    def crossed(e: Column) -> Column:
-        at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-        return ((e["y1"] > y) != (e["y2"] > y)) & (x < at)
+    def side(e: str, v: str, n: int) -> str:
+        return f"signum(({e}.x2 - {e}.x1) * ({v}.y{n} - {e}.y1) - ({e}.y2 - {e}.y1) * ({v}.x{n} - {e}.x1))"
 
-    return F.exists(segments, lambda e: _touches(e, x, y)), F.size(F.filter(segments, crossed)) % 2 == 1
+    across = lambda e, v: f"{side(e, v, 1)} * {side(e, v, 2)} <= 0"
+    return f"(not ({apart('x1', 'x2')} or {apart('y1', 'y2')}) and {across(a, b)} and {across(b, a)})"
 
 
-def _shape_test(f: _Filter, segments: Column, area: bool, relation: str) -> Column:
-    """Polyline (``area`` False) and polygon features against the filter."""
+def _covered(segments: str, area: bool, x: str, y: str) -> str:
+    """A point on the segments, or inside the area that they bound."""
+    on = (
+        f"exists({segments}, e -> {x} between least(e.x1, e.x2) and greatest(e.x1, e.x2) and {y} between least(e.y1, e.y2) and greatest(e.y1, e.y2)"
+        f" and (e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1))"
+    )
+    crossed = f"(e.y1 > {y}) <> (e.y2 > {y}) and {x} < e.x1 + ({y} - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0D)"
+    return f"({on} or size(filter({segments}, e -> {crossed})) % 2 = 1)" if area else on
+
+
+def _along(edges: str, other: bool) -> str:
+    """Edges seen from segment ``s``: where their lines meet, in shares of its length, and how they turn."""
+    dx, dy, ex, ey, px, py = "(s.x2 - s.x1)", "(s.y2 - s.y1)", "(e.x2 - e.x1)", "(e.y2 - e.y1)", "(e.x1 - s.x1)", "(e.y1 - s.y1)"
+    share = lambda n: f"((e.x{n} - s.x1) * {dx} + (e.y{n} - s.y1) * {dy}) / ({dx} * {dx} + {dy} * {dy})"
+    turn = f"{dx} * {ey} - {dy} * {ex}"
+    return (
+        f"transform({edges}, e -> named_struct('other', {str(other).lower()}, 'x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, 'turn', {turn}, "
+        f"'off', {px} * {dy} - {py} * {dx}, 'at', ({px} * {ey} - {py} * {ex}) / nullif({turn}, 0D), 'first', {share(1)}, 'last', {share(2)}))"
+    )
 
-    def covered(x: Column, y: Column) -> Column:
-        """By the feature."""
-        on, odd = _within_segments(segments, x, y)
-        return (on | odd) if area else on
 
-    def strictly(x: Column, y: Column) -> Column:
-        on, odd = _within_segments(segments, x, y)
-        return ~on & odd if area else F.lit(False)
+def _judged(segments: str, other: str) -> str:
+    """Every part of the segments: does an edge of the other shape run along it (``on``), does that
+    shape lie to its ``left`` and ``right``, and does its own (``own_left``, ``own_right``).
 
-    crossing = F.exists(segments, lambda s: F.exists(f.edge_array, lambda e: _cross(s, e))) if f.edges else F.lit(False)
-    vertex_covered = lambda v: covered(v["x"], v["y"])
+    Segments are cut wherever they meet an edge.  From the middle of a part, rays go to both
+    sides at a right angle.  No edge but one along it meets the part, so what the rays count
+    does not depend on how the middle was rounded.
+    """
+    cuts = (
+        f"flatten(transform(near, e -> case when e.turn = 0 and e.off = 0 then array(e.first, e.last) "
+        f"when e.off / nullif(e.turn, 0D) between -{_NEAR} and 1 + {_NEAR} then array(e.at) else cast(array() as array<double>) end))"
+    )
+    places = f"array_sort(array_distinct(concat(array(0D, 1D), filter({cuts}, t -> t > {_NEAR} and t < 1 - {_NEAR}))))"
+    parts = f"filter(transform(sequence(1, size(places) - 1), i -> named_struct('a', places[i - 1], 'b', places[i])), p -> p.b - p.a > {_NEAR})"
+    middle = (
+        "named_struct('x', s.x1 + (p.a + p.b) / 2 * (s.x2 - s.x1), 'y', s.y1 + (p.a + p.b) / 2 * (s.y2 - s.y1), 'dx', s.x2 - s.x1, 'dy', s.y2 - s.y1)"
+    )
+    spans = f"e.turn = 0 and e.off = 0 and least(e.first, e.last) <= p.a + {_NEAR} and greatest(e.first, e.last) >= p.b - {_NEAR}"
+    ahead = lambda n: f"(m.dx * (e.x{n} - m.x) + m.dy * (e.y{n} - m.y))"
+    height = lambda n: f"(m.dx * (e.y{n} - m.y) - m.dy * (e.x{n} - m.x))"
+    seen = (
+        f"transform(near, e -> named_struct('other', e.other, 'on', {spans}, 'h', case when ({ahead(1)} > 0) <> ({ahead(2)} > 0) and not ({spans}) "
+        f"then {height(1)} + ({height(2)} - {height(1)}) * {ahead(1)} / ({ahead(1)} - {ahead(2)}) end))"
+    )
+    odd = lambda other, test: f"size(filter(seen, h -> {other} and h.h {test} 0)) % 2 = 1"
+    judged = (
+        f"named_struct('on', exists(seen, h -> h.other and h.on), 'left', {odd('h.other', '>')}, 'right', {odd('h.other', '<')}, "
+        f"'own_left', {odd('not h.other', '>')}, 'own_right', {odd('not h.other', '<')})"
+    )
+    of_part = _let(middle, "m", _let(seen, "seen", judged))
+    of_segment = _let(f"concat({_along(segments, False)}, {_along(other, True)})", "near", _let(places, "places", f"transform({parts}, p -> {of_part})"))
+    return f"flatten(transform({segments}, s -> {of_segment}))"
+
+
+def _holds(outer: str, outer_area: bool, inner: str, inner_area: bool) -> str:
+    """The inner shape lies in the outer one, and not only along its boundary."""
+    if not outer_area:
+        # a line holds only lines that run along it
+        return "false" if inner_area else f"forall({_judged(inner, outer)}, q -> q.on)"
+    if not inner_area:
+        return _let(_judged(inner, outer), "qs", "forall(qs, q -> q.on or q.left) and exists(qs, q -> not q.on and q.left)")
+    # wherever one boundary runs, what the inner area covers beside it the outer one covers too
+    inside = "(q.on or q.left) and (not q.own_left or q.left) and (not q.own_right or q.right)"
+    around = "(not q.left or q.own_left) and (not q.right or q.own_right)"
+    return f"(forall({_judged(inner, outer)}, q -> {inside}) and forall({_judged(outer, inner)}, q -> {around}))"
+
+
+def _shape_test(f: _Filter, area: bool, relation: str) -> str:
+    """Line and area features against the filter."""
+    if relation == "contains":
+        return _holds("g.edges", f.is_area, "g.own", area) if f.edges else "false"
+    if not f.edges:
+        return f"{'forall' if relation == 'within' else 'exists'}(g.vertices, v -> {_covered('g.own', area, 'v.x', 'v.y')})"
     if relation == "within":
-        if f.edges and not area:
-            return F.lit(False)  # a line cannot hold an area
-        around = F.forall(f.vertex_array, vertex_covered)
-        if not f.edges:
-            return around
-        middle = F.forall(f.edge_array, lambda e: covered((e["x1"] + e["x2"]) / 2, (e["y1"] + e["y2"]) / 2))
-        return around & middle & ~crossing & ~F.exists(segments, lambda s: f.holds(s["x1"], s["y1"]))
+        return _holds("g.own", area, "g.edges", f.is_area)
+    met = f"exists(g.own, a -> exists(g.edges, b -> {_meet('a', 'b')}))"
+    if f.is_area:
+        met += f" or exists(g.own, a -> {_covered('g.edges', True, 'a.x1', 'a.y1')})"
+    if area:
+        met += f" or exists(g.vertices, v -> {_covered('g.own', True, 'v.x', 'v.y')})"
+    return f"({met})"
+
+
+def _point_test(f: _Filter, x: Column, y: Column, relation: str) -> Column:
+    if relation == "intersects":
+        return f.covers(x, y)
     if relation == "contains":
-        if not f.edges:
-            return F.lit(False)
-        inside = F.forall(
-            segments,
-            lambda s: f.covers(s["x1"], s["y1"]) & f.covers(s["x2"], s["y2"]) & f.covers((s["x1"] + s["x2"]) / 2, (s["y1"] + s["y2"]) / 2),
-        )
-        return inside & ~crossing & ~F.exists(f.vertex_array, lambda v: strictly(v["x"], v["y"]))
-    met = F.exists(f.vertex_array, vertex_covered) | crossing
+        return f.holds(x, y)
+    # a point holds nothing but itself
+    return F.lit(not f.edges and len(f.vertices) == 1) & f.covers(x, y)
+
+
+def _points_test(f: _Filter, points: Column, relation: str) -> Column:
+    at = lambda test: lambda p: test(F.get(p, 0), F.get(p, 1))
+    if relation == "intersects":
+        return F.exists(points, at(f.covers))
+    if relation == "contains":
+        return F.forall(points, at(f.covers)) & F.exists(points, at(f.holds))
     if f.edges:
-        met = met | F.exists(segments, lambda s: f.covers(s["x1"], s["y1"]) | f.covers(s["x2"], s["y2"]))
-    return met
+        return F.lit(False)
+    return F.forall(f.vertex_array, lambda v: F.exists(points, lambda p: (F.get(p, 0) == v["x"]) & (F.get(p, 1) == v["y"])))
 
 
-def _box_test(f: _Filter, box: tuple[Column, ...], relation: str) -> Column:
-    """Envelope features against the filter."""
+def _box_segments(box: tuple[Column, ...]) -> Column:
     x0, y0, x1, y1 = box
-    a0, b0, a1, b1 = f.box
-    apart = (x0 > a1) | (x1 < a0) | (y0 > b1) | (y1 < b0)
     corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
-    inside = lambda p: p["x"].between(x0, x1) & p["y"].between(y0, y1)
-    if relation == "within":
-        return F.forall(f.vertex_array, inside)
-    if relation == "contains" and not f.edges:
-        return F.lit(False)
-    if f.is_box:
-        if relation == "contains":
-            return (x0 >= a0) & (x1 <= a1) & (y0 >= b0) & (y1 <= b1)
-        return ~apart
-    if not f.edges:
-        return F.exists(f.vertex_array, inside)
-
-    def cuts(e: Column, strict: bool) -> Column:
-        """The edge meets the rectangle (its open interior when strict).
-
-        The edge's extent must overlap and the corners must not all lie on one side.
-        """
-        lo_x, hi_x = F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])
-        lo_y, hi_y = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
-        sides = [
-            (e["x2"] - e["x1"]) * (cy - e["y1"]) - (e["y2"] - e["y1"]) * (cx - e["x1"])
-            for cx, cy in corners
-        ]
-        low, high = F.least(*sides), F.greatest(*sides)
-        if strict:
-            return (lo_x < x1) & (hi_x > x0) & (lo_y < y1) & (hi_y > y0) & (low < 0) & (high > 0)
-        return (lo_x <= x1) & (hi_x >= x0) & (lo_y <= y1) & (hi_y >= y0) & (low <= 0) & (high >= 0)
-
-    if relation == "contains":
-        middle = f.covers((x0 + x1) / 2, (y0 + y1) / 2)
-        every = f.covers(*corners[0])
-        for corner in corners[1:]:
-            every = every & f.covers(*corner)
-        return ~apart & every & middle & ~F.exists(f.edge_array, lambda e: cuts(e, True))
-    return ~apart & (F.exists(f.edge_array, lambda e: cuts(e, False)) | f.covers(x0, y0))
+    return F.array(*(
+        F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")) for a, b in zip(corners, corners[1:] + corners[:1])
+    ))
+
+
+def _related_shapes(df: DataFrame, f: _Filter, feature: _Feature, relation: str) -> tuple[DataFrame, Column, list[str]]:
+    """(rows with the segments of lines and areas, their relation to the filter, the columns added)."""
+    taken = {c.lower() for c in df.columns}
+    segments, area = "_segments", "_area"
+    while segments in taken or area in taken:
+        segments, area = segments + "_", area + "_"
+    is_box, is_area = feature.box[0].isNotNull(), F.size(feature.rings) > 0
+    found = (
+        F.when(is_box, _box_segments(feature.box))
+        .when(is_area, _segments(feature.rings, True))
+        .when(F.size(feature.paths) > 0, _segments(feature.paths, False))
+    )
+    df = df.withColumn(segments, found).withColumn(area, F.coalesce(is_box | is_area, F.lit(False)))
+    real = f"filter({segments}, s -> s.x1 <> s.x2 or s.y1 <> s.y2)"
+    given = f"named_struct('own', {real}, 'edges', {_text(f.edges, _EDGE)}, 'vertices', {_text(f.vertices, ('x', 'y'))})"
+    test = f"case when size(g.own) > 0 then case when {area} then {_shape_test(f, True, relation)} else {_shape_test(f, False, relation)} end end"
+    # a shape without extent is its first point
+    first = F.get(segments, 0)
+    related = F.coalesce(F.expr(_let(given, "g", test)), _point_test(f, first["x1"], first["y1"], relation))
+    return df, F.when(F.size(segments) > 0, related), [segments, area]
 
 
 def spatial_filter(
@@ -318,41 +396,28 @@ def spatial_filter(
 ) -> DataFrame:
     """Rows whose geometry is related to ``geometry``.
 
-    Point, multipoint, envelope, polyline and polygon features against point, multipoint,
-    envelope and polygon filters.  Nothing is reprojected: with ``in_sr`` given, a feature
-    that states another reference is an error, and so is a feature with curves.  A row
-    without a geometry, or with an empty one, is related to nothing.
+    Point, multipoint, envelope, polyline and polygon features against filters of the
+    same kinds.  Lines and areas are cut wherever they meet and judged part by part, so
+    edges that lie on edges, shared corners and holes count as they should.  A line along
+    the boundary of an area meets it and is not inside it.  Nothing is reprojected: with
+    ``in_sr`` given, a feature that states another reference is an error, and so is a
+    feature with curves.  A row without a geometry, or with an empty one, is related to
+    nothing; a line or area without extent counts as a point.
     """
     if relation not in RELATIONS:
         raise ValueError(f"relation must be one of {sorted(RELATIONS)}, got {relation!r}")
-    wanted, f, feature = RELATIONS[relation], _Filter(geometry), _Feature(df, column)
+    shape, kind, expected = filter_geometry(geometry, in_sr)
+    wanted, f, feature = RELATIONS[relation], _Filter(shape, kind), _Feature(df, column)
     x, y = feature.x, feature.y
-    xs = lambda test: lambda p: test(F.get(p, 0), F.get(p, 1))
-    if wanted == "intersects":
-        on_point, on_points = f.covers(x, y), F.exists(feature.points, xs(f.covers))
-    elif wanted == "contains":
-        on_point = f.holds(x, y)
-        on_points = F.forall(feature.points, xs(f.covers)) & F.exists(feature.points, xs(f.holds))
-    elif f.edges:
-        # A point cannot hold an area.
-        on_point = on_points = F.lit(False)
-    else:
-        every = F.lit(len(set(f.points)) == 1)
-        on_point = every & f.covers(x, y)
-        on_points = F.forall(
-            f.vertex_array,
-            lambda v: F.exists(feature.points, lambda p: (F.get(p, 0) == v["x"]) & (F.get(p, 1) == v["y"])),
+    related, added = F.when(x.isNotNull() & y.isNotNull(), _point_test(f, x, y, wanted)), []
+    if feature.mixed:
+        df, of_shapes, added = _related_shapes(df, f, feature, wanted)
+        related = (
+            related.when(feature.points.isNotNull(), (F.size(feature.points) > 0) & _points_test(f, feature.points, wanted))
+            .when(feature.curved, F.raise_error(F.lit("features with curves cannot be evaluated here")).cast("boolean"))
+            .otherwise(of_shapes)
         )
-    related = F.coalesce(
-        F.when(x.isNotNull() & y.isNotNull(), on_point)
-        .when(feature.points.isNotNull(), on_points)
-        .when(feature.box[0].isNotNull(), _box_test(f, feature.box, wanted))
-        .when(F.size(feature.rings) > 0, _shape_test(f, _segments(feature.rings, True), True, wanted))
-        .when(F.size(feature.paths) > 0, _shape_test(f, _segments(feature.paths, False), False, wanted))
-        .when(feature.curved, F.raise_error(F.lit("features with curves cannot be evaluated here")).cast("boolean")),
-        F.lit(False),
-    )
-    expected = _epsg(in_sr)
+    related = F.coalesce(related, F.lit(False))
     differs = F.lit(False)
     if expected is not None:
         differs = F.coalesce(feature.srid != expected, F.lit(False))
@@ -365,4 +430,4 @@ def spatial_filter(
         if feature.mixed:
             near = near | x.isNull() | y.isNull()
         df = df.where(near)
-    return df.where(related)
+    return df.where(related).drop(*added)

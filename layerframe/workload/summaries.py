@@ -148,6 +148,49 @@ def spatial_filter_envelope_query(spark, sf_dir):
     return Layer(points(spark, sf_dir), "c_custkey").spatial_filter(box).out_fields("c_custkey").df
 
 
+# Suppliers as squares and as paths on a grid of whole numbers, against a square with a square hole.
+SQUARES_SQL = """
+WITH s AS (SELECT s_suppkey AS k, s_suppkey % 37 AS x, s_suppkey % 23 AS y, 1 + s_suppkey % 5 AS w FROM supplier),
+b AS (SELECT k, x AS x0, y AS y0, x + w AS x1, y + w AS y1 FROM s)
+"""
+HOLED = {"rings": [[[5, 3], [30, 3], [30, 18], [5, 18]], [[10, 6], [20, 6], [20, 12], [10, 12]]]}
+
+
+def _squares(spark, sf_dir, paths: bool = False):
+    k = F.col("s_suppkey")
+    x, y, w = k % 37, k % 23, k % 5 + 1
+    corner = lambda a, b: F.array(a.cast("double"), b.cast("double"))
+    # a path goes along the square's lower edge and up its right one
+    corners = [corner(x, y), corner(x + w, y), corner(x + w, y + w)]
+    line = F.array(F.array(*corners) if paths else F.array(*corners, corner(x, y + w)))
+    shape = F.struct(line.alias("paths" if paths else "rings"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", shape.alias("geometry"))
+
+
+@query(
+    "spatial_filter_rings",
+    f"""{SQUARES_SQL}
+SELECT k AS s_suppkey FROM b
+WHERE x0 >= 5 AND x1 <= 30 AND y0 >= 3 AND y1 <= 18 AND NOT (x0 < 20 AND x1 > 10 AND y0 < 12 AND y1 > 6)""",
+)
+def spatial_filter_rings_query(spark, sf_dir):
+    """Squares inside, many of them with edges on the filter's own or corners on its hole."""
+    return spatial_filter(_squares(spark, sf_dir), "geometry", HOLED, relation="contains").select("s_suppkey")
+
+
+@query(
+    "spatial_filter_paths",
+    f"""{SQUARES_SQL},
+seg AS (SELECT k, x0 AS a0, x1 AS a1, y0 AS c0, y0 AS c1 FROM b UNION ALL SELECT k, x1, x1, y0, y1 FROM b)
+SELECT k AS s_suppkey FROM seg
+WHERE a0 <= 30 AND a1 >= 5 AND c0 <= 18 AND c1 >= 3 AND NOT (a0 > 10 AND a1 < 20 AND c0 > 6 AND c1 < 12)
+GROUP BY k""",
+)
+def spatial_filter_paths_query(spark, sf_dir):
+    """Paths that meet the filter, be it at a point of its boundary."""
+    return spatial_filter(_squares(spark, sf_dir, paths=True), "geometry", HOLED).select("s_suppkey")
+
+
 @query(
     "is_layer_url",
     "SELECT page_id, regexp_matches(url, '[0-9]$') AS is_layer FROM pages",

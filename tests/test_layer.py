@@ -1,6 +1,7 @@
 """The layer wrapper and the spatial filter."""
 
 import random
+from fractions import Fraction
 
 import json
 
@@ -179,3 +180,149 @@ def test_lines_and_areas_against_a_polygon(spark):
     curved = spark.createDataFrame([('{"curveRings": [[[0, 0], [1, 1]]]}',)], "j string").select(F.parse_json("j").alias("geometry"))
     with pytest.raises(Exception, match="curves"):
         spatial_filter(curved, "geometry", {"rings": [RING]}).collect()
+
+
+# --- relations of lines and areas against a plain test in exact fractions ---------------------
+
+
+def segments(shape):
+    out = []
+    for line in shape.get("rings", shape.get("paths", ())):
+        closed = line + [line[0]] if "rings" in shape else line
+        out += [(tuple(a), tuple(b)) for a, b in zip(closed, closed[1:]) if a != b]
+    return out
+
+
+def strictly_inside(edges, x, y):
+    odd = False
+    for (x1, y1), (x2, y2) in edges:
+        if (y1 > y) != (y2 > y) and x < Fraction(x2 - x1) * (y - y1) / (y2 - y1) + x1:
+            odd = not odd
+    return odd
+
+
+def on_some(edges, x, y):
+    return any(
+        (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+        for (x1, y1), (x2, y2) in edges
+    )
+
+
+def pieces(edges, others):
+    """(middle, point just left, point just right) of every piece between meetings."""
+    for (x1, y1), (x2, y2) in edges:
+        dx, dy = x2 - x1, y2 - y1
+        cuts = {Fraction(0), Fraction(1)}
+        for (a1, b1), (a2, b2) in [*edges, *others]:
+            turn = dx * (b2 - b1) - dy * (a2 - a1)
+            if turn:
+                t, u = Fraction((a1 - x1) * (b2 - b1) - (b1 - y1) * (a2 - a1), turn), Fraction((a1 - x1) * dy - (b1 - y1) * dx, turn)
+                cuts |= {t} if 0 <= u <= 1 and 0 <= t <= 1 else set()
+            elif (a1 - x1) * dy == (b1 - y1) * dx:
+                cuts |= {t for a, b in ((a1, b1), (a2, b2)) if 0 <= (t := Fraction((a - x1) * dx + (b - y1) * dy, dx * dx + dy * dy)) <= 1}
+        places = sorted(cuts)
+        for t, u in zip(places, places[1:]):
+            x, y = x1 + (t + u) / 2 * dx, y1 + (t + u) / 2 * dy
+            tiny = Fraction(1, 10**9)
+            yield (x, y), (x - tiny * dy, y + tiny * dx), (x + tiny * dy, y - tiny * dx)
+
+
+def plain_holds(outer, inner):
+    out, inn = segments(outer), segments(inner)
+    if "paths" in outer:
+        return "paths" in inner and all(on_some(out, *m) for m, _, _ in pieces(inn, out))
+    if "paths" in inner:
+        middles = [m for m, _, _ in pieces(inn, out)]
+        return all(on_some(out, *m) or strictly_inside(out, *m) for m in middles) and any(not on_some(out, *m) and strictly_inside(out, *m) for m in middles)
+    beside = [p for _, a, b in [*pieces(inn, out), *pieces(out, inn)] for p in (a, b)]
+    return all(strictly_inside(out, *p) for p in beside if strictly_inside(inn, *p))
+
+
+def plain_intersects(a, b):
+    first, second = segments(a), segments(b)
+    for (own, other, shape) in ((first, second, b), (second, first, a)):
+        for piece in own:
+            if any(on_some(other, *p) or ("rings" in shape and strictly_inside(other, *p)) for p in piece):
+                return True
+        if any(on_some(other, *m) or ("rings" in shape and strictly_inside(other, *m)) for m, _, _ in pieces(own, other)):
+            return True
+    # crossings at single points end pieces
+    return any(on_some(second, *p) for s in first for p in ends_of_pieces(s, second))
+
+
+def ends_of_pieces(s, others):
+    (x1, y1), (x2, y2) = s
+    dx, dy = x2 - x1, y2 - y1
+    for (a1, b1), (a2, b2) in others:
+        turn = dx * (b2 - b1) - dy * (a2 - a1)
+        if turn:
+            t, u = Fraction((a1 - x1) * (b2 - b1) - (b1 - y1) * (a2 - a1), turn), Fraction((a1 - x1) * dy - (b1 - y1) * dx, turn)
+            if 0 <= t <= 1 and 0 <= u <= 1:
+                yield x1 + t * dx, y1 + t * dy
+
+
+def random_shapes(rng, n):
+    """Concave rings around a centre and short paths, on a coarse grid so that edges meet edges and corners."""
+    made = []
+    for _ in range(n):
+        cx, cy = rng.randint(2, 8), rng.randint(2, 8)
+        if rng.random() < 0.3:
+            made.append({"paths": [[[rng.randint(0, 10), rng.randint(0, 10)] for _ in range(rng.randint(2, 4))]]})
+            continue
+        directions = [(1, 0), (2, 1), (1, 1), (1, 2), (0, 1), (-1, 2), (-1, 1), (-2, 1), (-1, 0), (-1, -1), (0, -1), (1, -1)]
+        chosen = sorted(rng.sample(range(12), rng.randint(5, 9)))
+        ring = [[cx + (r := rng.randint(1, 3)) * directions[i][0], cy + r * directions[i][1]] for i in chosen]
+        made.append({"rings": [ring]})
+    return made
+
+
+def test_random_relations_equal_a_plain_test(spark):
+    rng = random.Random(11)
+    shapes = [s for s in random_shapes(rng, 70) if segments(s)]
+    shapes += [{"rings": [RING]}, {"rings": [RING, HOLE]}, {"rings": [HOLE]}, {"rings": [[[0, 0], [10, 0], [10, 10], [0, 10]]]}, {"paths": [[[0, 0], [10, 0]]]}]
+    df = spark.createDataFrame([(i, json.dumps(s)) for i, s in enumerate(shapes)], "i int, j string").select("i", F.parse_json("j").alias("geometry")).cache()
+    seen = {r: 0 for r in ("intersects", "contains", "within")}
+    for shape in [*random_shapes(rng, 5), *shapes[-5:]]:
+        if not segments(shape):
+            continue
+        for relation, test in (("intersects", plain_intersects), ("contains", plain_holds), ("within", lambda a, b: plain_holds(b, a))):
+            found = {r.i for r in spatial_filter(df, "geometry", shape, relation=relation).collect()}
+            want = {i for i, s in enumerate(shapes) if test(shape, s)}
+            assert found == want, (relation, shape, [shapes[i] for i in found ^ want])
+            seen[relation] += len(want)
+    assert all(n > 10 for n in seen.values())
+
+
+def test_line_along_the_boundary_across_a_notch(spark):
+    notched = {"rings": [[[0, 0], [10, 0], [10, 10], [4, 10], [4, 5], [3, 5], [3, 10], [0, 10], [0, 0]]]}
+    lines = {"across": [[0.5, 10], [9.5, 10]], "beside": [[0.5, 10], [2.5, 10]], "into": [[0.5, 10], [2.5, 10], [2.5, 1]], "through": [[1, 1], [9, 1]]}
+    df = spark.createDataFrame([(k, json.dumps({"paths": [v]})) for k, v in lines.items()], "k string, j string").select("k", F.parse_json("j").alias("geometry"))
+    assert {r.k for r in spatial_filter(df, "geometry", notched, relation="contains").collect()} == {"into", "through"}
+    assert {r.k for r in spatial_filter(df, "geometry", notched).collect()} == set(lines)
+
+
+def test_polyline_filters(spark):
+    shapes = {
+        "on": {"x": 2, "y": 2}, "off": {"x": 2, "y": 3}, "some": {"points": [[1, 1], [5, 1]]}, "all": {"points": [[1, 1], [3, 3]]}, "part": {"paths": [[[1, 1], [2, 2]]]},
+        "around": {"rings": [[[-1, -1], [9, -1], [9, 9], [-1, 9]]]}, "dot": {"paths": [[[1, 1], [1, 1]]]}, "box": {"xmin": 3, "ymin": 0, "xmax": 5, "ymax": 9},
+        "longer": {"paths": [[[-1, -1], [9, 9]]]}, "none": {"paths": []}, "empty": {"points": []},
+    }
+    df = spark.createDataFrame([(k, json.dumps(v)) for k, v in shapes.items()], "k string, j string").select("k", F.parse_json("j").alias("geometry"))
+    line = {"type": "LineString", "coordinates": [[0, 0], [4, 4]]}
+    kept = lambda relation: {r.k for r in spatial_filter(df, "geometry", line, relation=relation).collect()}
+    assert kept("intersects") == {"on", "some", "all", "part", "around", "dot", "box", "longer"}
+    assert kept("contains") == {"on", "all", "part", "dot"}
+    assert kept("within") == {"around", "longer"}
+    with pytest.raises(LayerError):
+        spatial_filter(df, "geometry", {"curvePaths": [[[0, 0], [1, 1]]]})
+
+
+def test_plain_filters_start_no_job(spark):
+    df = points(spark, [(1.0, 1.0)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        spatial_filter(df, "geometry", {"rings": [RING]}, in_sr=3857)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
