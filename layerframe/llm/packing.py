@@ -13,48 +13,49 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerframe.llm import text
 from layerframe.llm.counts import vocabulary
 from layerframe.plans.scratch import scratch_path
 
 DIMENSIONS, BITS = 3, 16
-_HELD_PIECES = 300_000
+_HELD_BYTES, _LONGEST_HELD = 16 << 20, 256
 # The pre-tokenizer pattern of byte-level vocabularies, and the same in
 # Python's own, faster expressions for texts whose characters both classify alike.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_PLAIN_PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
 
 
 class PieceIds(dict):
-    """Ids of a pre-token, as bytes, kept by pre-token; cleared when it holds ``_HELD_PIECES``."""
+    """Ids of a pre-token, as bytes, kept by pre-token; cleared when they hold ``_HELD_BYTES``."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self._special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._cut = re.compile("(" + "|".join(re.escape(t) for t in self._special) + ")")
-        self._model = self._tokenizer.model
-        self._letters = _byte_letters()
+        self._ids = _merger(path, spec["model"], self._special)
+        self._held = 0
 
     def __missing__(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self._letters)
-        ids = np.array([t.id for t in self._model.tokenize(spelled)], np.uint32).tobytes()
-        if len(self) >= _HELD_PIECES:
-            self.clear()
-        self[piece] = ids
+        data = piece.encode()
+        ids = np.array(self._ids(data), np.uint32).tobytes()
+        if len(data) <= _LONGEST_HELD:
+            self._held += len(data) + len(ids)
+            if self._held > _HELD_BYTES:
+                self.clear()
+                self._held = 0
+            self[piece] = ids
         return ids
 
     def encode(self, whole: str) -> bytes:
@@ -70,6 +71,28 @@ class PieceIds(dict):
         return b"".join(map(self.__getitem__, pattern.findall(part)))
 
 
+def _merger(path: str, model: dict, special: dict[str, int]) -> Callable[[bytes], list[int]]:
+    """Merges the bytes of one pre-token into ids.
+
+    Where ids ascend with the rank of the merges, as in vocabularies of the usual make, the
+    lower id is the earlier merge, and the faster library needs only the bytes of each token.
+    """
+    vocab = model["vocab"]
+    made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    letters = _byte_letters()
+    if all(a < b for a, b in zip(made, made[1:])):
+        import tiktoken
+
+        byte_of = {chr(letter): byte for byte, letter in letters.items()}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in special}
+        return tiktoken.Encoding("pieces", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return lambda data: [t.id for t in tokenizer.model.tokenize(data.decode("latin-1").translate(letters))]
+
+
 def _byte_letters() -> dict[int, int]:
     """The printable stand-in of each byte, for ``str.translate``."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -131,8 +154,12 @@ def tokenized(docs: DataFrame, key: str, column: str, path: str | None, end_id:
             ids = np.frombuffer(b"".join(coded), np.uint32)
             curve = curve_keys(ids, np.cumsum(sizes) - sizes)
             # two bytes an id where they do
-            small = [np.frombuffer(c, np.uint32) for c in coded]
-            stored = [s.astype(np.uint16).tobytes() if s.max() < 1 << 16 else b"\x00" + s.tobytes() for s in small]
+            if ids.max(initial=0) < 1 << 16:
+                short, ends = ids.astype(np.uint16).tobytes(), 2 * np.cumsum(sizes)
+                stored = [short[a:b] for a, b in zip((ends - 2 * sizes).tolist(), ends.tolist())]
+            else:
+                small = [np.frombuffer(c, np.uint32) for c in coded]
+                stored = [s.astype(np.uint16).tobytes() if s.max() < 1 << 16 else b"\x00" + s.tobytes() for s in small]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_key"), pa.array(curve), pa.array(stored, pa.binary())], ["_key", "_curve", "_ids"]
             )
@@ -154,14 +181,16 @@ def pack(
 
     Every document is its ids and ``end_id``; a null text is empty, so just that.  With
     ``with_ids`` the piece's ids follow, as little-endian unsigned 32-bit bytes.
-    Repeated rows are packed each.  Equal keys along the curve are parted by document,
-    so a group of copies spreads over many ranges.  A range's last sequence is short.
+    Repeated rows are packed each.  Equal places on the curve are parted by key, then by
+    row, so a group of copies spreads over many ranges, with or without keys.  A range's
+    last sequence is short.
     """
     spark = docs.sparkSession
     path_ids = scratch_path(spark, "packing-ids")
     tokenized(docs, key, column, path, end_id).write.option("compression", "zstd").parquet(path_ids)
-    ids = spark.read.parquet(path_ids)
-    ranged = ids.repartitionByRange("_curve", "_key").sortWithinPartitions("_curve", "_key")
+    # the place among the written rows parts rows that agree in all else
+    ids = spark.read.parquet(path_ids).withColumn("_row", F.monotonically_increasing_id())
+    ranged = ids.repartitionByRange("_curve", "_key", "_row").sortWithinPartitions("_curve", "_key", "_row")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32

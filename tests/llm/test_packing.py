@@ -74,3 +74,32 @@ def test_edge_rows(spark):
     assert pack(df.limit(0)).count() == 0
     ids = pack(df.where("doc_id = 5"), with_ids=True).first().ids
     assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode("a").ids + [0]
+
+
+def test_pieces_equal_the_library():
+    """Every pre-token's ids, whatever its bytes, are those of the tokenizer's own merging."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from layerframe.llm.counts import vocabulary
+    from layerframe.llm.packing import PieceIds
+
+    path = vocabulary("byte_bpe_50k.json", None)
+    pieces, library = PieceIds(path), Tokenizer.from_file(path)
+    rng = random.Random(4)
+    words = ["".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(0xA1, 0x600), rng.randrange(0x4E00, 0x4F00)])) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    words += ["aaaa" * n for n in range(1, 60)] + ["the of and" * 9, "\U0001f600" * 7, "x" * 3000, "\u00e9\u0301" * 40]
+    for word in words:
+        assert np.frombuffer(pieces.encode(word), np.uint32).tolist() == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_equal_rows_spread(spark):
+    """Rows that agree in text and key, or have none, still fill several ranges."""
+    from layerframe.llm.packing import pack
+    from layerframe.session import setting
+
+    docs = spark.range(0, 4000, 1, 8).selectExpr("cast(null as long) as doc_id", "'the same words again and again' as text")
+    with setting(spark, "spark.sql.adaptive.enabled", "false"):
+        pieces = pack(docs).selectExpr("sequence_id >> 32 as part", "length").groupBy("part").sum("length").collect()
+    assert len(pieces) > 4 and max(p[1] for p in pieces) < 2 * min(p[1] for p in pieces)
