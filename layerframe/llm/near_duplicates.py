@@ -10,14 +10,15 @@ register is all but surely filled are never made.
 
 Registers are banded; texts that agree in a band are candidates.  A bucket of
 candidates is never expanded into its pairs: its members are compared with one of them,
-then, in buckets whose members are not yet all connected, with others, and at last the
-members outside a bucket's largest component with all of other components.  So every
-pair of a bucket is compared, or known to be connected.
+then, in buckets whose members are not yet all connected, with another.  What is open after
+that is dealt into blocks of bags, and blocks of a bucket meet in pairs: a task counts what
+all bags of two blocks share at once and passes on only links that connect what was not
+connected.  So every pair of a bucket is compared, or known to be connected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ SHINGLE = 5
 THRESHOLD = (4, 5)  # similarity 0.8, as whole numbers
 BANDS, BAND_ROWS = 25, 5
 PIVOT_ROUNDS = 2
-LITTLE = 64  # shingles beyond a pivot that are kept with a node
-GROUP_SHINGLES = 2_000_000  # of one pivot's members that one task compares in a row
+GROUP_SHINGLES, GROUP_ROWS = 2_000_000, 256  # of one pivot's members that one task compares in a row
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 400_000  # of a bucket's members in one block, on average
+_COLUMNS = 4096  # shingles of two blocks that are counted at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,16 +133,62 @@ def digests(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) ->
 
 
 def elements(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """A bag as a set: one 32-bit value for each shingle and each of its occurrences, ascending."""
+    """A bag as a set: one 64-bit value for each shingle and each of its occurrences, ascending."""
     again = np.repeat(np.arange(len(weight)), weight)
     nth = np.arange(len(again)) - np.repeat(np.cumsum(weight) - weight, weight)
-    return np.sort((text.mix(shingle[again] + nth.astype(np.uint64) * _GOLDEN) >> np.uint64(32)).astype(np.uint32))
+    return np.sort(text.mix(shingle[again] + nth.astype(np.uint64) * _GOLDEN))
 
 
-def beyond(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """What bag b has and bag a has not, both as ``elements``."""
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two bags have in common, both as ``elements``."""
+    if not len(a) or not len(b):
+        return 0
     at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-    return b[a[at] != b]
+    return int((a[at] == b).sum())
+
+
+def shared_by_all(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """How many elements each bag of one block has in common with each of another.
+
+    Elements that both blocks hold are numbered; slice by slice of the numbers, products of
+    0/1 matrices count them.
+    """
+    held = [(np.repeat(np.arange(len(bags)), [len(b) for b in bags]), np.concatenate([*bags, np.zeros(0, np.uint64)])) for bags in (rows, columns)]
+    both = np.intersect1d(held[0][1], held[1][1])
+    out = np.zeros((len(rows), len(columns)), np.float32)
+    placed = []
+    for owner, values in held:
+        at = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        known = both[at] == values if len(both) else np.zeros(len(values), bool)
+        owner, at = owner[known], at[known]
+        order = np.argsort(at, kind="stable")
+        placed.append((owner[order], at[order]))
+    for low in range(0, len(both), _COLUMNS):
+        sides = []
+        for (owner, at), bags in zip(placed, (rows, columns)):
+            first, last = np.searchsorted(at, [low, low + _COLUMNS])
+            side = np.zeros((len(bags), min(_COLUMNS, len(both) - low)), np.float32)
+            side[owner[first:last], at[first:last] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+class _Sets:
+    """Disjoint sets with merging."""
+
+    def __init__(self) -> None:
+        self._up: dict = {}
+
+    def top(self, x):
+        while (up := self._up.get(x, x)) != x:
+            self._up[x] = x = self._up.get(up, up)
+        return x
+
+    def join(self, a, b) -> bool:
+        a, b = self.top(a), self.top(b)
+        self._up[a] = b
+        return a != b
 
 
 # --- on tables -------------------------------------------------------------------------
@@ -199,41 +247,100 @@ def reaches(both: Column, a: Column, b: Column, threshold: tuple[int, int]) -> C
 
 
 def verified(pairs: DataFrame, bag: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """(pivot, node, both, alike, extra) of pairs (pivot, node, n).
-
-    ``both`` is how much their bags share, ``alike`` whether that is enough, and ``extra``
-    what the node has beyond the pivot, where that is little; else null.
+    """(pivot, node, alike) of pairs (pivot, node, n): whether their bags reach the threshold.
 
     A pivot's members are dealt out in parts of bounded size, each with the pivot's bag first.
     """
-    parts = pairs.groupBy("pivot").agg((F.floor(F.sum("n") / GROUP_SHINGLES) + 1).cast("int").alias("parts"))
-    members = pairs.join(parts, "pivot").select("pivot", "node", F.pmod(F.hash("node"), "parts").alias("part"), F.lit(1).alias("role"))
+    num, den = threshold
+    size = F.greatest(F.floor(F.sum("n") / GROUP_SHINGLES), F.floor(F.count(F.lit(1)) / GROUP_ROWS))
+    parts = pairs.groupBy("pivot").agg((size + 1).cast("int").alias("parts"))
+    members = pairs.join(parts, "pivot").select("pivot", "node", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("role"))
     leading = parts.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
     rows = members.unionByName(leading).join(bag, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = None
         for batch in batches:
-            found, keep, extra = [], [], []
-            for pivot, node, role, data in zip(*(batch.column(c) for c in ("pivot", "node", "role", "bag"))):
-                own = np.frombuffer(data.as_buffer(), np.uint32)
-                if role.as_py() == 0:
+            keep, alike = [], []
+            for i, (role, data) in enumerate(zip(batch.column("role").to_pylist(), batch.column("bag"))):
+                own = np.frombuffer(data.as_buffer(), np.uint64)
+                if role == 0:
                     lead = own.copy()
                     continue
-                keep.append((pivot.as_py(), node.as_py()))
-                more = beyond(lead, own)
-                found.append((len(own) - len(more), len(lead) + len(own)))
-                extra.append(more.view(np.int32) if len(more) <= LITTLE else None)
-            columns = list(zip(*keep)) or [(), ()]
-            counts = list(zip(*found)) or [(), ()]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.binary()) for c in columns), *(pa.array(c, pa.int64()) for c in counts), pa.array(extra, pa.list_(pa.int32()))],
-                ["pivot", "node", "both", "sizes", "extra"],
-            )
+                keep.append(i)
+                alike.append(shared(lead, own) * (den + num) >= (len(lead) + len(own)) * num)
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("pivot").take(at), batch.column("node").take(at), pa.array(alike, pa.bool_())], ["pivot", "node", "alike"])
 
     dealt = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "role")
-    counted = dealt.select("pivot", "node", "role", "bag").mapInArrow(run, "pivot binary, node binary, both long, sizes long, extra array<int>")
-    return counted.select("pivot", "node", "both", reaches(F.col("both"), F.col("sizes"), F.lit(0), threshold).alias("alike"), "extra")
+    return dealt.select("pivot", "node", "role", "bag").mapInArrow(run, "pivot binary, node binary, alike boolean")
+
+
+def linked_blocks(open_members: DataFrame, bag: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """(a, b): links between members (bucket, node, n, label) of a bucket whose labels differ.
+
+    Every pair of a bucket with different labels is compared; of the links found in a pair
+    of blocks only those stay that connect labels not connected by others of them.
+
+    The members of a bucket outside its largest label are dealt into blocks, and so are
+    those of that label, which need not meet each other.  A member goes to as many tasks as
+    there are blocks for its own to meet.
+    """
+    num, den = threshold
+    size = open_members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_ROWS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
+    most = size.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("most"))
+    size = size.join(most, "bucket")
+    minor = F.col("label") != F.col("most")
+    dealt = size.groupBy("bucket", "most", minor.alias("minor")).agg(blocks.alias("blocks"))
+    dealt = dealt.groupBy("bucket", "most").agg(
+        F.max(F.when(F.col("minor"), F.col("blocks"))).alias("minors"), F.max(F.when(~F.col("minor"), F.col("blocks"))).alias("others")
+    )
+    # blocks are numbered with those outside the largest label first
+    own = F.when(minor, F.pmod(F.xxhash64("node"), "minors")).otherwise(F.col("minors") + F.pmod(F.xxhash64("node"), "others"))
+    met = F.sequence(F.lit(0), F.when(minor, F.col("minors") + F.col("others")).otherwise(F.col("minors")).cast("int") - 1)
+    placed = open_members.join(dealt, "bucket").select("bucket", "node", "label", own.cast("int").alias("own"), met.alias("met")).join(bag, "node")
+    spread = placed.select("bucket", "node", "label", "bag", "own", F.explode("met").alias("other"))
+    spread = spread.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "label", "bag")
+
+    def links(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        low, high = rows[0][1], rows[0][2]
+        sides = [[r for r in rows if r[3] == block] for block in (low, high)]
+        if not sides[0] or not sides[1]:
+            return
+        bags = [[np.frombuffer(r[6], np.uint64) for r in side] for side in sides]
+        number: dict[bytes, int] = {}
+        label = [np.array([number.setdefault(r[5], len(number)) for r in side]) for side in sides]
+        sizes = [np.array([len(b) for b in side]) for side in bags]
+        apart = label[0][:, None] != label[1][None, :]
+        near = apart & (den * np.minimum.outer(*sizes) >= num * np.maximum.outer(*sizes))
+        if not near.any():
+            return
+        both = shared_by_all(*bags)
+        sets = _Sets()
+        for i, j in np.argwhere(near & (both * (den + num) >= np.add.outer(*sizes) * num)).tolist():
+            if sets.join(label[0][i], label[1][j]):
+                yield sides[0][i][4], sides[1][j][4]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][:3] != row[:3]:
+                    found += links(held)
+                    held = []
+                held.append(row)
+            yield _pairs(found)
+        yield _pairs(links(held) if held else [])
+
+    sorted_rows = spread.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
+    return sorted_rows.mapInArrow(run, "a binary, b binary")
+
+
+def _pairs(found: Iterable[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    first, second = list(zip(*found)) or ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary())], ["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -260,20 +367,6 @@ def components(links: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def meeting_beyond(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(pivot, node, n) of pairs of members that share something beyond their hub, and may be alike.
-
-    Copies of one text that were changed each in its own way share nothing beyond it, so
-    few pairs meet, however many the copies.
-    """
-    few = members.where("little").select("hub", "node", "n", "label", "both", "extra").dropDuplicates(["hub", "node"])
-    spread = few.select("hub", "node", "n", "label", "both", F.explode("extra").alias("element"))
-    other = spread.select("hub", "element", F.struct("node", "n", "label", "both").alias("p"))
-    most = F.least("both", "p.both") + F.least(F.col("n") - F.col("both"), F.col("p.n") - F.col("p.both"))
-    met = spread.join(other, ["hub", "element"]).where("label <> p.label AND node < p.node")
-    return met.where(reaches(most, F.col("n"), F.col("p.n"), threshold)).select(F.col("p.node").alias("pivot"), "node", "n")
-
-
 def classes(
     docs: DataFrame,
     key: str = "doc_id",
@@ -293,56 +386,34 @@ def classes(
     )
     nodes = cut_lineage(nodes.select("node", F.col("rep.id").alias("rep"), F.col("rep.mark").alias("mark"), "n", "bands"), "bags")
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = cut_lineage(members.join(shared, "bucket").select("bucket", "node", "n", "size"), "buckets")
+    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut_lineage(members.join(several, "bucket").select("bucket", "node", "n", "size"), "buckets")
     # what a group of copies was made from shares more, and larger, buckets than any copy
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     members = cut_lineage(members.join(weight, "node").select("bucket", "node", "n", "weight"), "buckets")
     candidates = members.select("node").distinct().join(nodes.select("node", "rep", "mark"), "node")
     bag = cut_lineage(bags_of(docs, candidates, key, column, shingle), "candidates")
-    compared = docs.sparkSession.createDataFrame([], "pivot binary, node binary, both long, alike boolean, extra array<int>")
+    links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     label = members.select("node", F.col("node").alias("label")).limit(0)
+    num, den = threshold
     for turn in range(PIVOT_ROUNDS + 1):
         open_members = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         split = open_members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         open_members = open_members.join(split.select("bucket"), "bucket")
-        if turn < PIVOT_ROUNDS:
+        if turn == PIVOT_ROUNDS:
+            found = linked_blocks(cut_lineage(open_members.select("bucket", "node", "n", "label"), "open"), bag, threshold)
+        else:
             order = F.struct(F.lit(0) if turn else -F.col("weight"), F.xxhash64("node", F.lit(turn)), "node")
             pivots = open_members.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "label"), order).alias("p"))
-        else:
-            size = open_members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-            largest = size.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("largest"))
-            seen = compared.select(F.col("pivot").alias("hub"), "node", "both", "extra")
-            open_members = open_members.join(hubs, "bucket").join(seen, ["hub", "node"], "left")
-            is_hub = F.col("node") == F.col("hub")
-            open_members = open_members.withColumn("both", F.when(is_hub, F.col("n")).otherwise(F.col("both")))
-            open_members = open_members.withColumn("extra", F.when(is_hub, F.array().cast("array<int>")).otherwise(F.col("extra")))
-            open_members = cut_lineage(open_members.withColumn("little", F.col("extra").isNotNull()), "open")
-            minor = open_members.select("bucket", F.struct("node", "n", "label", "both", "little").alias("p"), F.col("label").alias("own"))
-            pivots = minor.join(largest, "bucket").where("own <> largest").select("bucket", "p")
-        if turn == 0:
-            hubs = cut_lineage(pivots.select("bucket", F.col("p.node").alias("hub")), "hubs")
-        num, den = threshold
-        # no two bags of sizes further apart can reach the threshold
-        may = den * F.least("n", "p.n") >= num * F.greatest("n", "p.n")
-        if turn == PIVOT_ROUNDS:
-            # within their bucket's hub two bags share at most what the lesser of them does;
-            # beyond it something too, if they meet there: see ``meeting_beyond``
-            inside = F.least("both", "p.both")
-            beside = F.when(F.col("little") & F.col("p.little"), 0).otherwise(F.least(F.col("n") - F.col("both"), F.col("p.n") - F.col("p.both")))
-            may = may & F.coalesce(reaches(inside + beside, F.col("n"), F.col("p.n"), threshold), F.lit(True))
-        pairs = open_members.join(pivots, "bucket").where("p.label <> label").where(may)
-        pairs = pairs.select(F.col("p.node").alias("pivot"), "node", "n")
-        if turn == PIVOT_ROUNDS:
-            pairs = pairs.unionByName(meeting_beyond(open_members, threshold))
-        pairs = pairs.groupBy("pivot", "node").agg(F.first("n").alias("n"))
-        known = compared.select("pivot", "node").unionByName(compared.select(F.col("node").alias("pivot"), F.col("pivot").alias("node")))
-        pairs = pairs.join(known, ["pivot", "node"], "left_anti")
-        pairs = cut_lineage(pairs, "pairs")
-        if pairs.isEmpty():
-            continue  # the last turn may still find some
-        compared = compared.unionByName(cut_lineage(verified(pairs, bag, threshold), "compared"))
-        links = compared.where("alike").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+            # no two bags of sizes further apart can reach the threshold
+            may = den * F.least("n", "p.n") >= num * F.greatest("n", "p.n")
+            pairs = open_members.join(pivots, "bucket").where("p.label <> label").where(may)
+            pairs = pairs.groupBy(F.col("p.node").alias("pivot"), "node").agg(F.first("n").alias("n"))
+            found = verified(cut_lineage(pairs, "pairs"), bag, threshold).where("alike").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        found = cut_lineage(found, "found")
+        if found.isEmpty():
+            continue  # the next turn may still find some
+        links = links.unionByName(found)
         label = components(links)
     named = nodes.select("node", "rep").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("rep").alias("least"))

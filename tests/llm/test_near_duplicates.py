@@ -61,7 +61,8 @@ def test_elements_compare_as_multisets():
     texts = text.texts_of(pa.array(["a b c d e f " * 5, "a b c d e f " * 4 + "g h"]))
     row, shingle, weight = nd.bags(texts)
     one, two = (nd.elements(shingle[row == k], weight[row == k]) for k in (0, 1))
-    both = len(two) - len(nd.beyond(one, two))
+    both = nd.shared(one, two)
+    assert nd.shared_by_all([one], [two]).tolist() == [[both]] and one.dtype == np.uint64
     a, b = bag("a b c d e f " * 5), bag("a b c d e f " * 4 + "g h")
     assert both == sum((a & b).values()) and len(one) == sum(a.values())
 
@@ -131,3 +132,50 @@ def test_keep_one(spark, rows):
     kept = nd.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({str(k) for k, _ in rows})
+
+
+def test_shared_counts_of_blocks(monkeypatch):
+    monkeypatch.setattr(nd, "_COLUMNS", 7)
+    random = np.random.default_rng(2)
+    rows, columns = ([np.sort(random.choice(200, n, replace=False)).astype(np.uint64) for n in random.integers(0, 90, 12)] for _ in range(2))
+    want = [[len(np.intersect1d(a, b)) for b in columns] for a in rows]
+    assert nd.shared_by_all(rows, columns).tolist() == want
+    assert nd.shared_by_all(rows, [np.zeros(0, np.uint64)]).tolist() == [[0]] * 12 and nd.shared_by_all([], columns).shape == (0, 12)
+
+
+def test_long_texts_near_the_threshold(spark):
+    random = np.random.default_rng(8)
+    words = [f"w{i}" for i in random.integers(0, 5000, 12_000)]
+    docs = [(0, " ".join(words))]
+    for i, cut in enumerate((0.10, 0.19, 0.199, 0.2005, 0.21, 0.3), 1):
+        docs.append((i, " ".join(words[int(len(words) * cut) :])))
+    assert found(spark, docs) == sorted(brute_force(docs))
+
+
+def test_blocks_lose_no_link_and_repeat_none(spark, monkeypatch):
+    """One bucket of many labels, dealt into several blocks: its links connect what brute force connects, as a forest would per task."""
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 5)
+    random = np.random.default_rng(6)
+    base = np.arange(100, 190, dtype=np.uint64)
+    bags = []
+    for i in range(60):
+        bag = base.copy()
+        at = random.choice(90, random.integers(2, 14), replace=False)
+        bag[at] = 10_000 + 100 * i + at if i % 3 else 5_000 + at
+        bags.append(np.sort(bag))
+    node = [bytes([i]) for i in range(60)]
+    labels = [node[0] if i < 20 else node[i] for i in range(60)]
+    members = spark.createDataFrame([(7, node[i], len(bags[i]), labels[i]) for i in range(60)], "bucket long, node binary, n long, label binary")
+    table = spark.createDataFrame([(node[i], bags[i].tobytes()) for i in range(60)], "node binary, bag binary")
+    links = [(bytes(r.a), bytes(r.b)) for r in nd.linked_blocks(members, table).collect()]
+
+    def closure(pairs):
+        sets = nd._Sets()
+        for a, b in pairs:
+            sets.join(a, b)
+        return {frozenset(n for n in node if sets.top(n) == top) for top in map(sets.top, node)}
+
+    held = [(node[i], labels[i]) for i in range(60)]
+    near = [(node[i], node[j]) for i in range(60) for j in range(i) if (b := len(np.intersect1d(bags[i], bags[j]))) * 9 >= (len(bags[i]) + len(bags[j])) * 4]
+    assert closure(held + links) == closure(held + near)
+    assert len(links) < len(near) and all(labels[a[0]] != labels[b[0]] for a, b in links)
