@@ -9,6 +9,7 @@ window, all windows of the whole text counted.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -353,12 +354,26 @@ def _part(buckets: dict, local: np.ndarray) -> dict:
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = ROWS, label: str = "toxic") -> dict:
-    """The network learned from at most ``most`` labelled documents of the folds not held out."""
-    rows = labelled_sample(docs, labels, label, most).where(F.col("_text").isNotNull()).toArrow()
-    rows = rows.sort_by([("_label", "ascending"), ("_text", "ascending")]).combine_chunks()  # rows arrive in any order
-    if not rows.num_rows:
+    """The network learned from at most ``most`` labelled documents of the folds not held out.
+
+    One task learns from them, so that the driver holds no text; it gets the model, of fixed
+    size.  Without a labelled text with words the output is the same for every text.
+    """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held and sum(b.num_rows for b in held):
+            rows = pa.Table.from_batches(held)
+            rows = rows.sort_by([("_label", "ascending"), ("_text", "ascending")]).combine_chunks()  # rows arrive in any order
+            column, known = rows.column("_text").combine_chunks(), rows.column("_label").to_numpy().astype(np.int64)
+            model = train(column, known)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], ["model"])
+
+    sample = labelled_sample(docs, labels, label, most).where(F.col("_text").isNotNull())
+    found = sample.repartition(1).mapInArrow(fit, "model binary").first()
+    if found is None:
         return new_model(0) | {"out": np.zeros(2 * HIDDEN, np.float32), "out_bias": np.zeros(1, np.float32)}
-    return train(rows.column("_text").combine_chunks(), rows.column("_label").to_numpy().astype(np.int64))
+    return pickle.loads(found["model"])
 
 
 def score_texts(model: dict, texts: text.Texts) -> np.ndarray:
