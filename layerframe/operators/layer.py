@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from layerframe.errors import LayerError, MissingFieldError
 from layerframe.operators.domains import resolve_domains
 from layerframe.operators.spatial import spatial_filter
-from layerframe.plans.rank import with_rank
+from layerframe.plans.rank import id_at_rank, with_rank
 from layerframe.schema import Field, fields_of
 
 ALL_ROWS = "1=1"
@@ -172,9 +172,30 @@ class Layer:
     def page_slice(self, offset: int, count: int) -> Layer:
         """Rows ``offset`` to ``offset + count`` in object id order, and in that order.
 
-        The layer is ranked once, whatever the depth, so no task carries skipped rows.
+        The ids at both ends are looked for first, on the id column alone, so the slice is a
+        range filter that reaches the scan; nothing is sorted but the slice, and nothing
+        written.  Layers whose ids are no whole numbers, or partly null, are ranked instead.
         """
         oid = self._oid()
+        ids = self.df.select(column(oid).alias("_id"))
+        if not isinstance(ids.schema["_id"].dataType, T.IntegralType):
+            return self._ranked_slice(oid, offset, count)
+        n, held, low, high = ids.agg(F.count(F.lit(1)), F.count("_id"), F.min("_id"), F.max("_id")).first()
+        if held < n:
+            return self._ranked_slice(oid, offset, count)
+        offset, last = max(0, offset), min(offset + count, n) - 1
+        if last < offset:
+            return self._with(self.df.limit(0))
+        first_id, before = id_at_rank(ids, "_id", offset, low, high)
+        last_id, before_last = id_at_rank(ids, "_id", last, first_id, high, before)
+        kept = self.df.where(column(oid).between(first_id, last_id)).orderBy(column(oid))
+        if before < offset or last_id == first_id:
+            # rows that share the first id, some of them before the slice
+            return self._with(kept.offset(offset - before).limit(last - offset + 1))
+        at_last = ids.where(F.col("_id") == last_id).count()
+        return self._with(kept if before_last + at_last == last + 1 else kept.limit(last - offset + 1))
+
+    def _ranked_slice(self, oid: str, offset: int, count: int) -> Layer:
         ranked = with_rank(self.df, [oid], name="_rank")
         kept = (F.col("_rank") >= offset) & (F.col("_rank") < offset + count)
         return self._with(ranked.where(kept).orderBy("_rank").drop("_rank"))

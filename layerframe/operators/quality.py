@@ -75,9 +75,11 @@ class Key:
     """A declared key: accepted spellings and what its value must be."""
 
     names: tuple[str, ...]
-    holds: str  # text int number flag object | list:<one of those> | list:<model name>
+    holds: str  # text int number flag object | model:<model name> | list:<one of those, or a model name>
 
 
+MODEL_DEPTH = 2  # layers within layers whose members are looked at
+
 # The declared keys of each document kind.
 MODELS: dict[str, tuple[Key, ...]] = {
     "FieldSpec": (
@@ -95,6 +97,13 @@ MODELS: dict[str, tuple[Key, ...]] = {
         Key(("features",), "list:object!"),
         Key(("exceededTransferLimit", "exceeded_transfer_limit"), "flag"),
     ),
+    "AdvancedQueryCapabilities": (
+        Key(("supportsPagination", "supports_pagination"), "flag"),
+        Key(("supportsQueryByOIDs", "supports_query_by_oids"), "flag"),
+        Key(("supportsReturnExceededLimitFeatures", "supports_return_exceeded_limit_features"), "flag"),
+        Key(("supportsPaginationOnAggregatedQueries", "supports_pagination_on_aggregated_queries"), "flag"),
+        Key(("maxRecordCountFactor", "max_record_count_factor"), "number"),
+    ),
     "LayerMetadata": (
         Key(("name",), "text"),
         Key(("id",), "int"),
@@ -103,8 +112,8 @@ MODELS: dict[str, tuple[Key, ...]] = {
         Key(("maxRecordCount", "max_record_count"), "int"),
         Key(("supportsPagination", "supports_pagination"), "flag"),
         Key(("advancedQueryCapabilities", "advanced_query_capabilities"), "object"),
-        Key(("advancedQueryCapabilitiesTyped", "advanced_query_capabilities_typed"), "object"),
-        Key(("layers",), "list:object"),
+        Key(("advancedQueryCapabilitiesTyped", "advanced_query_capabilities_typed"), "model:AdvancedQueryCapabilities"),
+        Key(("layers",), "list:LayerMetadata"),
         Key(("services",), "list:object"),
         Key(("folders",), "list:text"),
         Key(("url",), "text"),
@@ -117,9 +126,12 @@ def _fits(value: Column, holds: str) -> Column:
     """Whether a present, non-null value has the declared shape (lists: outer only)."""
     if holds.startswith("list:"):
         return V.elements(value).isNotNull()
+    if holds.startswith("model:"):
+        return V.is_object(value)
     return {
         "text": lambda: V.kind(value) == "string",
         "int": lambda: V.lax_int(value).isNotNull(),
+        "number": lambda: F.try_variant_get(value, "$", "double").isNotNull(),
         "flag": lambda: V.lax_bool(value).isNotNull(),
         "object": lambda: V.is_object(value),
     }[holds]()
@@ -142,19 +154,19 @@ def _type_name(value: Column) -> Column:
     return V.lookup(TYPE_NAMES, V.kind(value))
 
 
-def _indexed(value: Column, name: str) -> Column:
+def _indexed(value: Column, path: Column) -> Column:
     """List entries with the path each is reported under."""
 
     def place(v: Column, i: Column) -> Column:
-        return F.struct(F.concat(F.lit(name + "."), i.cast("string")).alias("p"), v.alias("v"))
+        return F.struct(F.concat(path, F.lit("."), i.cast("string")).alias("p"), v.alias("v"))
 
     return F.transform(V.elements(value), place)
 
 
-def _nested(model: str):
+def _nested(model: str, depth: int):
     def records(e: Column) -> Column:
         whole = F.array(_bad(e["p"], e["v"]))
-        return F.when(~V.is_object(e["v"]), whole).otherwise(_bad_types(e["v"], model, e["p"]))
+        return F.when(~V.is_object(e["v"]), whole).otherwise(_bad_types(e["v"], model, e["p"], depth))
 
     return records
 
@@ -163,8 +175,12 @@ def _unfit(holds: str):
     return lambda e: ~F.coalesce(_fits(e["v"], holds), F.lit(False))
 
 
-def _bad_types(body: Column, model: str, prefix: Column | None = None) -> Column:
-    """``ARRAY<STRUCT<path, kind, observed_type, sample>>`` of ill-typed values."""
+def _bad_types(body: Column, model: str, prefix: Column | None = None, depth: int = 0) -> Column:
+    """``ARRAY<STRUCT<path, kind, observed_type, sample>>`` of ill-typed values.
+
+    Walks the declared tree of models; a model that holds itself is followed ``MODEL_DEPTH``
+    times, beyond that its entries need only be objects.
+    """
     found = []
     for key in MODELS[model]:
         for name in key.names:
@@ -176,13 +192,18 @@ def _bad_types(body: Column, model: str, prefix: Column | None = None) -> Column
             if not required:
                 wrong = wrong & ~F.is_variant_null(value)
             found.append(F.filter(F.array(F.when(value.isNotNull() & wrong, _bad(path, value))), lambda r: r.isNotNull()))
-            if not holds.startswith("list:"):
+            shape, _, inner = holds.partition(":")
+            if not inner:
+                continue
+            deeper = depth + (inner == model)
+            if shape == "model":
+                found.append(F.when(V.is_object(value), _bad_types(value, inner, path, deeper)))
                 continue
-            inner = holds.split(":")[1]
-            indexed = _indexed(value, name)
-            if inner in MODELS:
-                found.append(F.flatten(F.transform(indexed, _nested(inner))))
+            indexed = _indexed(value, path)
+            if inner in MODELS and deeper <= MODEL_DEPTH:
+                found.append(F.flatten(F.transform(indexed, _nested(inner, deeper))))
             else:
+                inner = "object" if inner in MODELS else inner
                 found.append(F.transform(F.filter(indexed, _unfit(inner)), lambda e: _bad(e["p"], e["v"])))
     records = F.coalesce(found[0], F.array().cast(_RECORDS))
     for part in found[1:]:
@@ -262,11 +283,14 @@ def permissive_envelopes(scanned: DataFrame) -> DataFrame:
     """Usable parts of every page: bad members are null, bad list entries are left out.
 
     A payload that is not an object counts as an empty envelope; error envelopes are
-    not pages and stay out.
+    not pages and stay out.  ``extras`` is one object of all undeclared members as they
+    came, null where there are none.
     """
     from layerframe.sources.metadata import field_specs
 
     body = F.col("body")
+    declared = sorted(n for key in MODELS["FeaturesResponse"] for n in key.names)
+    extras = F.map_filter(V.entries(body), lambda k, _: ~k.isin(declared))
     return scanned.where(F.col("status").isin("ok", "not_object")).select(
         "layer_url",
         "page_index",
@@ -274,6 +298,7 @@ def permissive_envelopes(scanned: DataFrame) -> DataFrame:
         field_specs(body).alias("fields"),
         features_of(body).alias("features"),
         "exceeded",
+        F.when(F.size(extras) > 0, F.to_variant_object(extras)).alias("extras"),
     )
 
 

@@ -68,3 +68,31 @@ def with_rank(
     if size:
         added.append(F.col("_size").alias(size))
     return placed.join(slices, on).select(*map(_named, df.columns), *added)
+
+
+_CELLS = 1 << 14  # cells of one histogram, at most
+
+
+def id_at_rank(ids: DataFrame, name: str, rank: int, low: int, high: int, before: int = 0) -> tuple[int, int]:
+    """(id, rows with smaller ids) of the row at a 0-based rank, for whole-number ids in [low, high].
+
+    ``before`` is the number of rows below ``low``.  Histograms over ever narrower ranges
+    find it: each is a filtered scan of the one column and an aggregate of at most
+    ``_CELLS`` rows, and each narrows the range by that factor.
+    """
+    while True:
+        width = -(-(high - low + 1) // _CELLS)
+        # wide ranges do not fit a difference of 64 bits
+        wide = high - low >= 1 << 63 or low == -(1 << 63)
+        base = f"cast(`{name}` as {'decimal(20,0)' if wide else 'bigint'}) - ({f'{low}BD' if wide else f'{low}L'})"
+        cell = F.expr(f"({base}) div {width}{'BD' if wide else 'L'}")
+        inside = ids.where(F.col(name).between(low, high))
+        counts = inside.groupBy(cell.cast("bigint").alias("cell")).agg(F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
+        for row in counts:
+            if before + row.n > rank:
+                break
+            before += row.n
+        low += row.cell * width
+        if width == 1:
+            return low, before
+        high = min(high, low + width - 1)

@@ -13,6 +13,7 @@ from layerframe.functions import variants as V
 from layerframe.session import ship_package
 from layerframe.sources.pages import features_of
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 OUTPUT = "context string, kind string, key string, at_page bigint"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -32,10 +33,16 @@ class _DriftProcessor(StatefulProcessor):
         known = {k[0]: [v[0], v[1]] for k, v in self.keys.iterator()} if self.keys.exists() else {}
         changed: set[str] = set()
         found: list[tuple] = []
-        # One short row per page: its index and the distinct attribute keys.
-        arrived = pd.concat(list(rows)).sort_values("page_index", kind="stable")
-        for page, names in zip(arrived["page_index"], arrived["keys"]):
-            present = set(names)
+        # One short row per page: its index and the distinct attribute keys.  Equal key sets
+        # are held once, so what a layer's batch takes here is about a number a page.
+        sets: dict[tuple, frozenset] = {}
+        arrived = []
+        for frame in rows:
+            for page, names in zip(frame["page_index"], frame["keys"]):
+                names = tuple(names)
+                arrived.append((page, sets.setdefault(names, frozenset(names))))
+        arrived.sort(key=lambda row: row[0])
+        for page, present in arrived:
             if not present:
                 continue
             for name in sorted(present - known.keys()):
@@ -61,7 +68,7 @@ class _DriftProcessor(StatefulProcessor):
 
 def use_rocksdb(spark: SparkSession) -> None:
     """The state store stateful processors need."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set(PROVIDER, ROCKSDB)
 
 
 def stream_field_set_drift(scanned: DataFrame, learn_pages: int = 1) -> DataFrame:
@@ -74,6 +81,7 @@ def stream_field_set_drift(scanned: DataFrame, learn_pages: int = 1) -> DataFram
     if learn_pages < 1:
         raise ValueError("drift needs at least one page to learn from")
     ship_package()
+    # sorted, so that equal sets are equal arrays
     keys = F.array_distinct(
         F.flatten(
             F.transform(
@@ -85,7 +93,7 @@ def stream_field_set_drift(scanned: DataFrame, learn_pages: int = 1) -> DataFram
         )
     )
     pages = scanned.where(F.col("status") == "ok").select(
-        F.col("layer_url").alias("context"), "page_index", keys.alias("keys")
+        F.col("layer_url").alias("context"), "page_index", F.array_sort(keys).alias("keys")
     )
     return pages.groupBy("context").transformWithStateInPandas(
         statefulProcessor=_DriftProcessor(learn_pages),

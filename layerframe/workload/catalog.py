@@ -18,8 +18,7 @@ from layerframe.operators.catalog import (
     layer_feature_count,
     scan_services,
 )
-from layerframe.plans.scratch import cut_lineage
-from layerframe.sources.metadata import parse_documents
+from layerframe.functions import variants as V
 from layerframe.workload.fixtures import table
 from layerframe.workload.registry import query
 
@@ -71,27 +70,32 @@ def _services(spark, sf_dir, healthy: bool = False):
     )
 
 
+def _body(folders):
+    return F.to_json(F.struct(folders, F.col("services")))
+
+
+def root_documents(services):
+    """(url, status, payload) of the roots, each listing its folders and some of its services.
+
+    Bounded by the runs above: at most 5,000 services, so at most a few hundred folders.
+    """
+    listed = services.groupBy("root_url", "root_bad").agg(
+        F.array_sort(F.collect_set("folder")).alias("folders"),
+        F.collect_list(F.when(F.col("at_root"), F.struct("name", "type"))).alias("services"),
+    )
+    return listed.select(
+        F.col("root_url").alias("url"), F.when(F.col("root_bad"), 500).otherwise(200).alias("status"), _body(F.col("folders")).alias("payload")
+    )
+
+
 def catalog_documents(spark, sf_dir, healthy: bool = False):
     """(url, status, payload) of every document that answers.
 
     ``healthy`` leaves out the root and folder failures.
     """
     services = _services(spark, sf_dir, healthy)
+    root_docs = root_documents(services)
     entry = F.struct("name", "type")
-    body = lambda folders: F.to_json(F.struct(folders, F.col("services")))
-    # Bounded by the runs above: at most 5,000 services, so at most a few hundred folders.
-    root_docs = (
-        services.groupBy("root_url", "root_bad")
-        .agg(
-            F.array_sort(F.collect_set("folder")).alias("folders"),
-            F.collect_list(F.when(F.col("at_root"), entry)).alias("services"),
-        )
-        .select(
-            F.col("root_url").alias("url"),
-            F.when(F.col("root_bad"), 500).otherwise(200).alias("status"),
-            body(F.col("folders")).alias("payload"),
-        )
-    )
     folder_docs = (
         services.groupBy("root_url", "folder", "folder_bad")
         .agg(F.collect_list(F.when(~F.col("at_root"), entry)).alias("services"))
@@ -99,7 +103,7 @@ def catalog_documents(spark, sf_dir, healthy: bool = False):
             F.concat_ws("/", "root_url", "folder").alias("url"),
             F.lit(200).alias("status"),
             F.when(F.col("folder_bad"), '{"error":{"code":499,"message":"Token Required"}}')
-            .otherwise(body(F.array().cast("array<string>").alias("folders"))).alias("payload"),
+            .otherwise(_body(F.array().cast("array<string>").alias("folders"))).alias("payload"),
         )
     )
     lines = (
@@ -129,11 +133,10 @@ def catalog_documents(spark, sf_dir, healthy: bool = False):
     return root_docs.unionByName(folder_docs).unionByName(service_docs).unionByName(layer_docs)
 
 
-def catalog(spark, sf_dir, mode: str = "report"):
+def catalog(spark, sf_dir, mode: str = "report", counts=None):
     healthy = mode == "failfast"
     roots = _services(spark, sf_dir, healthy).select("root_url").distinct()
-    documents = cut_lineage(catalog_documents(spark, sf_dir, healthy), "documents")
-    return crawl_catalog(roots, documents, mode)
+    return crawl_catalog(roots, catalog_documents(spark, sf_dir, healthy), mode, counts)
 
 
 @query(
@@ -144,10 +147,9 @@ def catalog(spark, sf_dir, mode: str = "report"):
     ),
 )
 def scan_services_query(spark, sf_dir):
-    """Services listed by the root documents themselves."""
-    documents = catalog_documents(spark, sf_dir).where(F.col("url").endswith("/rest/services"))
-    parsed = parse_documents(documents).select(F.col("url").alias("root_url"), "body")
-    return scan_services(parsed)
+    """Services listed by the root documents themselves, whatever status they came with."""
+    documents = root_documents(_services(spark, sf_dir)).select(F.col("url").alias("root_url"), F.lit(200).alias("status"), "payload")
+    return scan_services(documents)
 
 
 @query("crawl_catalog", f"WITH {SERVICES_SQL} SELECT root_url, service_name, service_type, url, service_error FROM seen")
@@ -185,6 +187,60 @@ def layer_feature_count_query(spark, sf_dir):
     return counted.select("url", "type", "feature_count")
 
 
+def _count_envelopes(spark, sf_dir):
+    """(url, status, payload) of the layers' counts: some time out, some are refused, some are no number."""
+    k, n = F.col("k"), F.col("n")
+    counted = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_suppkey").alias("k"), F.col("l_linenumber").alias("n"))
+        .agg(F.count(F.lit(1)).alias("total"))
+        .where((k + n) % 5 != 0)
+        .join(_services(spark, sf_dir).select("k", F.col("url").alias("service_url")), "k")
+    )
+    said = F.concat(F.lit('{"count":'), F.when((k + n) % 5 == 2, '"many"').otherwise(F.col("total").cast("string")), F.lit("}"))
+    return counted.select(
+        F.concat_ws("/", "service_url", n.cast("string")).alias("url"), F.when((k + n) % 5 == 1, 504).otherwise(200).alias("status"), said.alias("payload")
+    )
+
+
+@query(
+    "crawl_counts",
+    f"""WITH {SERVICES_SQL}, {LAYERS_SQL},
+c AS (SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT url, type, CASE WHEN type = 'Feature Layer' AND (k + id) % 5 IN (3, 4) THEN n END AS feature_count
+FROM lay JOIN c ON l_suppkey = k AND l_linenumber = id""",
+)
+def crawl_counts_query(spark, sf_dir):
+    """Counts asked for within the crawl, for feature layers alone."""
+    return catalog(spark, sf_dir, counts=_count_envelopes(spark, sf_dir)).layers.select("url", "type", "feature_count")
+
+
+@query(
+    "crawl_count_errors",
+    f"""WITH {SERVICES_SQL}, {LAYERS_SQL}
+SELECT url, CASE (k + id) % 5 WHEN 0 THEN 'TransportError: no response' WHEN 1 THEN 'HttpError: status 504'
+                 ELSE 'ResponseError: count is missing or not an integer' END AS message
+FROM lay WHERE type = 'Feature Layer' AND (k + id) % 5 IN (0, 1, 2)""",
+)
+def crawl_count_errors_query(spark, sf_dir):
+    errors = catalog(spark, sf_dir, counts=_count_envelopes(spark, sf_dir)).errors
+    return errors.where("stage = 'feature_count'").select("url", "message")
+
+
+@query(
+    "crawl_roots",
+    f"""WITH {SERVICES_SQL}
+SELECT root_url, CASE WHEN root_bad THEN 'HttpError: status 500' END AS root_error,
+       CASE WHEN NOT root_bad THEN count(DISTINCT folder) END AS n_folders
+FROM svc GROUP BY root_url, root_bad""",
+)
+def crawl_roots_query(spark, sf_dir):
+    """The roots' own metadata."""
+    roots = catalog(spark, sf_dir).roots
+    folders = F.size(V.elements(F.col("body"), "folders")).cast("bigint")
+    return roots.select("root_url", "root_error", F.when(F.col("body").isNotNull(), folders).alias("n_folders"))
+
+
 @query(
     "crawl_errors",
     f"""WITH {SERVICES_SQL}

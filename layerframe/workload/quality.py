@@ -16,7 +16,7 @@ from layerframe.operators.quality import (
 from layerframe.plans.scratch import scratch_path
 from layerframe.session import setting
 from layerframe.sources.pages import scan_pages
-from layerframe.streaming.drift import stream_field_set_drift, use_rocksdb
+from layerframe.streaming.drift import PROVIDER, ROCKSDB, stream_field_set_drift
 from layerframe.streaming.pages import stream_page_table, write_stream
 from layerframe.workload.fixtures import EVENTS_URL, ORDERS_URL, event_pages, order_pages, table
 from layerframe.workload.registry import query
@@ -114,12 +114,16 @@ def envelopes(spark, sf_dir):
     )
 
 
+EXTRAS = ["NULL", "'{\"hasZ\":false}'", "NULL", "NULL", "'{\"extra\":{\"k\":1}}'"]
+
+
 @query(
     "permissive_envelope",
     f"""
 SELECT p_partkey AS page_index, {cases("p_partkey", ["'OID'", "NULL", "NULL", "NULL", "NULL"])} AS object_id_field,
        {cases("p_partkey", ["NULL", "NULL", "1", "NULL", "NULL"])} AS n_fields,
-       {cases("p_partkey", ["1", "1", "0", "0", "0"])} AS n_features, p_partkey % 5 = 0 AS exceeded
+       {cases("p_partkey", ["1", "1", "0", "0", "0"])} AS n_features, p_partkey % 5 = 0 AS exceeded,
+       {cases("p_partkey", EXTRAS)} AS extras
 FROM part
 """,
 )
@@ -127,25 +131,53 @@ def permissive_envelope_query(spark, sf_dir):
     return permissive_envelopes(scan_pages(envelopes(spark, sf_dir))).select(
         "page_index", "object_id_field",
         F.when(F.col("fields").isNotNull(), F.size("fields")).alias("n_fields"),
-        F.size("features").alias("n_features"), "exceeded",
+        F.size("features").alias("n_features"), "exceeded", F.to_json("extras").alias("extras"),
     )
 
 
 @query(
     "drift_report",
     """
-WITH d(k, path, kind, observed_type) AS (VALUES
-  (1, 'objectIdFieldName', 'bad_type', 'int'), (1, 'features.1', 'bad_type', 'int'), (1, 'features.2', 'bad_type', 'NoneType'),
-  (1, 'hasZ', 'unknown_extra', 'bool'), (2, 'fields.1.type', 'bad_type', 'list'), (2, 'fields.2', 'bad_type', 'str'),
-  (2, 'features', 'bad_type', 'str'), (3, '<root>', 'not_a_mapping', 'list'),
-  (4, 'exceededTransferLimit', 'bad_type', 'str'), (4, 'extra', 'unknown_extra', 'dict'))
-SELECT 'FeaturesResponse' AS model, path, kind, observed_type, count(*) AS n_seen
+WITH d(k, path, kind, observed_type, sample) AS (VALUES
+  (1, 'objectIdFieldName', 'bad_type', 'int', '7'), (1, 'features.1', 'bad_type', 'int', '42'), (1, 'features.2', 'bad_type', 'NoneType', 'null'),
+  (1, 'hasZ', 'unknown_extra', 'bool', 'false'), (2, 'fields.1.type', 'bad_type', 'list', '["x"]'), (2, 'fields.2', 'bad_type', 'str', '"C"'),
+  (2, 'features', 'bad_type', 'str', '"none"'), (3, '<root>', 'not_a_mapping', 'list', NULL),
+  (4, 'exceededTransferLimit', 'bad_type', 'str', '"maybe"'), (4, 'extra', 'unknown_extra', 'dict', '{"k":1}'))
+SELECT 'FeaturesResponse' AS model, path, kind, observed_type, min(coalesce(sample, '[' || p_partkey || ']')) AS sample, count(*) AS n_seen
 FROM part JOIN d ON p_partkey % 5 = k GROUP BY ALL
 """,
 )
 def drift_report_query(spark, sf_dir):
-    report = drift_report(envelopes(spark, sf_dir), "FeaturesResponse")
-    return report.select("model", "path", "kind", "observed_type", "n_seen")
+    return drift_report(envelopes(spark, sf_dir), "FeaturesResponse")
+
+
+DESCRIPTIONS = [
+    '{"id": %k, "name": "L", "layers": [{"id": %k, "name": "ok"}, {"id": "x", "name": 3, "own": 1}, 5]}',
+    '{"id": 1, "layers": [{"layers": [{"fields": [{"name": 8}], "id": 1.5}]}], "folders": ["a", 2]}',
+    '{"advancedQueryCapabilitiesTyped": {"supportsPagination": "maybe", "maxRecordCountFactor": [1], "other": 1}, "services": [1]}',
+    '{"advancedQueryCapabilitiesTyped": 4, "layers": {"id": 1}, "url": "u"}',
+    '{"id": "%k", "layers": null, "fields": [{"domain": "d"}]}',
+]
+
+
+@query(
+    "drift_report_layers",
+    """
+WITH d(k, path, kind, observed_type, sample) AS (VALUES
+  (0, 'layers.1.id', 'bad_type', 'str', '"x"'), (0, 'layers.1.name', 'bad_type', 'int', '3'), (0, 'layers.2', 'bad_type', 'int', '5'),
+  (1, 'layers.0.layers.0.fields.0.name', 'bad_type', 'int', '8'), (1, 'layers.0.layers.0.id', 'bad_type', 'float', '1.5'), (1, 'folders.1', 'bad_type', 'int', '2'),
+  (2, 'advancedQueryCapabilitiesTyped.supportsPagination', 'bad_type', 'str', '"maybe"'),
+  (2, 'advancedQueryCapabilitiesTyped.maxRecordCountFactor', 'bad_type', 'list', '[1]'), (2, 'services.0', 'bad_type', 'int', '1'),
+  (3, 'advancedQueryCapabilitiesTyped', 'bad_type', 'int', '4'), (3, 'layers', 'bad_type', 'dict', '{"id":1}'),
+  (4, 'fields.0.domain', 'bad_type', 'str', '"d"'))
+SELECT 'LayerMetadata' AS model, path, kind, observed_type, min(sample) AS sample, count(*) AS n_seen
+FROM part JOIN d ON p_partkey % 5 = k GROUP BY ALL
+""",
+)
+def drift_report_layers_query(spark, sf_dir):
+    """Ill-typed members of layers within layers and of the typed capabilities."""
+    text = F.replace(pick("p_partkey", DESCRIPTIONS), F.lit("%k"), F.col("p_partkey").cast("string"))
+    return drift_report(table(spark, sf_dir, "part").select(text.alias("payload")), "LayerMetadata")
 
 
 FIELD_SET_DRIFT_SQL = f"""
@@ -169,14 +201,15 @@ def field_set_drift_query(spark, sf_dir):
     return field_set_drift(page_keys(scan_pages(event_pages(spark, sf_dir))), learn_pages=2)
 
 
-@query("stream_field_set_drift", FIELD_SET_DRIFT_SQL)
+@query("stream_field_set_drift", FIELD_SET_DRIFT_SQL.replace("user_id % 10 AS ctx", "user_id % 10 + event_id // 100000 * 10 AS ctx"))
 def stream_field_set_drift_query(spark, sf_dir):
-    """The same over a stream of landed pages, with state per layer."""
+    """The same over a stream of landed pages, a few files at a time; every 1,000 pages begin ten layers more."""
     landing, sink, log = (scratch_path(spark, p) for p in ("landing", "drift", "log"))
-    event_pages(spark, sf_dir).write.parquet(landing)
-    use_rocksdb(spark)
-    found = stream_field_set_drift(stream_page_table(spark, landing), learn_pages=2)
-    # State is kept per layer, and there are ten; more partitions would only hold no keys.
-    with setting(spark, "spark.sql.shuffle.partitions", "8"):
+    number = F.regexp_extract("layer_url", "([0-9]+)$", 1).cast("bigint") + F.expr("page_index div 1000") * 10
+    pages = event_pages(spark, sf_dir).withColumn("layer_url", F.concat(F.lit(EVENTS_URL), number.cast("string")))
+    # files hold the pages in order, as they would arrive
+    pages.repartitionByRange(6, "page_index").sortWithinPartitions("page_index").write.parquet(landing)
+    with setting(spark, PROVIDER, ROCKSDB):
+        found = stream_field_set_drift(stream_page_table(spark, landing, max_files=2), learn_pages=2)
         write_stream(found, sink, log).awaitTermination()
     return spark.read.parquet(sink)

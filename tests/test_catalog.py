@@ -85,3 +85,64 @@ def test_a_url_landed_twice_is_one_document(spark):
     ] * 2
     found = crawl_catalog(spark.createDataFrame([(root,)], "root_url string"), spark.createDataFrame(documents, df.schema))
     assert (found.services.count(), found.layers.count()) == (1, 1)
+
+
+def test_services_listed_twice_are_one(spark):
+    root = "https://h/rest/services"
+    listing = {"services": [{"name": "F/S", "type": "FeatureServer"}], "folders": ["F", "F"]}
+    documents = [
+        (root, 200, json.dumps(listing)),
+        (f"{root}/F", 200, json.dumps({"services": listing["services"] * 2})),
+        (f"{root}/F/S/FeatureServer", 200, '{"layers": [{"id": 0}, {"id": 0}, {"id": 1}]}'),
+        (f"{root}/F/S/FeatureServer/0", 200, '{"id": 0, "type": "Feature Layer"}'),
+    ]
+    df = spark.createDataFrame(documents, "url string, status int, payload string")
+    found = crawl_catalog(spark.createDataFrame([(root,), (root,)], "root_url string"), df)
+    assert (found.services.count(), found.layers.count()) == (1, 2)
+    assert [tuple(r) for r in broken_layer_count(found.services, found.layers).collect()] == [(f"{root}/F/S/FeatureServer", 2, 1)]
+    assert [(r.root_url, r.root_error) for r in found.roots.collect()] == [(root, None)]
+
+
+def test_choice_among_repeats_does_not_depend_on_order(spark):
+    from layerframe.operators.catalog import one_per_url
+
+    rows = [("a", 200, f'{{"x": {i}}}') for i in range(40)] + [("a", 503, None)] * 40 + [("b", None, None), ("b", 404, "z")]
+    kept = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "url string, status int, payload string").repartition(5)
+        kept.add(tuple(sorted((r.url, r.status, r.payload) for r in one_per_url(df).collect())))
+    assert len(kept) == 1 and {r[0] for r in next(iter(kept))} == {"a", "b"} and dict((r[0], r[1]) for r in next(iter(kept))) == {"a": 200, "b": 404}
+
+
+@pytest.mark.parametrize("live", [False, True])
+def test_counts_within_the_crawl(spark, documents, roots, live):
+    asked = []
+    rows = [(f"{A}/S/MapServer/0", 200, '{"count": 12}'), (f"{A}/S/MapServer/1", 200, '{"count": 5}')]
+    envelopes = spark.createDataFrame(rows, "url string, status int, payload string")
+
+    def fetch(urls):
+        asked.append(sorted(r.url for r in urls.collect()))
+        return envelopes.join(urls, "url", "left_semi")
+
+    found = crawl_catalog(roots, documents, counts=fetch if live else envelopes)
+    assert {r.url.removeprefix(A): r.feature_count for r in found.layers.collect()} == {
+        "/S/MapServer/0": 12, "/S/MapServer/1": None, "/S/MapServer/2": None, "/F/T/FeatureServer/5": None,
+    }
+    assert found.errors.where("stage = 'feature_count'").count() == 0
+    assert asked == ([[f"{A}/S/MapServer/0"]] if live else [])
+    for payload, status, said in (('{"count": "x"}', 200, "not an integer"), (None, 504, "status 504"), ('{"error": {"code": 1, "message": "no"}}', 200, "no (code=1)")):
+        bad = spark.createDataFrame([(f"{A}/S/MapServer/0", status, payload)], envelopes.schema)
+        failed = crawl_catalog(roots, documents, counts=bad)
+        (error,) = failed.errors.where("stage = 'feature_count'").collect()
+        assert said in error.message and failed.layers.where("feature_count IS NOT NULL").count() == 0
+    nothing = crawl_catalog(roots, documents, counts=envelopes.limit(0))
+    assert [r.message for r in nothing.errors.where("stage = 'feature_count'").collect()] == ["TransportError: no response"]
+
+
+def test_documents_are_scanned_once(spark, documents, roots, tmp_path):
+    documents.write.parquet(f"{tmp_path}/documents")
+    landed = spark.read.parquet(f"{tmp_path}/documents")
+    found = crawl_catalog(roots, landed)
+    for frame in (found.services, found.layers, found.errors):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "payload" not in plan and "/documents]" not in plan

@@ -326,3 +326,34 @@ def test_plain_filters_start_no_job(spark):
         assert list(tracker.getJobIdsForGroup("planning")) == []
     finally:
         spark.sparkContext.setJobGroup("rest", "rest")
+
+
+@pytest.mark.parametrize("ids", [list(range(0, 3000, 3)), [-(2**63), -5, 0, 7, 2**40, 2**63 - 1], [5] * 7 + [6] * 3 + [9], [10**12 + i * i for i in range(200)], [3]])
+def test_slices_by_id_bounds_equal_a_sort(spark, ids, monkeypatch):
+    from layerframe.plans import rank
+
+    monkeypatch.setattr(rank, "_CELLS", 16)
+    shuffled = random.Random(1).sample(ids, len(ids))
+    layer = Layer(spark.createDataFrame([(i, n) for n, i in enumerate(shuffled)], "`o.id` bigint, n int"), "o.id")
+    n = len(ids)
+    for offset, count in ((0, 3), (n // 3, n // 4 + 1), (n - 1, 5), (n, 2), (0, n), (2, 0)):
+        found = layer.page_slice(offset, count).df.collect()
+        assert [r[0] for r in found] == sorted(ids)[offset : offset + count]
+        assert len({r.n for r in found}) == len(found)
+
+
+def test_slice_is_a_range_filter(spark, tmp_path):
+    spark.range(50_000).selectExpr("id * 7 AS oid", "id AS a").write.parquet(f"{tmp_path}/layer")
+    sliced = Layer(spark.read.parquet(f"{tmp_path}/layer"), "oid").page_slice(20_000, 10).out_fields("a").df
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(oid,140000)" in plan and "LessThanOrEqual(oid,140063)" in plan
+    assert [r.a for r in sliced.collect()] == list(range(20_000, 20_010))
+
+
+def test_slices_of_other_ids_are_ranked(spark):
+    texts = Layer(spark.createDataFrame([(c,) for c in "dbaec"], "oid string"), "oid")
+    assert [r.oid for r in texts.page_slice(1, 2).df.collect()] == ["b", "c"]
+    partly = Layer(spark.createDataFrame([(3,), (None,), (1,)], "oid bigint"), "oid")
+    assert [r.oid for r in partly.page_slice(0, 2).df.collect()] == [None, 1]
+    empty = Layer(spark.createDataFrame([], "oid bigint"), "oid")
+    assert empty.page_slice(0, 5).df.count() == 0
