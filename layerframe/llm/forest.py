@@ -24,7 +24,8 @@ SAMPLE = 16_384  # distinct vectors that the trees are fitted on
 TREES = 4
 LEAF_ROWS = 2048  # aimed at; at least FEWEST and at most MOST leaves a tree
 FEWEST_LEAVES, MOST_LEAVES = 32, 1024
-PROBED = 0.25  # share of all leaves of the forest that a query looks into
+PROBED = 0.4  # share of all leaves of the forest that a query looks into, at any size
+FEWEST_RANKED = 64  # vectors of each tree that a query ranks, at least
 GROUP_QUERIES = 8192  # of one task's group
 
 
@@ -90,20 +91,26 @@ def leaf_of(tree: Tree, x: np.ndarray) -> np.ndarray:
         at[inner] = tree.children[n, right.astype(int)]
 
 
-def probes(forest: list[Tree], q: np.ndarray, wanted: int) -> list[tuple[int, int]]:
+def probes(forest: list[Tree], q: np.ndarray, wanted: int, filled: dict[tuple[int, int], int], enough: int) -> list[tuple[int, int]]:
     """The (tree, leaf) that one queue over all trees gives first, nearest margin first.
 
+    At least ``wanted`` leaves with rows, and more while they hold fewer than ``enough`` rows.
+
     A node's priority is the smallest margin on the way to it: how far inside it the
     query lies, or how far outside where negative.
     """
     margins = [tree.normal @ q - tree.cut for tree in forest]
     heap = [(-np.inf, t, 0) for t in range(len(forest))]
-    found = []
-    while heap and len(found) < wanted:
+    found, ranked = [], 0
+    while heap and (len(found) < wanted or ranked < enough):
         away, t, n = heapq.heappop(heap)
         tree = forest[t]
         if tree.leaf[n] >= 0:
-            found.append((t, int(tree.leaf[n])))
+            leaf = int(tree.leaf[n])
+            held = filled.get((t, leaf), 0)
+            if held:
+                found.append((t, leaf))
+                ranked += held
             continue
         left, right = tree.children[n]
         m = margins[t][n]
@@ -118,7 +125,9 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, trees: int = TREES, pr
     ``queries`` marks the rows that are queries; a query's own id is no candidate.  Null
     ids and zero vectors take no part; a shorter vector is continued with zeros; an id with
     several vectors counts once, by its nearest.  An empty table has no results.
-    With at most 2 * ``leaf_rows`` distinct vectors every leaf is looked into.
+    A query looks into the same share of the filled leaves whatever the number of vectors,
+    and goes on while those hold fewer than ``FEWEST_RANKED`` vectors a tree, so that small
+    tables give all k results.
     """
     spark = rows.sparkSession
     rows = rows.where(F.col("id").isNotNull() & F.exists("vec", lambda x: x != 0))
@@ -131,10 +140,6 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, trees: int = TREES, pr
     leaves = int(min(MOST_LEAVES, max(FEWEST_LEAVES, n // leaf_rows)))
     forest = [vars(t) for t in fit_forest(fitted, leaves, trees)]
     shared = spark.sparkContext.broadcast(forest)  # at most trees * 2 * MOST_LEAVES nodes
-    wanted = sum(int((t["leaf"] >= 0).sum()) for t in forest)
-    if n > 2 * leaf_rows:
-        wanted = int(np.ceil(wanted * probed))
-
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = [Tree(**t) for t in shared.value]
         for batch in batches:
@@ -148,7 +153,7 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, trees: int = TREES, pr
         forest = [Tree(**t) for t in shared.value]
         for batch in batches:
             x = unit(matrix(batch.column("vec"), dim, np.float64))
-            found = [(i, t, leaf) for i, q in enumerate(x) for t, leaf in probes(forest, q, wanted)]
+            found = [(i, t, leaf) for i, q in enumerate(x) for t, leaf in probes(forest, q, wanted, rows_of, trees * FEWEST_RANKED)]
             at, tree, leaf = (np.array(c, np.int32) for c in zip(*found)) if found else (np.zeros(0, np.int32),) * 3
             taken = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(tree), pa.array(leaf)], ["query_id", "query", "tree", "leaf"])
@@ -157,6 +162,8 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, trees: int = TREES, pr
     indexed = points.mapInArrow(index, f"vec {kind}, ids array<bigint>, tree int, leaf int")
     # one row per leaf; a leaf that holds far more than its share is cut by hash
     filled = indexed.groupBy("tree", "leaf").count().collect()
+    rows_of = {(r["tree"], r["leaf"]): r["count"] for r in filled}
+    wanted = int(np.ceil(len(rows_of) * probed))
     most = 2 * max(leaf_rows, -(-n // leaves))
     parts = {f"{r['tree']}-{r['leaf']}": -(-r["count"] // most) for r in filled}
     cut = F.element_at(F.create_map(*(F.lit(v) for item in parts.items() for v in item)), F.concat_ws("-", "tree", "leaf"))

@@ -12,7 +12,7 @@ from layerframe.llm.packing import op3_curve_packing
 from layerframe.llm.pieces import op1_sentencepiece
 from layerframe.llm.quality import op10_quality
 from layerframe.llm.runs import op11_periodic_runs
-from layerframe.llm.topk import op4_exact_topk
+from layerframe.llm.topk import OP4_SQL, op4_exact_topk
 from layerframe.llm.toxicity import op6_toxicity
 from layerframe.llm.urls import op7_url_filter
 
@@ -31,4 +31,4 @@ QUERIES = {
     "op12_filter_audit": op12_filter_audit,
     "op13_html_extraction": op13_html_extraction,
 }
-ORACLE: dict[str, str] = {"op12_filter_audit": OP12_SQL}
+ORACLE: dict[str, str] = {"op4_exact_topk": OP4_SQL, "op12_filter_audit": OP12_SQL}

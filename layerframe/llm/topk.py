@@ -227,3 +227,17 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = text.table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
     rows = rows.select(F.col("vec_id").alias("id"), quantized(F.col("embedding")).alias("vec"))
     return top_k(rows, F.col("id") % 50 == 0)
+
+
+OP4_SQL = """
+WITH e AS (
+  SELECT DISTINCT vec_id AS id, list_transform(embedding, lambda x: floor(256.0 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT DISTINCT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON c.id <> q.id WHERE q.id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

@@ -225,3 +225,28 @@ def test_url_edge_rows(spark):
             assert r.verdict == "allow" and r.score is None
     assert urls.judge(df.limit(0)).count() == 0
     assert {r.verdict for r in urls.judge(df.where("page_id < 3")).collect()} == {"allow"}
+
+
+def test_exact_query_equals_its_sql(spark, sf_dir):
+    import oracle
+
+    from layerframe.llm.queries import ORACLE, QUERIES
+
+    n, differ = oracle.differences(spark, oracle.connect(sf_dir), "op4", QUERIES["op4_exact_topk"], ORACLE["op4_exact_topk"], sf_dir)
+    assert differ == [] and n > 0
+
+
+def test_forest_recall_with_its_own_settings(spark, sf_dir):
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect() if r.embedding is not None]
+    rows = [(i, v) for i, v in rows if len(v) and np.isfinite(v).all() and v.any()]
+    ids, x = np.array([i for i, _ in rows]), np.stack([v / np.linalg.norm(v) for _, v in rows])
+    got = {}
+    for r in forest.op5_random_projection_forest(spark, sf_dir).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = wanted = 0
+    for i in np.flatnonzero(ids % 50 == 0):
+        near = x @ x[i]
+        near[ids == ids[i]] = -2
+        best = set(ids[np.lexsort((ids, -near))[:5]].tolist())
+        hits, wanted = hits + len(best & got[ids[i]]), wanted + len(best)
+    assert hits >= 0.9 * wanted and wanted >= 50
