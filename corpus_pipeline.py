@@ -17,7 +17,12 @@ ORACLE_SQL = None
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5; the network learns from the labelled ones among them."""
+    """Documents scored below 0.5; the network learns from the labelled ones among them.
+
+    Null and empty texts score 0 and stay, as does everything where no label is known.  Long
+    texts are scored whole; repeated rows fare alike; rows without an id are scored like others.
+    Other columns stay as they are, also one named score or predicted.
+    """
     model = toxicity.learn(docs, text.table(spark, sf_dir, "labels"))
     score, toxic = text.fresh(docs, "score"), text.fresh(docs, "predicted")
     return toxicity.score_toxicity(docs, model, names=(score, toxic)).where(f"{toxic} = 0").drop(score, toxic)
@@ -42,7 +47,12 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 1024 tokens."""
+    """The pieces of the documents in sequences of at most 1024 tokens.
+
+    A null or empty text is its end id alone; long texts are cut into pieces and repeated rows
+    packed each, with or without an id.  Only id and text are read, whatever else is there; an
+    empty table gives no pieces.
+    """
     return packing.pack(docs)
 
 
