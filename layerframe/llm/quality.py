@@ -98,8 +98,8 @@ def statistics(texts: text.Texts) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame, keep: list[str], column: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``stats``, the statistics of each whole text (null: empty)."""
+def with_statistics(docs: DataFrame, keep: list[str], column: str = "text", name: str = "stats") -> DataFrame:
+    """The columns ``keep`` and, as ``name``, the statistics of each whole text (null: empty)."""
     judged = text.fresh(docs, "_judged")
     held = docs.select(*(docs[f"`{c}`"] for c in keep), docs[f"`{column}`"].alias(judged))
 
@@ -109,10 +109,10 @@ def with_statistics(docs: DataFrame, keep: list[str], column: str = "text") -> D
             n, k = found.shape
             offsets = pa.array(np.arange(n + 1, dtype=np.int32) * k)
             stats = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], stats], [*keep, "stats"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], stats], [*keep, name])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields[:-1])
-    return held.mapInArrow(run, f"{kept}, stats array<double>")
+    return held.mapInArrow(run, f"{kept}, `{name}` array<double>")
 
 
 # --- learning -----------------------------------------------------------------------------
@@ -243,9 +243,11 @@ def score_quality(docs: DataFrame, ensemble: Ensemble, keep: list[str], threshol
     """The columns ``keep``, score and predicted (1 from ``threshold`` on) of each whole text.
 
     Null and empty texts have all statistics 0 and the score that follows from that.
-    Repeated rows are scored alike.  One map over the rows, no shuffle.
+    Repeated rows are scored alike, an empty table gives no rows, and kept columns may have
+    any name but those of the two new ones.  One map over the rows, no shuffle.
     """
-    scored = with_statistics(docs, keep, column).withColumn("score", ensemble.column())
+    stats = text.fresh(docs, "stats")
+    scored = with_statistics(docs, keep, column, stats).withColumn("score", ensemble.column(stats))
     return scored.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

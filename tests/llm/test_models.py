@@ -190,3 +190,11 @@ def test_toxicity_edge_rows(spark):
     assert [r.score for r in rows[:3]] == [0, 0, 0] and rows[3] == rows[4]
     assert all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score_toxicity(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_quality_with_clashing_names(spark):
+    ensemble = quality.Ensemble(0.1, [])
+    docs = spark.createDataFrame([(1, "a b", "s", 7), (None, None, "t", 8)], "doc_id long, text string, stats string, _judged int")
+    rows = quality.score_quality(docs, ensemble, ["doc_id", "stats", "_judged"]).collect()
+    assert sorted((r.stats, r._judged, r.predicted) for r in rows) == [("s", 7, 1), ("t", 8, 1)]
+    assert quality.score_quality(docs.limit(0), ensemble, ["doc_id", "stats"]).count() == 0
