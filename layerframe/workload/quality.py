@@ -13,7 +13,7 @@ from layerframe.operators.quality import (
     strict_counts,
     strict_ids,
 )
-from layerframe.plans.scratch import scratch_path
+from layerframe.plans.scratch import cut_lineage, scratch_path
 from layerframe.session import setting
 from layerframe.sources.pages import scan_pages
 from layerframe.streaming.drift import PROVIDER, ROCKSDB, stream_field_set_drift
@@ -207,8 +207,12 @@ def stream_field_set_drift_query(spark, sf_dir):
     landing, sink, log = (scratch_path(spark, p) for p in ("landing", "drift", "log"))
     number = F.regexp_extract("layer_url", "([0-9]+)$", 1).cast("bigint") + F.expr("page_index div 1000") * 10
     pages = event_pages(spark, sf_dir).withColumn("layer_url", F.concat(F.lit(EVENTS_URL), number.cast("string")))
-    # files hold the pages in order, as they would arrive
-    pages.repartitionByRange(6, "page_index").sortWithinPartitions("page_index").write.parquet(landing)
+    pages = cut_lineage(pages, "pages")
+    # they arrive in three parts; a file of a part holds its layers' pages whole, so a layer's come in order
+    last = pages.agg(F.max("page_index")).first()[0] or 0
+    for part in range(3):
+        arriving = pages.where(F.col("page_index").between(part * (last // 3 + 1), (part + 1) * (last // 3 + 1) - 1))
+        arriving.repartition("layer_url").write.mode("append").parquet(landing)
     with setting(spark, PROVIDER, ROCKSDB):
         found = stream_field_set_drift(stream_page_table(spark, landing, max_files=2), learn_pages=2)
         write_stream(found, sink, log).awaitTermination()
