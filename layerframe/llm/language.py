@@ -11,6 +11,7 @@ total code over the whole text.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -155,10 +156,18 @@ def code_lengths(codes: Codes, texts: text.Texts, order: int = ORDER) -> np.ndar
 def learn(docs: DataFrame, seen: Column, per_lang: int = DOCS_PER_LANG, order: int = ORDER, lang: str = "lang", column: str = "text", key: str = "doc_id") -> Codes | None:
     """Codes of the languages in ``lang``; None if no row is labelled.
 
-    What reaches the driver are counts of the sample, bounded by ``per_lang``.
+    One task freezes the counts of the sample, bounded by ``per_lang``; the driver gets the codes.
     """
-    counts = count_contexts(learning_rows(docs, per_lang, seen, lang, column, key)).toPandas()
-    return freeze(counts, order) if len(counts) else None
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if sum(b.num_rows for b in held):
+            codes = freeze(pa.Table.from_batches(held).to_pandas(), order)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(codes), protocol=5)], pa.binary())], ["codes"])
+
+    counts = count_contexts(learning_rows(docs, per_lang, seen, lang, column, key))
+    found = counts.repartition(1).mapInArrow(fit, "codes binary").first()
+    return found and Codes(**pickle.loads(found["codes"]))
 
 
 def identify(
