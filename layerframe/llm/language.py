@@ -12,7 +12,7 @@ total code over the whole text.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,23 +26,24 @@ from layerframe.llm import text
 
 DOCS_PER_LANG = 1500  # about as many learning texts per language, chosen by hash
 ORDER = 3
+UNSEEN = 8.0  # bits of a byte that no context has seen
+_LANGUAGES = 8  # looked up together
 
 
 @dataclass
 class Codes:
-    """Frozen code lengths.
+    """Frozen code lengths of what learning saw.
 
-    ``symbol[b]`` numbers the bytes seen in learning from 1; 0 stands for any other byte
-    and for what precedes a text.  ``row`` leads from three such symbols to the row of
-    the longest context of theirs that any language has seen; ``bits[row * size + s]``
-    has the code length of symbol s there in every language.
+    A byte costs ``UNSEEN`` bits and what each seen run of bytes that ends in it adds: a
+    context its escape, a context with the byte the difference between its own code and the
+    one that escaping would have come to.  ``known`` marks the bytes seen in learning; any
+    other counts as 0, which also stands before a text and is never seen.  ``blocks`` hold
+    the runs of a few languages each.
     """
 
     languages: list[str]
-    symbol: np.ndarray
-    size: int
-    row: np.ndarray
-    bits: np.ndarray
+    known: np.ndarray
+    blocks: list[dict[str, np.ndarray]]
 
 
 def _fourgrams(texts: text.Texts) -> np.ndarray:
@@ -92,63 +93,73 @@ def count_contexts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("_lang", "_gram").agg(F.sum("_n").alias("_n"))
 
 
+def _runs(gram: np.ndarray, length: int, whole: bool) -> np.ndarray:
+    """The last ``length`` bytes before a byte, with the byte if ``whole``, as one number for all lengths."""
+    run = (gram & ((1 << (8 * (length + 1))) - 1)) >> (0 if whole else 8)
+    return run | ((2 * length + whole) << 32)
+
+
 def freeze(counts: pd.DataFrame, order: int = ORDER) -> Codes:
+    """Codes of counted runs; their size grows with the runs that each language has, not with all by all."""
     languages = sorted(counts["_lang"].unique())
-    gram = counts["_gram"].to_numpy(np.int64)
-    seen = np.unique(gram & 255)
-    seen = seen[seen > 0]
-    symbol = np.zeros(256, np.int64)
-    symbol[seen] = np.arange(1, len(seen) + 1)
-    size = len(seen) + 1
-    parts = [symbol[(gram >> (8 * k)) & 255] for k in range(4)]  # 0 is the byte itself
+    counts = counts[(counts["_gram"] & 255) > 0]
     lang = np.searchsorted(np.array(languages, object), counts["_lang"].to_numpy(object))
-    n = counts["_n"].to_numpy(np.float32)
-
-    n_lang = len(languages)
-    bits = np.full((1, size, n_lang), 8.0, np.float32)
-    row = np.zeros(1, np.int64)  # context number to row, for the order so far
+    known = np.zeros(256, bool)
+    known[counts["_gram"] & 255] = True
+    blocks = []
+    for low in range(0, len(languages), _LANGUAGES):
+        mine = (lang >= low) & (lang < low + _LANGUAGES)
+        seen = pd.DataFrame({"lang": lang[mine] - low, "gram": counts["_gram"].to_numpy(np.int64)[mine], "n": counts["_n"].to_numpy(np.float64)[mine]})
+        blocks.append(_block(seen, order))
+    return Codes(languages, known, blocks)
+
+
+def _block(seen: pd.DataFrame, order: int) -> dict[str, np.ndarray]:
+    """(run, lang, bits) by run, of rows (lang, gram, n)."""
+    added = []
+    shorter = None
+    gram = seen["gram"].to_numpy(np.int64)
     for length in range(order + 1):
-        context = np.zeros(len(gram), np.int64)
-        for k in range(length, 0, -1):
-            context = context * size + parts[k]
-        held, place = np.unique(context, return_inverse=True)
-        table = np.zeros((len(held), size, n_lang), np.float32)
-        np.add.at(table, (place, parts[0], lang), n)
-        table[:, 0, :] = 0  # an unseen byte is never counted as seen
-        total = table.sum(1, keepdims=True)
-        distinct = (table > 0).sum(1, keepdims=True, dtype=np.float32)
-        if length == 0:
-            shorter = bits[np.zeros(len(held), np.int64)]
-            row = np.zeros(1, np.int64)
-        else:
-            # the shorter context of c is c without its oldest symbol
-            shorter = bits[row[held % size ** (length - 1)]]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.where(table > 0, -np.log2(table / (total + distinct)), -np.log2(distinct / (total + distinct)) + shorter)
-        own = np.where(total > 0, own, shorter)
-        if length == 0:
-            bits, row = own, np.zeros(1, np.int64)
-        else:
-            numbered = np.tile(row, size)  # contexts of this length, by their shorter context
-            numbered[held] = len(bits) + np.arange(len(held))
-            bits, row = np.concatenate([bits, own]), numbered
-    return Codes(languages, symbol.astype(np.int32), size, row.astype(np.int32), bits.reshape(-1, n_lang))
+        own = seen.assign(run=_runs(gram, length, True), context=_runs(gram, length, False), less=_runs(gram, max(length - 1, 0), True))
+        own = own.groupby(["lang", "run", "context", "less"], as_index=False)["n"].sum()
+        of = own.groupby(["lang", "context"])["n"]
+        n, q = of.transform("sum"), of.transform("size")
+        own["code"], own["escape"] = -np.log2(own["n"] / (n + q)), -np.log2(q / (n + q))
+        # what was seen after a context was also seen after its shorter one
+        before = UNSEEN if shorter is None else own[["lang", "less"]].merge(shorter, how="left", on=["lang", "less"])["code"].to_numpy()
+        own["more"] = own["code"] - own["escape"] - before
+        added.append(own[["run", "lang", "more"]].rename(columns={"more": "bits"}))
+        added.append(own[["context", "lang", "escape"]].drop_duplicates(["context", "lang"]).set_axis(["run", "lang", "bits"], axis=1))
+        shorter = own[["lang", "run", "code"]].rename(columns={"run": "less"})
+    table = pd.concat(added).sort_values(["run", "lang"])
+    run, start = np.unique(table["run"].to_numpy(np.int64), return_index=True)
+    return {"run": run, "start": np.append(start, len(table)), "lang": table["lang"].to_numpy(np.int8), "bits": table["bits"].to_numpy(np.float64)}
 
 
 def code_lengths(codes: Codes, texts: text.Texts, order: int = ORDER) -> np.ndarray:
-    """Bits of each whole text in each language."""
+    """Bits of each whole text in each language; each distinct run of four bytes is looked up once."""
     out = np.zeros((len(texts), len(codes.languages)))
-    n = len(texts.data)
     full = np.flatnonzero(texts.sizes > 0)
-    if not n:
+    if not len(full):
         return out
-    s = codes.symbol[texts.data]
-    starts = texts.starts[full]
-    context = np.zeros(n, np.int32)
-    for by in range(order, 0, -1):
-        context = context * codes.size + _context(s, texts, starts, by, n)
-    lengths = np.take(codes.bits, codes.row[context].astype(np.int64) * codes.size + s, axis=0)
-    out[full] = np.add.reduceat(lengths, starts, axis=0, dtype=np.float64)
+    place, grams = pd.factorize(_fourgrams(replace(texts, data=np.where(codes.known[texts.data], texts.data, np.uint8(0)))))
+    grams = grams.astype(np.int64)
+    for b, block in enumerate(codes.blocks):
+        low = b * _LANGUAGES
+        n_lang = min(_LANGUAGES, len(codes.languages) - low)
+        bits = np.full(len(grams) * n_lang, UNSEEN)
+        for length in range(order + 1) if len(block["run"]) else ():
+            for whole in (False, True):
+                run = _runs(grams, length, whole)
+                at = np.minimum(np.searchsorted(block["run"], run), len(block["run"]) - 1)
+                gram = np.flatnonzero(block["run"][at] == run)
+                first, last = block["start"][at[gram]], block["start"][at[gram] + 1]
+                count = last - first
+                entry = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+                # a language has a run once, so no place comes twice
+                bits[np.repeat(gram, count) * n_lang + block["lang"][entry]] += block["bits"][entry]
+        lengths = np.take(bits.astype(np.float32).reshape(-1, n_lang), place, axis=0)
+        out[full, low : low + n_lang] = np.add.reduceat(lengths, texts.starts[full], axis=0, dtype=np.float64)
     return out
 
 
@@ -176,7 +187,7 @@ def identify(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
     judged = text.fresh(docs, "_judged")
     spark = docs.sparkSession
-    frozen = spark.sparkContext.broadcast(codes and vars(codes))  # bounded by the learning sample
+    frozen = spark.sparkContext.broadcast(codes and vars(codes))  # grows with the runs of the learning sample
     held = docs.select(*(docs[f"`{c}`"] for c in kept), docs[f"`{column}`"].alias(judged))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,31 @@ def test_code_lengths_equal_plain_ppm(spark):
             assert bits == pytest.approx(ppm_bits(counts, data), rel=1e-4)
 
 
+def test_codes_of_many_languages_grow_with_their_runs(spark):
+    random = np.random.default_rng(3)
+    alphabets = [random.integers(0x100, 0x2000, 40) for _ in range(19)]
+    learn = [(f"l{k:02}", "".join(chr(c) for c in random.choice(a, 120))) for k, a in enumerate(alphabets) for _ in range(4)]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(learn)], "doc_id long, text string, lang string")
+    codes = language.learn(df, F.lit(True))
+    assert len(codes.languages) == 19
+    # at most two numbers for each run of one to four bytes that a language has
+    assert sum(len(b["bits"]) for b in codes.blocks) <= 2 * 4 * sum(len(t.encode()) for _, t in learn)
+    texts = ["".join(chr(c) for c in random.choice(a, 60)) for a in alphabets] + ["\x00", "\x00x"]
+    got = language.code_lengths(codes, text.texts_of(pa.array(texts)))
+    assert got[:19].argmin(1).tolist() == list(range(19))
+    seen = {b for _, t in learn for b in t.encode()}
+    for k in (0, 7, 8, 18):
+        counts = {}
+        for lang, t in learn:
+            if lang == codes.languages[k]:
+                padded = [0] * 3 + list(t.encode())
+                for i in range(3, len(padded)):
+                    for length in range(4):
+                        counts.setdefault(tuple(padded[i - length : i]), Counter())[padded[i]] += 1
+        for t, bits in zip(texts, got[:, k]):
+            assert bits == pytest.approx(ppm_bits(counts, [b if b in seen else 0 for b in t.encode()]), rel=1e-4)
+
+
 def ppm_bits(counts, data, order=3):
     """Plain PPM with frozen counts, {context: Counter}; 0 stands before the text and for unknown bytes."""
     padded = [0] * order + list(data)
