@@ -82,16 +82,35 @@ def upper_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
 
 
+def slack(dim: int, largest: np.ndarray | float, other: np.ndarray | float) -> np.ndarray:
+    """How far an inner product in doubles may be off, by the largest components of both sides.
+
+    Nothing while every sum of such whole numbers is itself exact.
+    """
+    size = dim * np.multiply(largest, other, dtype=np.float64)
+    return np.where(size < _EXACT, 0.0, size * (dim + 4) * 2.0**-52)
+
+
 class ShardTree:
-    def __init__(self, x: np.ndarray, ids: list[list[int]]):
-        self.x, self.ids = x, ids
+    def __init__(self, whole: np.ndarray, ids: list[list[int]]):
+        self.whole, self.ids = whole, ids
+        self.x = whole.astype(np.float64)
         self.first = np.array([i[0] for i in ids], np.int64)
-        self.nodes = median_tree(x, LEAF)
-        self.low = np.stack([x[n[0]].min(0) for n in self.nodes])
-        self.high = np.stack([x[n[0]].max(0) for n in self.nodes])
-
-    def best(self, q: np.ndarray, own: int, k: int, kth: float, bounds: np.ndarray) -> list[tuple[int, int]]:
-        """(score, id) of the best k rows but ``own``, if they reach ``kth``; ties to smaller ids."""
+        self.nodes = median_tree(self.x, LEAF)
+        self.low = np.stack([self.x[n[0]].min(0) for n in self.nodes])
+        self.high = np.stack([self.x[n[0]].max(0) for n in self.nodes])
+        self.largest = np.maximum(np.abs(self.low), np.abs(self.high)).max(1)
+
+    def best(self, whole: np.ndarray, own: int, k: int, kth: float) -> list[tuple[int, int]]:
+        """(score, id) of the best k rows but ``own``, if they reach ``kth``; ties to smaller ids.
+
+        Where components are too large for exact doubles, bounds are widened by what rounding
+        may take away, and the rows of a leaf that can still reach ``kth`` are scored anew in
+        whole numbers.
+        """
+        q = whole.astype(np.float64)
+        off = slack(self.x.shape[1], self.largest, np.abs(q).max())
+        bounds = (upper_bounds(q[None], self.low, self.high)[0] + off).tolist()
         best: list[tuple[int, int]] = []
         heap = [(-bounds[0], 0)]
         while heap and -heap[0][0] >= kth:
@@ -102,25 +121,21 @@ class ShardTree:
                 heapq.heappush(heap, (-bounds[right], right))
                 continue
             scores = self.x[rows] @ q
-            reach = scores >= kth
+            reach = scores + off[n] >= np.nextafter(float(kth), -np.inf)
             rows, scores = rows[reach], scores[reach]
             first = self.first[rows]
-            for i in leading(np.lexsort((first, -scores)), first, own, k):
+            if off[n]:
+                by = whole.tolist()
+                scores = [sum(a * b for a, b in zip(x, by)) for x in self.whole[rows].tolist()]
+                order = sorted(range(len(rows)), key=lambda i: (-scores[i], first[i]))
+            else:
+                order = np.lexsort((first, -scores))
+            for i in leading(order, first, own, k):
                 best += [(-int(scores[i]), id_) for id_ in self.ids[rows[i]] if id_ != own]
             best = sorted(set(best))[:k]
             if len(best) == k:
                 kth = max(kth, -best[-1][0])
-        return [(-s, i) for s, i in best]
-
-    def best_exact(self, q: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The same for components too large for exact doubles; scores are held to 64 bits."""
-        wide = [int(v) for v in q]
-        found = []
-        for x, ids in zip(self.x.astype(object), self.ids):
-            score = sum(int(a) * b for a, b in zip(x, wide))
-            score = max(-(1 << 63), min((1 << 63) - 1, score))
-            found += [(-score, id_) for id_ in ids if id_ != own]
-        return [(-s, i) for s, i in heapq.nsmallest(k, set(found))]
+        return [(max(-(1 << 63), min((1 << 63) - 1, -s)), i) for s, i in best]
 
 
 # --- the search -----------------------------------------------------------------------
@@ -131,19 +146,15 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
 
     ``queries`` marks the rows that are queries.  Each is searched against every row but
     those of its own id.  Rows with a null id take no part; a shorter vector is continued
-    with zeros; of rows that repeat an id with the same vector, or with the same score, one
+    with zeros; components may be of any size, scores beyond 64 bits are held to them; of rows that repeat an id with the same vector, or with the same score, one
     counts.  An empty table has no results.
     """
     spark = rows.sparkSession
     rows = rows.where(F.col("id").isNotNull())
     points = cut_lineage(distinct_vectors(rows, k + 1), "topk-vectors")
-    n, dim, largest = points.agg(
-        F.count(F.lit(1)), F.max(F.size("vec")), F.max(F.array_max(F.transform("vec", lambda v: F.abs(v.cast("double")))))
-    ).first()
+    n, dim = points.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    exact = largest * largest * dim < _EXACT
-    kind = np.float64 if exact else object
     sample = points.select("vec", F.element_at("ids", 1).alias("first"), F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(SAMPLE).drop("h").toArrow()
     seeds = matrix(sample.column("vec").combine_chunks(), dim, np.float64)
     # one vector of an id, so that the k best of them are k results
@@ -166,6 +177,8 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
     boxes = _boxes(placed, dim)
     names = list(boxes)
     low, high = (np.stack([boxes[s][i] for s in names]) for i in (0, 1))
+    widest = np.maximum(np.abs(low), np.abs(high)).max(1)
+    seed_largest = np.abs(seeds[one]).max(1)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,12 +186,13 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
                 continue
             q = matrix(batch.column("vec"), dim, np.float64)
             kth = np.full(len(q), -np.inf)
-            if exact and len(one) > k:
-                scores = q @ seeds[one].T
+            mine = np.abs(q).max(1, keepdims=True)
+            if len(one) > k:
+                scores = q @ seeds[one].T - slack(dim, seed_largest, mine)
                 # nothing but the query itself may stand behind a row that its id comes first in
                 scores[batch.column("id").to_numpy()[:, None] == seed_ids] = -np.inf
                 kth = np.partition(scores, -k, 1)[:, -k]
-            reach = upper_bounds(q, low, high) >= kth[:, None] if exact else np.ones((len(q), len(names)), bool)
+            reach = upper_bounds(q, low, high) + slack(dim, widest, mine) >= kth[:, None]
             at, shard = np.nonzero(reach)
             taken = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
@@ -195,11 +209,10 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, shard_rows: int = SHARD_
     def search(points: pa.Table, asked: pa.Table) -> pa.Table:
         found = []
         if points.num_rows and asked.num_rows:
-            tree = ShardTree(matrix(points.column("vec").combine_chunks(), dim, kind), [sorted(i) for i in points.column("ids").to_pylist()])
-            q = matrix(asked.column("query").combine_chunks(), dim, kind)
-            bounds = upper_bounds(q, tree.low, tree.high) if exact else None
+            tree = ShardTree(matrix(points.column("vec").combine_chunks(), dim, np.int64), [sorted(i) for i in points.column("ids").to_pylist()])
+            q = matrix(asked.column("query").combine_chunks(), dim, np.int64)
             for i, (id_, kth) in enumerate(zip(asked.column("query_id").to_pylist(), asked.column("kth").to_pylist())):
-                got = tree.best(q[i], id_, k, kth, bounds[i]) if exact else tree.best_exact(q[i], id_, k)
+                got = tree.best(q[i], id_, k, kth)
                 found += [(id_, vec_id, score) for score, vec_id in got]
         columns = list(zip(*found)) or [(), (), ()]
         return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("query_id", "vec_id", "score"), columns)})

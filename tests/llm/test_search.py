@@ -74,6 +74,23 @@ def test_topk_with_repeated_rows(spark):
         assert got == want
 
 
+def test_topk_of_large_components_among_ordinary_ones(spark):
+    random = np.random.default_rng(11)
+    rows = [(i, [int(v) for v in random.integers(-200, 200, 4)]) for i in range(900)]
+    # beyond exact doubles: scores that differ in their last digits, and one that passes 64 bits
+    rows += [(1000 + i, [(1 << 40) + i % 3, 1 - i, 7, (1 << 33) - i]) for i in range(40)]
+    rows += [(1100, [1 << 61, 5, 0, 0]), (1150, [-(1 << 62), 1, 2, 3]), (1200, [(1 << 26) + 1, 3, 3, 3])]
+    df = spark.createDataFrame(rows, "id long, vec array<long>")
+    for shard_rows in (16, 1 << 14):
+        got = by_query(topk.top_k(df, F.col("id") % 50 == 0, shard_rows=shard_rows).collect())
+        clamp = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+        for id_, vec in rows:
+            if id_ % 50 == 0:
+                scores = sorted((-clamp(sum(a * b for a, b in zip(vec, v))), i) for i, v in rows if i != id_)[:5]
+                if -scores[0][0] < (1 << 63) - 1:  # scores held to 64 bits tie
+                    assert [(i, s) for i, s in got[id_]] == [(i, -s) for s, i in scores]
+
+
 def test_forest_with_repeated_rows(spark):
     rows = [(i, [float(c) for c in v]) for i, v in repeated_rows()]
     df = spark.createDataFrame(rows, "id long, vec array<double>").coalesce(1)
