@@ -338,21 +338,25 @@ def field_set_drift(presence: DataFrame, learn_pages: int = 1) -> DataFrame:
     pages = with_rank(
         presence.select("context", "page_index").distinct(), ["page_index"], ["context"], "_n", size="_pages"
     )
-    dense = presence.join(pages, ["context", "page_index"])
-    where = pages.select("context", F.col("_n").alias("_at"), F.col("page_index").alias("at_page"))
+    # Few contexts and keys make these files tiny for their rows, so a join may not go by their size.
+    dense = cut_lineage(presence.hint("merge").join(pages, ["context", "page_index"]), "dense")
 
-    first = dense.groupBy("context", "key").agg(F.min("_n").alias("_at"))
-    appeared = first.where(F.col("_at") >= learn_pages).withColumn("kind", F.lit("field_appeared"))
+    first = dense.groupBy("context", "key").agg(F.min(F.struct("_n", "page_index")).alias("_first"))
+    appeared = first.where(F.col("_first._n") >= learn_pages).select(
+        "context", F.lit("field_appeared").alias("kind"), "key", F.col("_first.page_index").alias("at_page")
+    )
 
     nexts = dense.select(
         "context", "key", F.greatest(F.col("_n") + 1, F.lit(learn_pages)).alias("_at"), "_pages"
     ).where(F.col("_at") < F.col("_pages"))
     held = dense.select("context", "key", F.col("_n").alias("_at"))
     vanished = (
-        nexts.join(held, ["context", "key", "_at"], "left_anti")
+        nexts.hint("merge").join(held, ["context", "key", "_at"], "left_anti")
         .groupBy("context", "key")
         .agg(F.min("_at").alias("_at"))
-        .withColumn("kind", F.lit("field_disappeared"))
     )
-    both = appeared.unionByName(vanished)
-    return both.join(where, ["context", "_at"]).select("context", "kind", "key", "at_page")
+    where = dense.select("context", F.col("_n").alias("_at"), F.col("page_index").alias("at_page")).distinct()
+    vanished = vanished.hint("merge").join(where, ["context", "_at"]).select(
+        "context", F.lit("field_disappeared").alias("kind"), "key", "at_page"
+    )
+    return appeared.unionByName(vanished)

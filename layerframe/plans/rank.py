@@ -67,7 +67,9 @@ def with_rank(
     added = [(F.col("_pos") - F.col("_first") + F.col("_before")).alias(name)]
     if size:
         added.append(F.col("_size").alias(size))
-    return placed.join(slices, on).select(*map(_named, df.columns), *added)
+    # Every row has its slice; a left join, as only its right side is ever sent to all tasks,
+    # however small the files of the rows are.
+    return placed.join(slices, on, "left").select(*map(_named, df.columns), *added)
 
 
 _CELLS = 1 << 14  # cells of one histogram, at most

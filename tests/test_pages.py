@@ -1,5 +1,7 @@
 """Pages, features, rows, envelopes and drift on hand-written documents."""
 
+import contextlib
+import io
 import json
 
 import pytest
@@ -154,6 +156,18 @@ def test_field_set_drift_against_the_rule(spark, learn):
         field_set_drift(page_keys(scanned), 0)
 
 
+def test_field_set_drift_sends_no_presence_to_the_driver(spark):
+    # Such rows take next to no space in files: 300,000 of them are far below the size up to which a table is sent around.
+    presence = spark.range(100_000).select(
+        F.lit("https://maps.example.com/0").alias("context"), F.col("id").alias("page_index"), F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("c"))).alias("key")
+    )
+    drift = field_set_drift(presence.where("key <> 'c' or page_index between 10 and 99998"))
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        drift.explain("formatted")
+    assert "Join" in plan.getvalue() and "Broadcast" not in plan.getvalue()
+    assert {tuple(r) for r in drift.select("kind", "key", "at_page").collect()} == {("field_appeared", "c", 10), ("field_disappeared", "c", 99_999)}
+
+
 def test_domains(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (2, "b", 5.0), (88, "1", 700.0)], "status int, code string, size double")
     fields = [
