@@ -15,19 +15,19 @@ def id_report(rows: DataFrame, oid: str, expected: DataFrame | None = None, by:
 
     ``rows`` are those read, ``expected`` (``by``, ``oid``) the ids there should be, null
     ids and repeats in it aside.  Problems: ``null`` (n rows without an id), ``repeated``
-    (held n times), ``missing`` (n is 0) and ``unexpected``.  Ids are counted with partial
-    aggregation first, so an id that fills a third of all rows is one row per task.
+    (held n times), ``missing`` (n is 0) and ``unexpected``.  Both sides are counted in one
+    partial aggregation, so an id that fills a third of all rows is one row per task, and a
+    task holds each of its ids once, not sorted on both sides of a join.
     """
     id_of = F.col(f"`{oid}`").cast("bigint").alias("oid")
-    found = rows.select(*by, id_of).groupBy(*by, "oid").agg(F.count(F.lit(1)).alias("_n"))
-    if expected is None:
-        both = found.withColumn("_wanted", F.lit(True))
-    else:
-        wanted = expected.select(*by, id_of).where(F.col("oid").isNotNull()).distinct().withColumn("_wanted", F.lit(True))
-        both = found.join(wanted, [*by, "oid"], "full_outer")
-    n = F.coalesce("_n", F.lit(0).cast("bigint"))
+    both = rows.select(*by, id_of, F.lit(1).alias("_n"), F.lit(expected is None).alias("_wanted"))
+    if expected is not None:
+        wanted = expected.select(*by, id_of).where(F.col("oid").isNotNull())
+        both = both.unionByName(wanted.select("*", F.lit(0).alias("_n"), F.lit(True).alias("_wanted")))
+    both = both.groupBy(*by, "oid").agg(F.sum("_n").alias("_n"), F.max("_wanted").alias("_wanted"))
+    n = F.col("_n")
     problem = (
-        F.when(F.col("oid").isNull(), "null").when(n == 0, "missing").when(F.col("_wanted").isNull(), "unexpected").when(n > 1, "repeated")
+        F.when(F.col("oid").isNull(), "null").when(n == 0, "missing").when(~F.col("_wanted"), "unexpected").when(n > 1, "repeated")
     )
     return both.select(*by, "oid", problem.alias("problem"), n.alias("n")).where(F.col("problem").isNotNull())
 

@@ -180,15 +180,18 @@ requests AS (SELECT *, CASE WHEN total <= cap THEN 'single' WHEN k = 1 THEN 'off
 _LANDED = 40  # rows of a landed page
 
 
-def _line_layers(spark, sf_dir):
-    """(ids with their place in the layer, layers as ``plan_requests`` takes them)."""
-    ids = (
+def _line_ids(spark, sf_dir):
+    return (
         table(spark, sf_dir, "lineitem")
         .select("l_suppkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("oid"))
         .distinct()
         .withColumn("layer_url", supplier_url("l_suppkey"))
     )
-    ids = with_rank(ids, ["oid"], ["layer_url", "l_suppkey"], "place")
+
+
+def _line_layers(spark, sf_dir):
+    """(ids with their place in the layer, layers as ``plan_requests`` takes them)."""
+    ids = with_rank(_line_ids(spark, sf_dir), ["oid"], ["layer_url", "l_suppkey"], "place")
     kind = F.col("l_suppkey") % 4
     layers = (
         ids.groupBy("layer_url", "l_suppkey")
@@ -273,12 +276,11 @@ SELECT l_suppkey, NULL, 'null', count(*) FROM i WHERE oid % 17 = 0 GROUP BY 1
 )
 def id_report_query(spark, sf_dir):
     """A read that holds some ids twice, lacks some, holds some unasked, and has rows without an id."""
-    ids, _ = _line_layers(spark, sf_dir)
+    ids = _line_ids(spark, sf_dir)
     oid = F.col("oid")
-    held = ids.select("layer_url", "oid").where(~((oid % 11 == 0) & (oid % 7 != 0)))
-    rows = held.unionByName(held.where((oid % 7 == 0) & (oid % 11 != 0))).unionByName(
-        ids.where(oid % 17 == 0).select("layer_url", F.lit(None).cast("bigint").alias("oid"))
-    )
+    times = F.when(oid % 11 == 0, F.when(oid % 7 == 0, 1).otherwise(0)).when(oid % 7 == 0, 2).otherwise(1)
+    read = F.concat(F.array_repeat(oid, times), F.when(oid % 17 == 0, F.array(F.lit(None).cast("bigint"))).otherwise(F.array()))
+    rows = ids.select("layer_url", F.explode(read).alias("oid"))
     expected = ids.select("layer_url", "oid").where((oid % 13 != 0) | (oid % 7 == 0) | (oid % 11 == 0))
     return id_report(rows, "oid", expected).select(_supplier(), "oid", "problem", "n")
 

@@ -1,5 +1,7 @@
 """Whole reads under each policy, plans carried out, and what a read lacks."""
 
+import contextlib
+import io
 import json
 
 import fake_service
@@ -167,6 +169,17 @@ def test_ids_repeated_missing_null_and_unexpected(spark):
     assert require_unique_ids(rows.where("layer_url = 'b'"), "OID").count() == 0
 
 
+def test_id_report_counts_both_sides_at_once(spark):
+    # a layer without a name is one layer on both sides, and no task sorts the two for a join
+    rows = spark.createDataFrame([(None, 1), (None, 1), ("u", 2)], "layer_url string, OID long")
+    expected = spark.createDataFrame([(None, 1), (None, 3), ("u", 2), ("u", 2)], "layer_url string, OID long")
+    report = id_report(rows, "OID", expected)
+    assert sorted(tuple(r) for r in report.select("oid", "problem", "n").collect()) == [(1, "repeated", 2), (3, "missing", 0)]
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        report.explain("formatted")
+    assert "Join" not in plan.getvalue()
+
+
 def test_gaps_across_blocks(spark):
     ids = [1, 2, 3, 7, 8, 20, 21, 22, 40]
     rows = spark.createDataFrame([("a", i) for i in ids + [8]] + [("b", 5)], "layer_url string, OID long")
