@@ -10,6 +10,7 @@ from layerframe.session import setting
 from layerframe.sources.pages import scan_features, scan_pages
 from layerframe.streaming.drift import stream_field_set_drift, use_rocksdb
 from layerframe.streaming.pages import stream_page_table, stream_pages, write_stream
+from layerframe.workload import quality
 
 SCHEMA = "layer_url string, page_index bigint, payload string"
 
@@ -53,3 +54,13 @@ def test_landed_files_are_read_once(spark, tmp_path):
     assert run() == [1, 2]
     (landing / "page-3.json").write_text(json.dumps({"features": [{"attributes": {}}]}))
     assert run() == [1, 2, 3]
+
+
+def test_batches_do_not_grow_with_the_files(spark, sf_dir, monkeypatch):
+    started = []
+    monkeypatch.setattr(quality, "write_stream", lambda *given: started.append(write_stream(*given)) or started[-1])
+    small = "spark.sql.adaptive.coalescePartitions.minPartitionSize", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with setting(spark, small[0], "1b"), setting(spark, small[1], "1b"):  # a file for each partition
+        quality.stream_field_set_drift_query(spark, sf_dir)
+    batches = sum(p.numInputRows > 0 for p in started[0].recentProgress)
+    assert 2 <= batches <= 4
