@@ -85,12 +85,15 @@ def landed_answers(pages: DataFrame, oid: str) -> AnswerFunction:
     def by_ids(requests: DataFrame) -> DataFrame:
         listed = requests.select("layer_url", "page_index", "path", F.explode("oids").alias("_oid"))
         found = held.where(F.col("status") == "ok").select("layer_url", "oid_field", F.explode("_features").alias("_feature"))
-        found = found.withColumn("_oid", V.get(F.col("_feature"), "attributes", oid, to="bigint"))
+        # a feature travels as text: as a VARIANT it would carry the keys of its whole page
+        found = found.select(
+            "layer_url", "oid_field", V.get(F.col("_feature"), "attributes", oid, to="bigint").alias("_oid"), F.to_json("_feature").alias("_text")
+        )
         met = listed.join(found, ["layer_url", "_oid"])
         # at most one response's ids
         answered = met.groupBy("layer_url", "page_index", "path").agg(
             F.first("oid_field", True).alias("oid_field"),
-            F.transform(F.array_sort(F.collect_list(F.struct("_oid", F.to_json("_feature").alias("_text")))), lambda f: F.parse_json(f["_text"])).alias("features"),
+            F.transform(F.array_sort(F.collect_list(F.struct("_oid", "_text"))), lambda f: F.parse_json(f["_text"])).alias("features"),
         )
         return requests.join(answered, ["layer_url", "page_index", "path"]).select(
             *REQUEST, F.lit("ok").alias("status"), F.lit(None).cast("struct<code:bigint,message:string>").alias("error"),

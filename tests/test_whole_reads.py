@@ -147,6 +147,21 @@ def test_services_are_asked_and_split(spark):
         read_layers(plan, answer, ReadPolicy("raise", "split"), ids, max_depth=1)
 
 
+def test_features_meet_listed_ids_as_text(spark):
+    # as a VARIANT each feature would take the keys of its whole page through the shuffle
+    pages = spark.createDataFrame([("u", 0, 2, '{"features": [{"attributes": {"OID": 1}}, {"attributes": {"OID": 2}}]}')], "layer_url string, offset long, count long, payload string")
+    requests = spark.createDataFrame(
+        [("u", 0, "", 0, "oid", None, None, "1=1", None, "OID", [1, 2], 2)],
+        "layer_url string, page_index long, path string, depth int, strategy string, offset long, count long, where string, order_by string, object_id_field string, oids array<long>, total long",
+    )
+    answered = landed_answers(pages, "OID")(requests)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        answered.explain("formatted")
+    moved = [part for part in plan.getvalue().split("\n\n") if "Exchange" in part.split("\n")[0]]
+    assert moved and not [part for part in moved if "_feature#" in part]
+    assert answered.select(F.size("features")).first()[0] == 2
+
+
 def test_unreachable_services_are_quarantined(spark):
     spark.sparkContext.addPyFile(fake_service.__file__)
     plan = plan_requests(layers(spark, ("https://h/broken/0", 5, 10, True), ("https://h/1/0", 3, 10, True)))
