@@ -166,10 +166,17 @@ def code_lengths(codes: Codes, texts: text.Texts, order: int = ORDER) -> np.ndar
 def learn(docs: DataFrame, seen: Column, per_lang: int = DOCS_PER_LANG, order: int = ORDER, lang: str = "lang", column: str = "text", key: str = "doc_id") -> Codes | None:
     """Codes of the languages in ``lang``; None if no row is labelled.
 
-    What reaches the driver are counts of the sample, bounded by ``per_lang``.
+    One task freezes the counts of the sample, bounded by ``per_lang``; the driver gets the codes in pieces.
     """
-    counts = count_contexts(learning_rows(docs, per_lang, seen, lang, column, key)).toPandas()
-    return freeze(counts, order) if len(counts) else None
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held and sum(b.num_rows for b in held):
+            yield from text.pieces_of(vars(freeze(pa.Table.from_batches(held).to_pandas(), order)))
+
+    counts = count_contexts(learning_rows(docs, per_lang, seen, lang, column, key))
+    codes = text.joined(counts.repartition(1).mapInArrow(fit, text.PIECES))
+    return codes and Codes(**codes)
 
 
 def identify(

@@ -34,6 +34,7 @@ BANDS, BAND_ROWS = 25, 5
 PIVOT_ROUNDS = 2
 GROUP_SHINGLES, GROUP_ROWS = 2_000_000, 256  # of one pivot's members that one task compares in a row
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 400_000  # of a bucket's members in one block, on average
+STAR_LINKS = 200_000  # that one task contracts together
 _COLUMNS = 4096  # shingles of two blocks that are counted at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,6 +191,10 @@ class _Sets:
         self._up[a] = b
         return a != b
 
+    def below(self) -> list:
+        """What has been merged into another."""
+        return [x for x, up in self._up.items() if x != up]
+
 
 # --- on tables -------------------------------------------------------------------------
 
@@ -338,30 +343,55 @@ def linked_blocks(open_members: DataFrame, bag: DataFrame, threshold: tuple[int,
     return sorted_rows.mapInArrow(run, "a binary, b binary")
 
 
-def _pairs(found: Iterable[tuple[bytes, bytes]]) -> pa.RecordBatch:
+def _pairs(found: Iterable[tuple[bytes, bytes]], names: tuple[str, str] = ("a", "b")) -> pa.RecordBatch:
     first, second = list(zip(*found)) or ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary())], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary())], names)
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) that connect what the links (u, v) of a task connect: each node with the smallest it reaches there.
+
+    No more than ``STAR_LINKS`` links are held together.
+    """
+
+    def ends() -> Iterator[tuple[bytes, bytes]]:
+        return ((u, sets.top(u)) for u in sets.below())
+
+    sets, held = _Sets(), 0
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            low, high = sorted((sets.top(u), sets.top(v)))
+            sets.join(high, low)
+        held += batch.num_rows
+        if held >= STAR_LINKS:
+            yield _pairs(ends(), ("u", "v"))
+            sets, held = _Sets(), 0
+    yield _pairs(ends(), ("u", "v"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is no larger end itself."""
+    ends = edges.select(F.col("u").alias("node"), "v").unionByName(edges.select(F.col("v").alias("node"), F.lit(None).cast("binary").alias("v")))
+    ends = ends.groupBy("node").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.max(F.col("v").isNull()).alias("centre"))
+    return ends.where("low <> high OR low IS NOT NULL AND centre").agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of links (a, b): the smallest node of each connected component.
 
-    Alternates two contractions of the links until they are stars: first every larger
-    neighbour, then every smaller one is linked to a node's smallest neighbour instead.
+    Each task first turns its own links into stars.  Where these meet, two contractions
+    alternate until all are stars: every larger neighbour, then every smaller one is linked
+    to a node's smallest neighbour instead.
     """
-    edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = cut_lineage(edges.mapInArrow(_stars, "u binary, v binary"), "links")
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label"))
     ).distinct()

@@ -6,7 +6,9 @@ lie in one array, and words, lines and shingles are index arrays into it.
 
 from __future__ import annotations
 
+import pickle
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from types import ModuleType
@@ -20,6 +22,8 @@ from layerframe.session import ship_package
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+PIECES = "start long, size long, crc32 long, piece binary"
+_PIECE, _FETCHES = 1 << 19, 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +50,26 @@ def small_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.orderBy(order, F.col(key)).limit(most)
 
 
+def pieces_of(value: object) -> Iterator[pa.RecordBatch]:
+    """``value`` pickled and cut into pieces, rows of ``PIECES``."""
+    data = pickle.dumps(value, protocol=5)
+    for start in range(0, len(data), _PIECE):
+        piece = data[start : start + _PIECE]
+        row = [pa.array([start]), pa.array([len(data)]), pa.array([zlib.crc32(data)]), pa.array([piece], pa.binary())]
+        yield pa.RecordBatch.from_arrays(row, ["start", "size", "crc32", "piece"])
+
+
+def joined(pieces: DataFrame) -> object | None:
+    """The value of ``pieces_of``; None without a row.  The driver's JVM holds a few pieces at a time, never the whole."""
+    data = None
+    for row in pieces.repartition(_FETCHES).toLocalIterator():
+        data = data or bytearray(row["size"])
+        data[row["start"] : row["start"] + len(row["piece"])] = row["piece"]
+    if data is not None and zlib.crc32(data) != row["crc32"]:
+        raise RuntimeError("pieces are missing, or a task that ran again made others")
+    return None if data is None else pickle.loads(data)
+
+
 def worker_cache(name: str, build: Callable[[], object]) -> object:
     """A value kept in a Python worker from task to task."""
     held = sys.modules.setdefault("_layerframe_worker_cache", ModuleType("_layerframe_worker_cache")).__dict__

@@ -9,7 +9,6 @@ window, all windows of the whole text counted.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -366,14 +365,13 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = ROWS, label: str = "to
             rows = pa.Table.from_batches(held)
             rows = rows.sort_by([("_label", "ascending"), ("_text", "ascending")]).combine_chunks()  # rows arrive in any order
             column, known = rows.column("_text").combine_chunks(), rows.column("_label").to_numpy().astype(np.int64)
-            model = train(column, known)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], ["model"])
+            yield from text.pieces_of(train(column, known))
 
     sample = labelled_sample(docs, labels, label, most).where(F.col("_text").isNotNull())
-    found = sample.repartition(1).mapInArrow(fit, "model binary").first()
-    if found is None:
+    model = text.joined(sample.repartition(1).mapInArrow(fit, text.PIECES))
+    if model is None:
         return new_model(0) | {"out": np.zeros(2 * HIDDEN, np.float32), "out_bias": np.zeros(1, np.float32)}
-    return pickle.loads(found["model"])
+    return model
 
 
 def score_texts(model: dict, texts: text.Texts) -> np.ndarray:

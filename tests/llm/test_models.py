@@ -217,6 +217,18 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.score_toxicity(docs.limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_models_reach_the_driver_in_small_pieces(spark, monkeypatch):
+    whole = {"bytes": np.random.default_rng(1).bytes(3 << 20), "text": "x"}
+    pieces = spark.range(1).mapInArrow(lambda batches: (b for _ in batches for b in text.pieces_of(whole)), text.PIECES).cache()
+    assert pieces.count() > 5 and pieces.selectExpr("max(length(piece))").first()[0] <= 1 << 19
+    assert text.joined(pieces) == whole and text.joined(pieces.limit(0)) is None
+    for name in ("first", "head", "collect", "toPandas", "toArrow"):
+        monkeypatch.setattr(type(pieces), name, lambda *_: pytest.fail("fetched whole"))
+    docs = spark.createDataFrame([(i, f"words number {i}", "en") for i in range(20)], "doc_id long, text string, lang string")
+    assert language.learn(docs, F.lit(True)).languages == ["en"]
+    assert toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int"))["word"].shape[0] == toxicity.WORD_BUCKETS
+
+
 def test_quality_with_clashing_names(spark):
     ensemble = quality.Ensemble(0.1, [])
     docs = spark.createDataFrame([(1, "a b", "s", 7), (None, None, "t", 8)], "doc_id long, text string, stats string, _judged int")

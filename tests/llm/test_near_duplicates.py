@@ -6,6 +6,8 @@ import pytest
 
 from layerframe.llm import near_duplicates as nd
 from layerframe.llm import text
+from layerframe.plans.scratch import cut_lineage
+from layerframe.session import setting
 
 
 def bag(t):
@@ -126,6 +128,27 @@ def test_components(spark):
     assert {r.node[0]: r.label[0] for r in rows} == {1: 1, 2: 1, 3: 1, 9: 1, 20: 20, 21: 20, 22: 20}
 
 
+@pytest.mark.parametrize("tasks, at_once", [(1, 10**6), (1, 7), (6, 10**6), (6, 7)])
+def test_components_of_chains_hubs_and_chance(spark, monkeypatch, tasks, at_once):
+    text.ship_package()
+    monkeypatch.setattr(nd, "STAR_LINKS", at_once)
+    random = np.random.default_rng(tasks)
+    links = [(i, i + 1) for i in range(60)] + [(100 + i, 101 + i) for i in (3, 1, 0, 2, 4)] + [(250, i) for i in range(200, 240)] + random.integers(300, 400, (70, 2)).tolist()
+    smallest = {x: x for link in links for x in link}
+    for _ in smallest:
+        for a, b in links:
+            smallest[a] = smallest[b] = min(smallest[a], smallest[b])
+    name = lambda x: x.to_bytes(2, "big")
+    writes = []
+    monkeypatch.setattr(nd, "cut_lineage", lambda df, label: writes.append(label) or cut_lineage(df, label))
+    with setting(spark, "spark.sql.shuffle.partitions", str(tasks)), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        rows = nd.components(spark.createDataFrame([(name(a), name(b)) for a, b in links], "a binary, b binary")).collect()
+    assert len(rows) == len({r.node for r in rows})
+    assert {r.node: r.label for r in rows} == {name(x): name(y) for x, y in smallest.items() if any(x in link and link[0] != link[1] for link in links)}
+    if (tasks, at_once) == (1, 10**6):
+        assert len(writes) == 1  # what one task holds takes no round
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (8, "other text")]])
 def test_keep_one(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS node", "1 AS n")
